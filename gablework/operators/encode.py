@@ -13,6 +13,7 @@ from gablework.operators.quantile import quantile_rows
 from gablework.shared import col, lookup_join, materialize, numeric_columns, quoted, string_columns
 
 MAX_CATEGORIES = 10_000
+MAX_LABELS = 1_000
 
 
 # Skew
@@ -65,7 +66,7 @@ def distinct_values(df: DataFrame, columns: Sequence[str], limit: int) -> dict[s
     return {c: sorted(v, key=lambda s: s.encode()) for c, v in values.items()}
 
 
-def label_classes(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]] | None:
+def label_classes(df: DataFrame, columns: Sequence[str], limit: int = MAX_LABELS) -> dict[str, list[str]] | None:
     return distinct_values(df.select(*[text_of(col(c)).alias(c) for c in columns]), columns, limit)
 
 
@@ -91,7 +92,7 @@ def rank_table(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def label_encode(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> DataFrame:
+def label_encode(df: DataFrame, columns: Sequence[str], limit: int = MAX_LABELS) -> DataFrame:
     """Code = rank among the sorted distinct texts (byte order), starting at 0."""
     classes = label_classes(df, columns, limit)
     if classes is not None:

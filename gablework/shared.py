@@ -37,11 +37,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+def materialize(df: DataFrame, label: str = "step", by: str | None = None) -> DataFrame:
     """Write once, read back: cuts the lineage, survives lost executors, and
-    gives the optimizer the true size of what follows."""
+    gives the optimizer the true size of what follows. ``by`` lays the files out
+    by a column of few values, so that a filter on it reads only its own files."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

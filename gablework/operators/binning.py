@@ -22,8 +22,8 @@ def value_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float
 def bin_of(x: Column, lo: Column, hi: Column, bins: int) -> Column:
     """0-based equal-width bin; the last bin is closed, a single value falls into bin 0."""
     width = F.nullif((hi - lo) / bins, F.lit(0.0))
-    raw = F.coalesce(F.floor((x.cast("double") - lo) / width), F.when(x.isNotNull(), F.lit(0)))
-    return F.least(raw, F.lit(bins - 1)).cast("int")
+    raw = F.coalesce(F.floor((x.cast("double") - lo) / width), F.lit(0))
+    return F.when(x.isNotNull(), F.least(raw, F.lit(bins - 1))).cast("int")
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 40) -> DataFrame:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from gablework.functions import price_error
 from gablework.operators.binning import bin_of, value_ranges
-from gablework.operators.profile import corr_with, mean_abs
+from gablework.operators.profile import corr_with, per_column
 from gablework.operators.quantile import quantiles
-from gablework.operators.rows import arg_max, top_and_rest
-from gablework.shared import col, local_frame
+from gablework.operators.rows import arg_max
+from gablework.shared import col, local_frame, materialize
 
 
 def to_long(attributions: DataFrame, features: Sequence[str], key: str, values: bool = False) -> DataFrame:
@@ -29,9 +29,11 @@ def to_long(attributions: DataFrame, features: Sequence[str], key: str, values:
     return attributions.select(col(key), F.inline(F.array(*items)))
 
 
-def global_importance(long: DataFrame, k: int | None = None) -> DataFrame:
-    """(feature, shap_importance): mean absolute contribution, the largest first."""
-    ranked = mean_abs(long, "feature", "shap", "shap_importance")
+def global_importance(attributions: DataFrame, features: Sequence[str], k: int | None = None) -> DataFrame:
+    """(feature, shap_importance): mean absolute contribution, the largest first; one aggregate for all features."""
+    stats = {c: {"shap_importance": F.avg(F.abs(F.col("contributions")[i]))} for i, c in enumerate(features)}
+    ranked = per_column(attributions, stats).withColumnRenamed("column", "feature")
+    ranked = ranked.orderBy(F.desc("shap_importance"), "feature")
     return ranked if k is None else ranked.limit(k)
 
 
@@ -41,11 +43,31 @@ def contribution_deciles(long: DataFrame) -> DataFrame:
     return q.select("feature", "quantiles")
 
 
+def row_breakdowns(attributions: DataFrame, features: Sequence[str], key: str, k: int = 15) -> DataFrame:
+    """(key, rank, feature, shap): per explained row the k contributions largest in
+    absolute value, and the sum of all others as one more. Sorted inside the row:
+    nothing is shuffled."""
+    items = F.array(
+        *[F.struct((-F.abs(F.col("contributions")[i])).alias("order"), F.lit(c).alias("feature"),
+                   F.col("contributions")[i].alias("shap")) for i, c in enumerate(features)]
+    )
+    ranked = F.transform(
+        F.slice(F.array_sort(items), 1, k),
+        lambda x, i: F.struct((i + 1).alias("rank"), x["feature"].alias("feature"), x["shap"].alias("shap")),
+    )
+    if len(features) > k:
+        others = F.slice(F.array_sort(items), k + 1, len(features))
+        total = F.aggregate(others, F.lit(0.0), lambda acc, x: acc + x["shap"])
+        rest = F.struct(F.lit(k + 1).alias("rank"), F.lit("other").alias("feature"), total.alias("shap"))
+        ranked = F.concat(ranked, F.array(rest))
+    return attributions.select(col(key), F.inline(ranked))
+
+
 def breakdown(attributions: DataFrame, features: Sequence[str], key: str, y: str, k: int = 15) -> DataFrame:
     """(rank, feature, shap) of the row with the largest ``y``: base, the k
     largest contributions, all others in one, and their total."""
-    row = arg_max(attributions, y, key)
-    top = top_and_rest(to_long(row, features, key), [key], "feature", "shap", k).select("rank", "feature", "shap")
+    row = materialize(arg_max(attributions, y, key), "row")
+    top = row_breakdowns(row, features, key, k).select("rank", "feature", "shap")
     base = row.select(F.lit(0).alias("rank"), F.lit("base").alias("feature"), F.col("base").alias("shap"))
     everything = F.aggregate("contributions", F.lit(0.0), lambda acc, v: acc + v)
     total = row.select(
@@ -54,11 +76,6 @@ def breakdown(attributions: DataFrame, features: Sequence[str], key: str, y: str
     return base.unionByName(top).unionByName(total).orderBy("rank")
 
 
-def row_breakdowns(long: DataFrame, key: str, k: int = 15) -> DataFrame:
-    """(key, feature, shap, rank): the k largest contributions and the rest, for every row."""
-    return top_and_rest(long, [key], "feature", "shap", k)
-
-
 def dependence(attributions: DataFrame, features: Sequence[str], feature: str, bins: int = 20) -> DataFrame:
     """(bin, lo, hi, count, mean_shap): contribution of a feature along its own value."""
     ranges = value_ranges(attributions, [feature])

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from gablework.models.folds import Fitter, Predictor, out_of_fold, with_fold
+from gablework.models.folds import Fitter, Predictor, keep_folds, out_of_fold
 from gablework.models.linear import LinearFit, fit_linear
 from gablework.shared import col, materialize
 
@@ -33,7 +33,7 @@ def stacking(
     model sees out-of-fold predictions only, the bases are refitted on all rows."""
 
     def fit(df: DataFrame) -> StackFit:
-        inner = with_fold(df, key, k, seed, INNER)
+        inner = keep_folds(df, key, k, seed, INNER)
         named = {f"__base_{n}": f for n, f in bases.items()}
         held = out_of_fold(inner, named, k, INNER).select(*[col(n) for n in named], col(y))
         top = fit_linear(materialize(held, "stack"), list(named), y, alpha, None, scale=False)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gablework.functions import log1p_or_null
 from gablework.operators.profile import skewness
 from gablework.operators.quantile import quantile_rows
-from gablework.shared import col, lookup_join, materialize, numeric_columns, quoted, string_columns
+from gablework.shared import col, is_small, lookup_join, materialize, numeric_columns, quoted, string_columns
 
 MAX_CATEGORIES = 10_000
 MAX_LABELS = 1_000
@@ -55,13 +55,13 @@ def text_of(x: Column) -> Column:
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, list[str]] | None:
-    """{column: sorted distinct present texts}, or ``None`` when there are more than ``limit`` in all."""
+    """{column: sorted distinct present texts}, or ``None`` when they are more than ``limit`` in all, or too long."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns])
-    found = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
+    found = materialize(df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct(), "values")
+    if not is_small(found, limit):
         return None
     values: dict[str, list[str]] = {c: [] for c in columns}
-    for r in found:
+    for r in found.collect():
         values[r["column"]].append(r["value"])
     return {c: sorted(v, key=lambda s: s.encode()) for c, v in values.items()}
 

@@ -205,10 +205,3 @@ def box_outliers(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     x = col(value).cast("double")
     kept = _with_bounds(df, value, by).where((x < F.col("low")) | (x > F.col("high")))
     return kept.select(*map(quoted, df.columns))
-
-
-def mean_abs(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
-    """(group, mean of |value|), the largest first."""
-    return df.groupBy(group).agg(F.avg(F.abs(col(value))).alias(name)).orderBy(F.desc(name), group)
-
-

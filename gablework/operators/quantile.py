@@ -58,7 +58,7 @@ def quantiles(
     if not distinct.take(1):
         return _by_counts(values, keys, probs)
     heavy = materialize(distinct, "heavy-groups")
-    tagged = lookup_join(values, heavy.withColumn("__heavy", F.lit(True)), keys)
+    tagged = lookup_join(values, heavy.withColumn("__heavy", F.lit(True)), keys, kept=True)
     light = tagged.where(F.col("__heavy").isNull()).drop("__heavy")
     rest = tagged.where(F.col("__heavy")).drop("__heavy")
     return _by_counts(light, keys, probs).unionByName(_by_brackets(rest, keys, probs, distinct_limit))
@@ -90,19 +90,29 @@ def _by_brackets(values: DataFrame, keys: Sequence[str], probs: Sequence[float],
     tcols = [quoted(k) for k in tkeys]
 
     # Wanted 0-based ranks per (key, prob): the two neighbours and the weight of the upper.
-    sizes = materialize(values.groupBy(*kcols).agg(F.count(F.lit(1)).alias("n")), "sizes")
+    sketches = materialize(_sketch(values, keys), "sketches")
     wanted = [F.struct(F.lit(i).alias("__q"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]
     place = F.col("p") * (F.col("n") - 1)
     targets = (
-        sizes.select(*kcols, "n", F.inline(F.array(*wanted)))
+        sketches.select(*kcols, "n", "grid", F.inline(F.array(*wanted)))
         .withColumn("r0", F.floor(place))
         .withColumn("w", place - F.floor(place))
         .withColumn("r1", F.col("r0") + (F.col("w") > 0).cast("long"))
-        .select(*tcols, "r0", "r1", "w")
     )
-    targets = materialize(targets, "ranks")
+    margin = 1
+    while True:
+        counted, state = _narrow(values, keys, targets, margin)
+        holds = F.coalesce((F.col("below") <= F.col("r0")) & (F.col("r1") < F.col("below") + F.col("inside")), F.lit(False))
+        if not state.where(~holds).take(1):
+            break
+        margin *= 4
 
-    counted, targets, found = _narrow(values, keys, tkeys, targets)
+    # One distinct value inside the bracket is the answer; the others go on with ranks local to their bracket.
+    single = F.col("least") == F.col("most")
+    found = state.where(single).select(*tcols, F.col("least").alias("value"))
+    targets = state.where(~single).select(
+        *tcols, (F.col("r0") - F.col("below")).alias("r0"), (F.col("r1") - F.col("below")).alias("r1"), "w"
+    )
     while True:
         crowded = counted.groupBy(*tcols).agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > limit)
         if not crowded.take(1):
@@ -113,55 +123,49 @@ def _by_brackets(values: DataFrame, keys: Sequence[str], probs: Sequence[float],
     return per_key.select(*kcols, F.col("q.value").alias("quantiles"))
 
 
-def _narrow(rows: DataFrame, row_keys: Sequence[str], tkeys: Sequence[str], targets: DataFrame):
-    """(counts inside the brackets, targets with ranks local to them, solved targets)."""
-    tcols = [quoted(k) for k in tkeys]
-    extra = [k for k in tkeys if k not in row_keys]
-    sketches = materialize(_sketch(rows, row_keys), "sketches")
-    margin = 1
-    while True:
-        last = F.greatest(F.col("n") - 1, F.lit(1))
-        low = F.floor(F.col("r0") / last * SKETCH_STEPS).cast("int") - margin
-        high = F.ceil(F.col("r1") / last * SKETCH_STEPS).cast("int") + margin
-        brackets = safe_join(targets, sketches, list(row_keys)).select(
-            *tcols, "r0", "r1", "w",
-            F.when(low <= 0, F.lit(-math.inf)).otherwise(F.get("grid", low)).alias("lo"),
-            F.when(high >= SKETCH_STEPS, F.lit(math.inf)).otherwise(F.get("grid", high)).alias("hi"),
-        )
-        brackets = materialize(brackets, "brackets")
-        packed = brackets.groupBy(*map(quoted, row_keys)).agg(
-            F.collect_list(F.struct(*map(quoted, extra), "lo", "hi")).alias("__b")
-        )
-        opened = lookup_join(rows, packed, list(row_keys), "inner").select(
-            *map(quoted, row_keys), "value", F.inline("__b")
-        )
-        tallies = opened.where(F.col("value") <= F.col("hi")).groupBy(*tcols).agg(
-            F.count_if(F.col("value") < F.col("lo")).alias("below"),
-            F.count(F.lit(1)).alias("upto"),
-            F.min(F.when(F.col("value") >= F.col("lo"), F.col("value"))).alias("least"),
-            F.max("value").alias("most"),
-        )
-        state = materialize(safe_join(brackets, tallies, list(tkeys), "left"), "tallies")
-        holds = F.coalesce((F.col("below") <= F.col("r0")) & (F.col("r1") < F.col("upto")), F.lit(False))
-        if not state.where(~holds).take(1):
-            break
-        margin *= 4
+def _narrow(values: DataFrame, keys: Sequence[str], targets: DataFrame, margin: int) -> tuple[DataFrame, DataFrame]:
+    """(counts of the values inside each bracket, what was counted per target) in one pass.
 
-    # One distinct value inside the bracket, or the wanted rank at its edge: solved.
-    single = F.col("least") == F.col("most")
-    done = state.where(single).select(*tcols, F.col("least").alias("value"))
-    left = state.where(~single).select(
-        *tcols, (F.col("r0") - F.col("below")).alias("r0"), (F.col("r1") - F.col("below")).alias("r1"), "w", "lo", "hi"
+    A row adds one to the number of brackets that lie wholly above it, and one
+    to its own value in each bracket that holds it. Both are combined before
+    the shuffle. Rows below a bracket are those under at least as many brackets
+    as start at or after it.
+    """
+    kcols = [quoted(k) for k in keys]
+    tcols = [*kcols, "__q"]
+    last = F.greatest(F.col("n") - 1, F.lit(1))
+    low = F.floor(F.col("r0") / last * SKETCH_STEPS).cast("int") - margin
+    high = F.ceil(F.col("r1") / last * SKETCH_STEPS).cast("int") + margin
+    brackets = targets.select(
+        *tcols, "r0", "r1", "w",
+        F.when(low <= 0, F.lit(-math.inf)).otherwise(F.get("grid", low)).alias("lo"),
+        F.when(high >= SKETCH_STEPS, F.lit(math.inf)).otherwise(F.get("grid", high)).alias("hi"),
+    )
+    packed = materialize(
+        brackets.groupBy(*kcols).agg(F.collect_list(F.struct("__q", "r0", "r1", "w", "lo", "hi")).alias("b")), "brackets"
+    )
+    v = F.col("value")
+    nothing = F.lit(None).cast("double")
+    under = F.struct(F.lit(-1).alias("__q"), F.size(F.filter("b", lambda x: x["lo"] > v)).alias("under"), nothing.alias("value"))
+    held = F.transform(
+        F.filter("b", lambda x: (x["lo"] <= v) & (v <= x["hi"])),
+        lambda x: F.struct(x["__q"].alias("__q"), F.lit(-1).alias("under"), v.alias("value")),
+    )
+    marks = lookup_join(values, packed, list(keys), "inner", kept=True).select(*kcols, F.inline(F.concat(F.array(under), held)))
+    counts = materialize(marks.groupBy(*tcols, "under", "value").agg(F.count(F.lit(1)).alias("n")), "counts")
+    counted = counts.where(F.col("__q") >= 0).drop("under")
+    inside = counted.groupBy(*tcols).agg(
+        F.sum("n").alias("inside"), F.min("value").alias("least"), F.max("value").alias("most")
+    )
+    steps = counts.where(F.col("__q") < 0).groupBy(*kcols).agg(F.collect_list(F.struct("under", "n")).alias("steps"))
+    after = F.size(F.filter("b", lambda x: x["lo"] >= F.col("lo")))
+    opened = packed.select(*kcols, "b", F.inline("b")).withColumn("after", after).drop("b")
+    below = F.aggregate(
+        F.filter("steps", lambda s: s["under"] >= F.col("after")), F.lit(0).cast("long"), lambda acc, s: acc + s["n"]
     )
-    inside = lookup_join(
-        rows,
-        left.groupBy(*map(quoted, row_keys)).agg(F.collect_list(F.struct(*map(quoted, extra), "lo", "hi")).alias("__b")),
-        list(row_keys),
-        "inner",
-    ).select(*map(quoted, row_keys), "value", F.inline("__b"))
-    inside = inside.where(F.col("value").between(F.col("lo"), F.col("hi")))
-    counted = inside.groupBy(*tcols, "value").agg(F.count(F.lit(1)).alias("n"))
-    return materialize(counted, "inside"), materialize(left.drop("lo", "hi"), "targets"), done
+    sized = safe_join(opened, steps, list(keys)).withColumn("below", below)
+    state = safe_join(sized, inside, [*keys, "__q"], "left")
+    return counted, materialize(state.select(*tcols, "r0", "r1", "w", "below", "inside", "least", "most"), "state")
 
 
 def _split(counted: DataFrame, tkeys: Sequence[str], targets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -171,7 +175,7 @@ def _split(counted: DataFrame, tkeys: Sequence[str], targets: DataFrame) -> tupl
     tcols = [quoted(k) for k in tkeys]
     grids = materialize(_sketch(counted, tkeys, SPLIT_STEPS).drop("n"), "sketches")
     bucket = F.size(F.filter("grid", lambda g: g < F.col("value")))
-    placed = lookup_join(counted, grids, list(tkeys), "inner").withColumn("bucket", bucket).drop("grid")
+    placed = lookup_join(counted, grids, list(tkeys), "inner", kept=True).withColumn("bucket", bucket).drop("grid")
     shares = placed.groupBy(*tcols, "bucket").agg(F.sum("n").alias("n"))
     upto = F.sum("n").over(Window.partitionBy(*tcols).orderBy("bucket"))
     shares = shares.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("n")).drop("n")
@@ -183,7 +187,7 @@ def _split(counted: DataFrame, tkeys: Sequence[str], targets: DataFrame) -> tupl
         *[(F.first(r) - F.min("below")).alias(r) for r in ("r0", "r1")], F.first("w").alias("w"),
     )
     kept = materialize(kept, "kept")
-    rest = lookup_join(placed, kept.select(*tcols, "b0", "b1"), list(tkeys), "inner")
+    rest = lookup_join(placed, kept.select(*tcols, "b0", "b1"), list(tkeys), "inner", kept=True)
     rest = rest.where(F.col("bucket").between(F.col("b0"), F.col("b1"))).select(*tcols, "value", "n")
     return materialize(rest, "inside"), kept.select(*tcols, "r0", "r1", "w")
 

@@ -47,21 +47,6 @@ def arg_max(df: DataFrame, value: str, key: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(quoted(value)), col(key)).limit(1)
 
 
-def top_and_rest(
-    df: DataFrame, group: Sequence[str], name: str, value: str, k: int, rest: str = "other"
-) -> DataFrame:
-    """(group..., name, value, rank): per group the k rows largest in absolute
-    value and one row with the sum of all others. A group is one explained row,
-    so its size is the number of features."""
-    w = Window.partitionBy(*map(quoted, group)).orderBy(F.desc(F.abs(col(value))), col(name))
-    ranked = df.withColumn("rank", F.row_number().over(w))
-    label = F.when(F.col("rank") <= k, col(name)).otherwise(F.lit(rest))
-    bounded = F.least(F.col("rank"), F.lit(k + 1))
-    return ranked.groupBy(*map(quoted, group), label.alias(name), bounded.alias("rank")).agg(
-        F.sum(col(value)).alias(value)
-    )
-
-
 def running_best(df: DataFrame, study: str, trial: str, value: str, block: int = 100_000) -> DataFrame:
     """Adds ``best``: the smallest value up to and including each trial of a study.
 

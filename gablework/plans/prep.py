@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from gablework.operators import encode, impute
 from gablework.operators.quantile import group_medians
 from gablework.operators.rows import remove_above, union_split
-from gablework.shared import as_small, col, local_frame, materialize, numeric_columns, safe_join, string_columns
+from gablework.shared import col, is_small, local_frame, materialize, numeric_columns, safe_join, string_columns
 
 SPLIT = "split"
 
@@ -167,12 +167,11 @@ class PrepPlan:
 
 def _keep_stats(stats: DataFrame) -> dict:
     """Literals while the group table is small, else a table in the shared folder."""
-    known = stats.where(F.col("stat").isNotNull())
-    small = as_small(known)
-    if small is not None:
-        return {"schema": known.schema.jsonValue(), "rows": [list(r) for r in small.collect()]}
-    kept = materialize(known, "group-stats")
-    return {"schema": known.schema.jsonValue(), "rows": None, "path": kept.inputFiles()[0].rsplit("/", 1)[0]}
+    kept = materialize(stats.where(F.col("stat").isNotNull()), "group-stats")
+    schema = kept.schema.jsonValue()
+    if is_small(kept):
+        return {"schema": schema, "rows": [list(r) for r in kept.collect()]}
+    return {"schema": schema, "rows": None, "path": kept.inputFiles()[0].rsplit("/", 1)[0]}
 
 
 def _load_stats(df: DataFrame, kept: dict) -> DataFrame:

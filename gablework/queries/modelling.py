@@ -211,7 +211,7 @@ def linear_shap(spark, d):
 
 @query("shap_summary", f"WITH {SHAP_SQL} SELECT feature, {r('avg(abs(shap))')} AS shap_importance FROM long GROUP BY feature")
 def shap_summary(spark, d):
-    return neat(summary.global_importance(summary.to_long(attributions(spark, d), FEATURES, "k"), 20))
+    return neat(summary.global_importance(attributions(spark, d), FEATURES, 20))
 
 
 @query("shap_deciles", f"WITH {SHAP_SQL} SELECT feature, " + ", ".join(
@@ -226,7 +226,7 @@ WITH {SHAP_SQL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY
 SELECT k, CASE WHEN rn <= 1 THEN feature ELSE 'other' END AS feature, CAST(least(rn, 2) AS INTEGER) AS rank, {r('sum(shap)')} AS shap
 FROM ranked GROUP BY 1, 2, 3""")
 def shap_topk(spark, d):
-    return neat(summary.row_breakdowns(summary.to_long(attributions(spark, d), FEATURES, "k"), "k", 1))
+    return neat(summary.row_breakdowns(attributions(spark, d), FEATURES, "k", 1))
 
 
 @query("shap_breakdown", f"""
@@ -321,8 +321,8 @@ def tree_shap_background(spark, d):
 def importance_compare(spark, d):
     """Attribution and built-in importance of the same model, side by side."""
     data, fit = boosted_fit(spark, d)
-    long = summary.to_long(tree_attributions(data, fit, "k"), TREE_FEATURES, "k")
-    return neat(summary.compare_importance(summary.global_importance(long), trees.importance(fit, spark)))
+    shares = summary.global_importance(tree_attributions(data, fit, "k"), TREE_FEATURES)
+    return neat(summary.compare_importance(shares, trees.importance(fit, spark)))
 
 
 @query("shap_interaction")

@@ -9,7 +9,7 @@ from gablework.operators import encode, impute, profile
 from gablework.plans.prep import PrepPlan, PrepRecipe, prepare
 from gablework.queries.inputs import FOLD_SQL, GAPPY_SQL, gappy_events
 from gablework.queries.registry import neat, query, r, table
-from gablework.shared import scratch_path
+from gablework.shared import materialize, scratch_path
 
 PRIORITY = {"1-URGENT": 5, "2-HIGH": 4, "3-MEDIUM": 3, "5-LOW": 1}
 
@@ -216,7 +216,7 @@ def raw_orders(spark, d):
 
 
 def split_orders(spark, d):
-    raw = raw_orders(spark, d)
+    raw = materialize(raw_orders(spark, d), "raw")
     train = raw.where(~F.col("held")).drop("held").withColumn("y", F.log1p("o_totalprice"))
     return train, raw.where("held").drop("held")
 

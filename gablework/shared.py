@@ -47,29 +47,35 @@ def materialize(df: DataFrame, label: str = "step", by: str | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def as_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` as an in-memory relation if it is proven small, else ``None``."""
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows or head.nbytes > BROADCAST_BYTES:
-        return None
-    return local_frame(df.sparkSession, [tuple(r.values()) for r in head.to_pylist()], df.schema)
-
-
 def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame(list(rows), schema)
 
 
-def lookup_join(
-    df: DataFrame, stats: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def is_small(kept: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Counts the rows and bytes of a written table; nothing but two numbers reaches the driver."""
+
+    def width(f: T.StructField):
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(col(f.name)), F.lit(0)) + 16
+        if isinstance(f.dataType, (T.ArrayType, T.MapType)):
+            return F.greatest(F.size(col(f.name)), F.lit(0)) * 64 + 16
+        return F.lit(8)
+
+    per_row = functools.reduce(operator.add, [width(f).cast("long") for f in kept.schema])
+    rows, size = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(per_row), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
+
+
+def lookup_join(df: DataFrame, stats: DataFrame, on: Sequence[str], how: str = "left", kept: bool = False) -> DataFrame:
     """Join ``stats`` (one row per key) to ``df``; null keys match null keys.
 
-    A look-up within the row and byte bounds is broadcast, so that ``df`` is
-    not shuffled and a hot key costs nothing. A larger one is joined by
-    shuffle, where adaptive execution splits hot keys.
+    The look-up is written once and measured. Within the row and byte bounds it
+    is broadcast, so that ``df`` is not shuffled and a hot key costs nothing. A
+    larger one is joined by shuffle, where adaptive execution splits hot keys.
+    ``kept=True`` says that ``stats`` is a written table already.
     """
-    small = as_small(stats, max_rows)
-    return safe_join(df, F.broadcast(small) if small is not None else stats, on, how)
+    side = stats if kept else materialize(stats, "lookup")
+    return safe_join(df, F.broadcast(side) if is_small(side) else side, on, how)
 
 
 def safe_join(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:

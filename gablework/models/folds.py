@@ -6,15 +6,19 @@ prediction column. A fitter is a function ``DataFrame -> predictor``.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gablework.functions import fold_of
 from gablework.shared import col, local_frame, materialize
 
+PARALLEL_FITS = 4
 SCORES = "model string, fold int, rmse double"
 
 
@@ -39,6 +43,12 @@ def rmse(y: Column, predicted: Column) -> Column:
     return F.sqrt(F.avg((y - predicted) * (y - predicted)))
 
 
+def side_by_side(spark: SparkSession, tasks: Sequence[Callable], parallelism: int = PARALLEL_FITS) -> list:
+    """Results of independent Spark calls in order, a few at a time: small fits do not fill a cluster alone."""
+    with ThreadPool(min(parallelism, max(len(tasks), 1))) as pool:
+        return pool.map(lambda t: t(), [inheritable_thread_target(spark)(t) for t in tasks])
+
+
 def out_of_fold(
     df: DataFrame, fitters: Mapping[str, Fitter], k: int = 5, fold: str = "fold"
 ) -> DataFrame:
@@ -46,16 +56,12 @@ def out_of_fold(
 
     The models of one fold add their columns one after the other, so nothing is joined.
     """
-    parts = []
-    for i in range(k):
-        train, held = df.where(col(fold) != i), df.where(col(fold) == i)
-        for name, fit in fitters.items():
-            held = fit(train).add(held, name)
-        parts.append(held)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    wanted = [(i, name) for i in range(k) for name in fitters]
+    fits = side_by_side(df.sparkSession, [lambda i=i, n=n: fitters[n](df.where(col(fold) != i)) for i, n in wanted])
+    parts = [df.where(col(fold) == i) for i in range(k)]
+    for (i, name), fit in zip(wanted, fits):
+        parts[i] = fit.add(parts[i], name)
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def cv_scores(df: DataFrame, fitters: Mapping[str, Fitter], y: str = "y", k: int = 5, fold: str = "fold") -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gablework.models.folds import rmse
+from gablework.models.folds import rmse, side_by_side
 from gablework.operators.encode import robust_params, scaled
 from gablework.operators.quantile import quantiles
 from gablework.shared import col
@@ -231,9 +231,12 @@ def linear_cv(
         F.count(label).alias("n"), F.avg(label).alias("mean"), F.stddev_pop(label).alias("sd")
     )
     stats = {r["held"]: (r["n"], r["mean"], r["sd"] or 0.0) for r in spread.collect()}
+    held = sorted(stats)
+    fits = side_by_side(df.sparkSession, [
+        lambda i=i: fit_linear(df.where(col(fold) != i), features, y, alpha, l1_ratio, scale, params[i], stats[i])
+        for i in held
+    ])
     predicted = F.lit(None).cast("double")
-    for i in sorted(stats):
-        train = df.where(col(fold) != i)
-        fit = fit_linear(train, features, y, alpha, l1_ratio, scale, params[i], stats[i])
+    for i, fit in zip(held, fits):
         predicted = F.when(col(fold) == i, fit.predict()).otherwise(predicted)
     return df.groupBy(col(fold).alias("fold")).agg(rmse(col(y), predicted).alias("rmse"))

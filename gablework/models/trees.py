@@ -94,12 +94,12 @@ def boosted_estimator(
         maxDepth=int(p.get("max_depth", 6)), minInstancesPerNode=max(1, int(p.get(least, 20 if style == "leaf" else 1))),
         subsamplingRate=float(p.get("subsample", 1.0)) if style == "depth" else 1.0,
         featureSubsetStrategy="all" if share >= 1 else str(share), seed=int(p.get("random_state", 42)),
-        cacheNodeIds=True, checkpointInterval=10,
+        checkpointInterval=10,
     )
 
 
 def _fit(df: DataFrame, features: Sequence[str], y: str, estimator) -> TreeFit:
-    scratch_root(df.sparkSession)  # node ids and residuals are cut off there every few rounds
+    scratch_root(df.sparkSession)  # lineage of node ids and residuals is cut off there every few rounds
     data = assemble(df.select(*[col(c) for c in features], col(y)), features).select("__x", y)
     return TreeFit(estimator.fit(data), list(features))
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gablework.shared import col, lookup_join, materialize, quoted, safe_join
 
-DISTINCT_LIMIT = 200_000
+DISTINCT_LIMIT = 1_000_000
 SKETCH_K = 4096
 SKETCH_STEPS = 400
 SPLIT_STEPS = 64
@@ -28,9 +28,9 @@ SKETCH_SALTS = 128
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., column, value): the present values of several columns, one per row."""
+    """(by..., column, value): the present values of several columns, one per row; ``column`` is a position."""
     wide = df.select(*[col(c) for c in by], *[col(c).cast("double").alias(f"__v_{i}") for i, c in enumerate(columns)])
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__v_{i}").alias("value")) for i, c in enumerate(columns)])
+    pairs = F.array(*[F.struct(F.lit(i).alias("column"), F.col(f"__v_{i}").alias("value")) for i in range(len(columns))])
     return wide.select(*[col(c) for c in by], F.inline(pairs)).where(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
@@ -49,19 +49,21 @@ def quantiles(
     """
     keys = [*by, "column"]
     values = long_values(df, columns, by)
-    distinct = (
-        values.groupBy(*map(quoted, keys))
-        .agg(F.approx_count_distinct("value", 0.02).alias("d"))
-        .where(F.col("d") > distinct_limit)
-        .select(*map(quoted, keys))
+    sizes = F.array(
+        *[F.struct(F.lit(i).alias("column"), F.approx_count_distinct(col(c)).alias("d")) for i, c in enumerate(columns)]
     )
-    if not distinct.take(1):
-        return _by_counts(values, keys, probs)
-    heavy = materialize(distinct, "heavy-groups")
-    tagged = lookup_join(values, heavy.withColumn("__heavy", F.lit(True)), keys, kept=True)
-    light = tagged.where(F.col("__heavy").isNull()).drop("__heavy")
-    rest = tagged.where(F.col("__heavy")).drop("__heavy")
-    return _by_counts(light, keys, probs).unionByName(_by_brackets(rest, keys, probs, distinct_limit))
+    crowded = df.groupBy(*[col(c) for c in by]).agg(sizes.alias("__sizes")).select(*[col(c) for c in by], F.inline("__sizes"))
+    crowded = crowded.where(F.col("d") > distinct_limit).select(*map(quoted, keys))
+    if not crowded.take(1):
+        found = _by_counts(values, keys, probs)
+    else:
+        heavy = materialize(crowded.withColumn("__heavy", F.lit(True)), "heavy-groups")
+        tagged = lookup_join(values, heavy, keys, kept=True)
+        light = tagged.where(F.col("__heavy").isNull()).drop("__heavy")
+        rest = tagged.where(F.col("__heavy")).drop("__heavy")
+        found = _by_counts(light, keys, probs).unionByName(_by_brackets(rest, keys, probs, distinct_limit))
+    names = F.array(*[F.lit(c) for c in columns])
+    return found.withColumn("column", F.get(names, F.col("column")))
 
 
 def _by_counts(values: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:

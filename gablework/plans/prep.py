@@ -76,15 +76,16 @@ class PrepPlan:
         if recipe.skew_threshold is not None:
             plan.skewed = encode.skewed_columns(filled, recipe.skew_threshold, plan._features(numeric_columns(filled)))
         ready = plan._derive(plan._log(filled))
-        if recipe.labels:
-            plan.classes = encode.label_classes(ready, recipe.labels, encode.MAX_CATEGORIES) or {}
-            if not plan.classes:
-                raise ValueError(f"more than {encode.MAX_CATEGORIES} classes in {recipe.labels}")
         hot = recipe.one_hot
         if hot is None:
             used = {*recipe.labels, *recipe.ordinal}
             hot = [c for c in plan._features(string_columns(ready)) if c not in used]
-        plan.categories = encode.categories(ready, hot)
+        texts = ready.select(*[encode.text_of(col(c)).alias(c) for c in recipe.labels], *[col(c) for c in hot])
+        found = encode.distinct_values(texts, texts.columns, encode.MAX_CATEGORIES) if texts.columns else {}
+        if found is None:
+            raise ValueError(f"more than {encode.MAX_CATEGORIES} categories in {texts.columns}")
+        plan.classes = {c: found[c] for c in recipe.labels}
+        plan.categories = {c: found[c] for c in hot}
         return plan
 
     # Applying

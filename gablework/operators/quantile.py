@@ -87,6 +87,7 @@ def _sketch(rows: DataFrame, keys: Sequence[str], steps: int = SKETCH_STEPS) ->
 
 
 def _by_brackets(values: DataFrame, keys: Sequence[str], probs: Sequence[float], limit: int) -> DataFrame:
+    limit = max(limit, 2)  # the two neighbours of a rank are never split further
     kcols = [quoted(k) for k in keys]
     tkeys = [*keys, "__q"]
     tcols = [quoted(k) for k in tkeys]

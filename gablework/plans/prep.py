@@ -183,9 +183,13 @@ def _load_stats(df: DataFrame, kept: dict) -> DataFrame:
 
 
 def prepare(train: DataFrame, test: DataFrame, recipe: PrepRecipe) -> tuple[DataFrame, PrepPlan]:
-    """Outliers out of train, union, fit, transform: one table with a split column."""
+    """Outliers out of train, union, fit, transform: one table with a split column.
+
+    Every fitting pass reads a few columns of the union, so it is written once
+    in columns instead of parsing or joining the sources again each time.
+    """
     if recipe.outlier_column:
         train = remove_above(train, recipe.outlier_column, recipe.outlier_threshold)
-    both = union_split(train, test)
+    both = materialize(union_split(train, test), "union")
     plan = PrepPlan.fit(both, recipe)
     return plan.transform(both), plan

@@ -54,7 +54,7 @@ def running_best(df: DataFrame, study: str, trial: str, value: str, block: int =
     blocks comes from one row per block, the rest from a window inside the
     block, so that even one huge study is spread over all tasks.
     """
-    cut = df.withColumn("__block", F.floor(col(trial) / block))
+    cut = df.withColumn("__block", col(trial) - F.pmod(col(trial), F.lit(block)))
     per_block = cut.groupBy(quoted(study), "__block").agg(F.min(col(value)).alias("__min"))
     earlier = Window.partitionBy(quoted(study)).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     before = per_block.select(quoted(study), "__block", F.min("__min").over(earlier).alias("__before"))

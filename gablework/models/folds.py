@@ -91,6 +91,19 @@ def improvement(base: DataFrame, tuned: DataFrame) -> DataFrame:
     return both.withColumn("improvement", gain)
 
 
+def fit_all(df: DataFrame, fitters: Mapping[str, Fitter]) -> dict[str, Predictor]:
+    """Every model on the whole table."""
+    fits = side_by_side(df.sparkSession, [lambda f=f: f(df) for f in fitters.values()])
+    return dict(zip(fitters, fits))
+
+
+def predict_all(df: DataFrame, fits: Mapping[str, Predictor]) -> DataFrame:
+    """One prediction column per model, beside the row's own columns."""
+    for name, fit in fits.items():
+        df = fit.add(df, name)
+    return df
+
+
 def blend(weights: Mapping[str, float]) -> Column:
     """Weighted sum of prediction columns; the weights must add up to one."""
     if abs(sum(weights.values()) - 1) > 1e-9:

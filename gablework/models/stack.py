@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from gablework.models.folds import Fitter, Predictor, keep_folds, out_of_fold, side_by_side
+from gablework.models.folds import Fitter, Predictor, fit_all, keep_folds, out_of_fold
 from gablework.models.linear import LinearFit, fit_linear
 from gablework.shared import col, materialize
 
@@ -37,7 +37,6 @@ def stacking(
         named = {f"__base_{n}": f for n, f in bases.items()}
         held = out_of_fold(inner, named, k, INNER).select(*[col(n) for n in named], col(y))
         top = fit_linear(materialize(held, "stack"), list(named), y, alpha, None, scale=False)
-        refits = side_by_side(df.sparkSession, [lambda f=f: f(df) for f in bases.values()])
-        return StackFit(dict(zip(bases, refits)), top)
+        return StackFit(fit_all(df, bases), top)
 
     return fit

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gablework.functions import log1p_or_null
+from gablework.operators import encode, impute
+from gablework.operators.rows import remove_above, suspicious
 from gablework.plans.prep import PrepPlan, PrepRecipe, prepare
+from gablework.shared import numeric_columns, string_columns
 from gablework.sources.housing import KEY, TARGET
 
 # They name columns and codes of the housing table, and results depend on them.
@@ -68,11 +71,46 @@ def recipe(fit_scope: str = "union", null_key: str = "keep") -> PrepRecipe:
     )
 
 
+# The steps one by one. Each measures what it needs on the given table and applies it at once;
+# a recipe does the same but keeps what it learnt.
+
+
+def remove_outliers(df: DataFrame, threshold: float = OUTLIER_AREA) -> DataFrame:
+    """Rows above the living-area limit leave together with their target; the price is not tested."""
+    return remove_above(df, "GrLivArea", threshold)
+
+
+def outlier_report(df: DataFrame) -> DataFrame:
+    """Large houses at a low price."""
+    large, cheap = F.col("GrLivArea") > OUTLIER_AREA, F.col(TARGET) < SUSPICIOUS_PRICE
+    return suspicious(df, [large, cheap], ["GrLivArea", TARGET, "Neighborhood", "OverallQual"])
+
+
+def handle_missing_values(df: DataFrame, null_key: str = "keep") -> DataFrame:
+    constants = {**dict.fromkeys(NONE_COLUMNS, "None"), **dict.fromkeys(ZERO_COLUMNS, 0)}
+    df = df.fillna(constants)
+    df = impute.fill_group_median(df, "LotFrontage", ["Neighborhood"], null_key)
+    df = impute.fill_group_mode(df, "MSZoning", ["MSSubClass"], null_key)
+    return impute.fill_global_mode(df, MODE_COLUMNS).drop("Utilities")
+
+
+def fix_skewness(df: DataFrame, threshold: float = SKEW_THRESHOLD) -> DataFrame:
+    """log1p of the right-skewed numeric columns; key and target stay."""
+    return encode.fix_skewness(df, threshold, numeric_columns(df, (KEY, TARGET, "y")))
+
+
 def engineer_features(df: DataFrame) -> DataFrame:
     """The twelve derived columns beside the given ones."""
     return df.select("*", *[F.expr(e).alias(n) for n, e in DERIVED])
 
 
+def encode_features(df: DataFrame) -> DataFrame:
+    """Quality texts to their rank, nine texts to label codes, all others to 0/1 columns."""
+    df = encode.ordinal_encode(df, ORDINAL_COLUMNS, QUALITY_CODES)
+    df = encode.label_encode(df, LABEL_COLUMNS)
+    return encode.one_hot(df, string_columns(df, ("split",)))
+
+
 def with_log_target(df: DataFrame) -> DataFrame:
     """``SalePrice`` becomes ``y = log1p(SalePrice)`` in the same row as its key."""
     return df.withColumn("y", log1p_or_null(F.col(TARGET))).drop(TARGET)

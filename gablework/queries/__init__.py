@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from gablework.queries import modelling, preparation, profiling, tables  # noqa: F401
+from gablework.queries import tables, profiling, preparation, modelling  # noqa: F401, I001
 from gablework.queries.registry import ORACLES, QUERIES  # noqa: F401

@@ -12,6 +12,7 @@ from gablework.operators.profile import describe_numeric
 from gablework.queries.inputs import FEATURES, SALES_SQL, TREE_FEATURES, sales
 from gablework.queries.registry import neat, query, r
 from gablework.shared import materialize, scratch_path
+from gablework.sources import housing
 from gablework.tracking import runs
 
 # SQL of two-feature ridge: scaling and sums of each training set, solved for any alpha.
@@ -272,20 +273,33 @@ def cv_boosted(spark, d):
     return neat(folds.cv_scores(data, fitters))
 
 
-@query("stacking")
-def stacking(spark, d):
-    """Out-of-fold base predictions under a ridge; fitted on four folds, scored on the fifth."""
-    data = folds.keep_folds(sales(spark, d).drop("fold"), "k")
-    bases = {
+def four_bases():
+    return {
         "ridge": linear.ridge(FEATURES),
         "lasso": linear.lasso(FEATURES),
         "xgb": trees.boosted(TREE_FEATURES, SMALL_DEPTH),
         "lgb": trees.boosted(TREE_FEATURES, SMALL_LEAF, style="leaf", approximate=True),
     }
-    fit = stack.stacking(bases, "k", k=3)(data.where(F.col("fold") != 0))
+
+
+@query("stacking")
+def stacking(spark, d):
+    """Out-of-fold base predictions under a ridge; fitted on four folds, scored on the fifth."""
+    data = folds.keep_folds(sales(spark, d).drop("fold"), "k")
+    fit = stack.stacking(four_bases(), "k", k=3)(data.where(F.col("fold") != 0))
     return neat(fit.add(data.where(F.col("fold") == 0), "pred").select("k", "y", "pred"))
 
 
+@query("final_submission")
+def final_submission(spark, d):
+    """Five models fitted on the training rows, their predictions for the others blended and brought back to prices."""
+    data = folds.keep_folds(sales(spark, d).drop("fold"), "k")
+    fitters = {**four_bases(), "stacking": stack.stacking(four_bases(), "k", k=2)}
+    fits = folds.fit_all(data.where(F.col("fold") != 0), fitters)
+    scored = folds.predict_all(data.where(F.col("fold") == 0), fits)
+    return neat(housing.submission(scored, "k", folds.blend(folds.BLEND_FIVE), "price"), 2)
+
+
 @query("tune_boosted")
 def tune_boosted(spark, d):
     data = folds.keep_folds(sales(spark, d).drop("fold"), "k")

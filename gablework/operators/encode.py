@@ -26,8 +26,7 @@ def skewed_columns(df: DataFrame, threshold: float = 0.75, columns: Sequence[str
 
 
 def log_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    chosen = set(columns)
-    return df.select(*[log1p_or_null(col(c)).alias(c) if c in chosen else col(c) for c in df.columns])
+    return df.withColumns({c: log1p_or_null(col(c)) for c in columns})
 
 
 def fix_skewness(df: DataFrame, threshold: float = 0.75, columns: Sequence[str] | None = None) -> DataFrame:
@@ -43,8 +42,7 @@ def ordinal_code(x: Column, mapping: Mapping[str, float]) -> Column:
 
 
 def ordinal_encode(df: DataFrame, columns: Sequence[str], mapping: Mapping[str, float]) -> DataFrame:
-    chosen = set(columns)
-    return df.select(*[ordinal_code(col(c), mapping).alias(c) if c in chosen else col(c) for c in df.columns])
+    return df.withColumns({c: ordinal_code(col(c), mapping) for c in columns})
 
 
 # Label codes
@@ -114,7 +112,7 @@ def apply_labels(df: DataFrame, classes: Mapping[str, Sequence[str]]) -> DataFra
         place = F.array_position(F.array(*[F.lit(v) for v in classes[c]]), text_of(col(c)))
         return F.nullif(place, F.lit(0)).cast("int") - 1
 
-    return df.select(*[code(c).alias(c) if c in classes else col(c) for c in df.columns])
+    return df.withColumns({c: code(c) for c in classes})
 
 
 # One-hot
@@ -136,8 +134,7 @@ def one_hot_columns(cats: Mapping[str, Sequence[str]]) -> list[tuple[str, Column
 
 def apply_one_hot(df: DataFrame, cats: Mapping[str, Sequence[str]]) -> DataFrame:
     """Replace each text column by one 0/1 column per category; unseen and missing values give all zeros."""
-    kept = [col(c) for c in df.columns if c not in cats]
-    return df.select(*kept, *[e.alias(n) for n, e in one_hot_columns(cats)])
+    return df.select("*", *[e.alias(n) for n, e in one_hot_columns(cats)]).drop(*cats)
 
 
 def one_hot(df: DataFrame, columns: Sequence[str] | None = None, limit: int = MAX_CATEGORIES) -> DataFrame:
@@ -159,7 +156,7 @@ def scaled(c: str, params: tuple[float, float]) -> Column:
 
 
 def apply_scale(df: DataFrame, params: Mapping[str, tuple[float, float]]) -> DataFrame:
-    return df.select(*[scaled(c, params[c]).alias(c) if c in params else col(c) for c in df.columns])
+    return df.withColumns({c: scaled(c, p) for c, p in params.items()})
 
 
 def robust_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from gablework.operators import encode, impute
 from gablework.operators.quantile import group_medians
 from gablework.operators.rows import remove_above, union_split
-from gablework.shared import col, is_small, local_frame, materialize, numeric_columns, safe_join, string_columns
+from gablework.shared import col, is_small, local_frame, materialize, numeric_columns, quoted, safe_join, string_columns
 
 SPLIT = "split"
 
@@ -93,9 +93,9 @@ class PrepPlan:
     def transform(self, df: DataFrame) -> DataFrame:
         """key, split and target as they are, then every feature as double."""
         coded = self._encode(self._derive(self._log(self._fill(df))))
-        kept = [c for c in coded.columns if c in self._edges()]
-        feats = [c for c in coded.columns if c not in self._edges()]
-        return coded.select(*[col(c) for c in kept], *[col(c).cast("double").alias(c) for c in feats])
+        kept = [quoted(c) for c in coded.columns if c in self._edges()]
+        names = [quoted(c) for c in coded.columns if c not in self._edges()]
+        return coded.selectExpr(*kept, *[f"CAST({c} AS DOUBLE) AS {c}" for c in names])
 
     def feature_names(self, df: DataFrame) -> list[str]:
         return [c for c in self.transform(df).columns if c not in self._edges()]
@@ -108,7 +108,8 @@ class PrepPlan:
 
     def _fill(self, df: DataFrame) -> DataFrame:
         r = self.recipe
-        present = [c for c in df.columns if c not in r.drop]
+        touched = {*r.fill_text, *r.fill_number, *r.group_median, *r.group_mode, *self.modes}
+        extra = [f"__stat_{c}" for c in (*r.group_median, *r.group_mode)]
         for c, g in {**r.group_median, **r.group_mode}.items():
             stats = _load_stats(df, self.stats[c]).select(col(g), F.col("stat").alias(f"__stat_{c}"))
             small = self.stats[c].get("rows") is not None
@@ -128,9 +129,9 @@ class PrepPlan:
                         x = F.when(col(group[c]).isNotNull(), x)
             if c in self.modes:
                 x = F.coalesce(x, F.lit(self.modes[c]))
-            return x.alias(c)
+            return x
 
-        return df.select(*[filled(c) for c in present])
+        return df.withColumns({c: filled(c) for c in df.columns if c in touched}).drop(*extra, *r.drop)
 
     def _log(self, df: DataFrame) -> DataFrame:
         return encode.log_columns(df, self.skewed) if self.skewed else df
@@ -141,7 +142,7 @@ class PrepPlan:
     def _encode(self, df: DataFrame) -> DataFrame:
         maps = self.recipe.ordinal
         if maps:
-            df = df.select(*[encode.ordinal_code(col(c), maps[c]).alias(c) if c in maps else col(c) for c in df.columns])
+            df = df.withColumns({c: encode.ordinal_code(col(c), m) for c, m in maps.items()})
         return encode.apply_one_hot(encode.apply_labels(df, self.classes), self.categories)
 
     # Keeping

@@ -37,19 +37,19 @@ def schema(with_target: bool) -> T.StructType:
     return T.StructType(fields + ([T.StructField(TARGET, T.DoubleType())] if with_target else []))
 
 
-def or_null(x: Column) -> Column:
-    """NULL for the texts that mean missing."""
-    return F.when(~x.isin(NA_TOKENS), x)
-
-
 def read_csv(spark: SparkSession, path: str, wanted: T.StructType) -> DataFrame:
     """Header CSV with a fixed schema. All fields are read as text first, so that
     a missing-token in a number is NULL too; a text that is no number at all fails
     the read. NaN never gets in."""
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])
     raw = spark.read.schema(text).csv(path, header=True, enforceSchema=False)
-    return raw.select(*[or_null(F.trim(col(f.name)) if not isinstance(f.dataType, T.StringType) else col(f.name))
-                        .cast(f.dataType).alias(f.name) for f in wanted])
+    missing = ", ".join(f"'{t}'" for t in NA_TOKENS)
+
+    def typed(f: T.StructField) -> str:
+        x = quoted(f.name) if isinstance(f.dataType, T.StringType) else f"trim({quoted(f.name)})"
+        return f"CAST(CASE WHEN {x} NOT IN ({missing}) THEN {x} END AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
+
+    return raw.selectExpr(*[typed(f) for f in wanted])
 
 
 def read_sales(spark: SparkSession, path: str, with_target: bool = True) -> DataFrame:

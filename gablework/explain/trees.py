@@ -12,12 +12,14 @@ small background table, averaged over them.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from math import factorial, inf
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,9 @@ from gablework.functions import uniform_hash
 from gablework.models.trees import TreeFit
 from gablework.shared import col, scratch_path
 
+# The tasks get this code with their work, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TABLE_BITS = 8
 BACKGROUND_ROWS = 100
 
@@ -149,14 +154,13 @@ def tree_attributions(
             base += leaf.value * float(leaf.seen[1][bits.all(axis=1)].sum())
         if len(leaf.features) <= TABLE_BITS:
             leaf.table = leaf.values(np.arange(1 << len(leaf.features)))
-    shared = spark.sparkContext.broadcast(leaves)
     width, carried = len(fit.features), [key, *keep]
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = batch.iloc[:, len(carried):].to_numpy(dtype=float)
             total = np.zeros((len(batch), width))
-            for leaf in shared.value:
+            for leaf in leaves:
                 codes = leaf.codes(x)
                 if leaf.table is not None:
                     total[:, leaf.features] += leaf.table[codes]

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gablework.llm import byte_suffixes, piece_model, simhash, token_files, word_windows
-from gablework.llm.registry import query, table
+from gablework.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from gablework.shared import scratch_path
 
 

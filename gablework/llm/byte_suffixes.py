@@ -40,6 +40,7 @@ from gablework.llm.batches import (
 LENGTH = 50
 GRAM = 20
 BLOCK = 1 << 20
+BATCH = 32 << 20
 MAX_RUNS = 100_000
 CHUNK_BYTES = 8 << 20
 GRAMS = T.StructType([T.StructField("key", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("gram", T.LongType())])
@@ -80,17 +81,22 @@ def anchored_runs(laid: Laid, length: int, gram: int) -> tuple[np.ndarray, np.nd
     return at[first], np.diff(np.append(first, len(at))), hashes[place[first]]
 
 
+def gram_key(h: np.ndarray) -> np.ndarray:
+    """48 bits are enough to find candidates, and shorter in the shuffle; a chance match costs a comparison."""
+    return owners.live_key(h >> np.uint64(16))
+
+
 def find_grams(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """(key, doc, gram): the initial bucket of every run; live rows have no ``gram`` but their key."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = owners.arrow_schema(GRAMS)
-        for batch in slices(batches, 32 << 20):
+        for batch in slices(batches, BATCH):
             doc, owner, key = ids_of(batch), [], []
             for laid in blocks(text_bytes(batch), length):
                 first, _, h = anchored_runs(laid, length, gram)
                 owner.append(doc[laid.row(first)])
-                key.append(owners.live_key(h))
+                key.append(gram_key(h))
             if not key:
                 continue
             owner, key = np.concatenate(owner), np.concatenate(key)
@@ -121,29 +127,47 @@ def find_runs(docs_with_grams: DataFrame, length: int, gram: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = owners.arrow_schema(RUNS)
-        for batch in slices(batches):
+        for batch in slices(batches, BATCH):
             texts, doc = text_bytes(batch), ids_of(batch)
             offsets = batch.column("grams").offsets.to_numpy()
             values = batch.column("grams").values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+            values = np.unique(values)  # buckets of other documents in the batch do no harm
             tags = np.array([tag_of(t or b"") for t in texts], dtype=np.int64)
+            found = []
             for laid in blocks(texts, length):
                 first, n, h = anchored_runs(laid, length, gram)
-                key = owners.live_key(h)
-                kept = np.flatnonzero(np.isin(key, values))  # other documents' buckets in the batch do no harm
+                key = gram_key(h)
+                kept = np.flatnonzero(np.isin(key, values))
                 if not len(kept):
                     continue
                 first, n, key = first[kept], n[kept], key[kept]
-                row = laid.row(first)
-                owner, tag, start = doc[row], tags[row], laid.place(first)
                 whole = window_hashes(BYTE_HASHES[laid.tokens], length)
                 same = mixed(whole[first] + mixed(whole[first + n - 1]) + n.astype(np.uint64)).view(np.int64)
-                live, done = owners.settle_later(same, owner)
-                order = np.concatenate([live, done])
-                sizes = np.concatenate([n[live] + length - 1, np.zeros(len(done), np.int64)])
+                found.append((laid.tokens, first, n, key, same, laid.row(first), laid.place(first)))
+            if not found:
+                continue
+            row = np.concatenate([f[5] for f in found])
+            start = np.concatenate([f[6] for f in found])
+            n = np.concatenate([f[2] for f in found])
+            later = np.zeros(len(row), bool)
+            later[owners.settle_later(np.concatenate([f[4] for f in found]), doc[row])[1]] = True
+            base = 0
+            for tokens, first, n_, key, _, row_, start_ in found:
+                live = np.flatnonzero(~later[base : base + len(first)])
+                base += len(first)
+                yield pa.RecordBatch.from_arrays([
+                    *[pa.array(c) for c in (key[live], doc[row_[live]], tags[row_[live]], start_[live], n_[live].astype(np.int64))],
+                    take_bytes(tokens, first[live], n_[live] + length - 1),
+                ], schema=schema)
+            row, start, n = row[later], start[later], n[later]
+            if len(row):  # neighbouring done runs become one
+                new = np.append(True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + n[:-1]))
+                first = np.flatnonzero(new)
+                n = np.add.reduceat(n, first)
+                row, start = row[first], start[first]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([key[live], owners.done_key(owner[done], done)])),
-                    pa.array(owner[order]), pa.array(tag[order]), pa.array(start[order]), pa.array(n[order].astype(np.int64)),
-                    take_bytes(laid.tokens, first[order], sizes),
+                    *[pa.array(c) for c in (owners.done_key(doc[row], start.view(np.uint64)), doc[row], tags[row], start, n.astype(np.int64))],
+                    pa.array([b""] * len(row), pa.binary()),
                 ], schema=schema)
 
     return docs_with_grams.mapInArrow(read, RUNS)

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,6 +136,34 @@ def with_null_ids(joined: DataFrame, plain: DataFrame, read, schema: T.StructTyp
     return joined.mapInArrow(read, schema).union(alone.mapInArrow(read, schema))
 
 
+def packed(plain: DataFrame) -> DataFrame:
+    """(doc, text) with compressed texts, for exchanges that carry whole texts."""
+    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("text", T.BinaryType())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3, write_checksum=False, write_dict_id=False).compress
+        for batch in slices(batches):
+            texts = [None if t is None else pack(t) for t in text_bytes(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.binary())], names=["doc", "text"])
+
+    return plain.mapInArrow(read, schema)
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The reverse in a task, cut so that the texts of a batch hold about ``limit`` bytes at most."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        texts, a, size = [], 0, 0
+        at = batch.schema.get_field_index("text")
+        raw = batch.column(at).to_pylist()
+        for i, t in enumerate(raw):
+            texts.append(None if t is None else unpack(t))
+            size += len(texts[-1] or b"")
+            if size >= limit or i + 1 == len(raw):
+                yield batch.slice(a, i + 1 - a).set_column(at, "text", pa.array(texts, pa.binary()))
+                texts, a, size = [], i + 1, 0
+
+
 def tag_of(text: bytes) -> int:
     """Tells apart the texts of rows with equal ids."""
     return xxhash.xxh64_intdigest(text) - (1 << 63)

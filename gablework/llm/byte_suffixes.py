@@ -4,6 +4,7 @@ A byte is removed when a string of ``length`` bytes that covers it also starts i
 smaller id. Suffixes of one order up to ``length`` bytes stand in one bucket; a bucket is refined by
 sorting on the buckets that its suffixes' later offsets stand in.
 
+0. Whole texts that a smaller document has too are settled by their digests and take no further part.
 1. Initial buckets are q-grams. Of the suffixes, each string of ``length`` bytes needs only one with
    its anchor (smallest q-gram, by hash), so a run of neighbouring strings with one anchor is one row.
    Buckets that a single document has are final and go no further.
@@ -23,6 +24,7 @@ character in two, so ``kept`` is binary. Other columns are not read. An empty ta
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,7 @@ from pyspark.sql import types as T
 
 from gablework.llm import owners
 from gablework.llm.batches import (
-    Laid, anchors, covered, ids_of, keyed_texts, long_field, mixed, segments, slices, tag_of, text_bytes,
+    Laid, anchors, covered, ids_of, keyed_texts, long_field, mixed, packed, segments, tag_of, text_bytes, unpacked,
     window_hashes, with_null_ids,
 )
 
@@ -91,7 +93,7 @@ def find_grams(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = owners.arrow_schema(GRAMS)
-        for batch in slices(batches, BATCH):
+        for batch in without_copies(batches, BATCH):
             doc, owner, key = ids_of(batch), [], []
             for laid in blocks(text_bytes(batch), length):
                 first, _, h = anchored_runs(laid, length, gram)
@@ -127,7 +129,7 @@ def find_runs(docs_with_grams: DataFrame, length: int, gram: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = owners.arrow_schema(RUNS)
-        for batch in slices(batches, BATCH):
+        for batch in without_copies(batches, BATCH):
             texts, doc = text_bytes(batch), ids_of(batch)
             offsets = batch.column("grams").offsets.to_numpy()
             values = batch.column("grams").values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
@@ -284,26 +286,49 @@ def compare_runs(rows: DataFrame, length: int, gram: int, max_runs: int = MAX_RU
     return owners.streamed(rows, read, FOUND)
 
 
+def copies(known: DataFrame) -> DataFrame:
+    """(doc, copied): digests of the texts of a document that a smaller document has as a whole."""
+    marked = known.where("text IS NOT NULL").select("doc", F.unhex(F.sha2("text", 256)).alias("digest"))
+    first = marked.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    found = marked.join(first, "digest").where("doc > first")
+    return found.groupBy("doc").agg(F.collect_set("digest").alias("copied"))
+
+
+def is_copy(text: bytes | None, copied: pa.Scalar) -> bool:
+    return copied.is_valid and hashlib.sha256(text or b"").digest() in copied.as_py()
+
+
+def without_copies(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    for batch in unpacked(batches, limit):
+        copied = batch.column("copied")
+        left = [not is_copy(t, c) for t, c in zip(text_bytes(batch), copied, strict=True)]
+        if any(left):
+            yield batch if all(left) else batch.filter(pa.array(left))
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
                     max_runs: int = MAX_RUNS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) for every row; ``kept`` are the bytes left, in order."""
     plain = keyed_texts(docs, id_col, text_col)
     known = plain.where("doc IS NOT NULL")
-    dealt = known.repartition("doc")  # used twice below; the plan keeps one exchange
-    buckets = owners.repeated(find_grams(known, length, gram))
+    # Used three times below; the plan keeps one exchange. Copies of whole texts are known without comparing strings.
+    dealt = packed(known).repartition("doc").hint("merge").join(copies(known), "doc", "left")
+    buckets = owners.repeated(find_grams(dealt, length, gram))
     grams = buckets.groupBy("doc").agg(F.collect_list(F.coalesce("gram", "key")).alias("grams"))
-    runs = find_runs(dealt.hint("merge").join(grams, "doc"), length, gram)
+    runs = find_runs(dealt.join(grams.hint("merge"), "doc"), length, gram)
     found = owners.later(compare_runs(runs, length, gram, max_runs))
     removed = found.groupBy("doc").agg(F.collect_list(F.struct("tag", "start", "n")).alias("found"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = owners.arrow_schema(KEPT)
-        for batch in slices(batches):
+        for batch in unpacked(batches):
             spans, columns = batch.column("found"), ([], [], [], [])
             for i, text in enumerate(text_bytes(batch)):
                 text, n_removed, n_spans = text or b"", 0, 0
                 size = len(text)
-                if spans[i].is_valid:
+                if size >= length and is_copy(text, batch.column("copied")[i]):
+                    n_removed, n_spans, text = size, 1, b""
+                elif spans[i].is_valid:
                     own = spans[i].values
                     tag, start, n = (own.field(c).to_numpy(zero_copy_only=False) for c in ("tag", "start", "n"))
                     mine = tag == tag_of(text)
@@ -316,4 +341,4 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]], schema=schema)
 
-    return with_null_ids(dealt.hint("merge").join(removed, "doc", "left"), plain, read, KEPT)
+    return with_null_ids(dealt.join(removed.hint("merge"), "doc", "left"), packed(plain.where("doc IS NULL")), read, KEPT)

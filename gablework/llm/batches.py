@@ -137,7 +137,7 @@ def with_null_ids(joined: DataFrame, plain: DataFrame, read, schema: T.StructTyp
 
 
 def packed(plain: DataFrame) -> DataFrame:
-    """(doc, text) with compressed texts, for exchanges that carry whole texts."""
+    """(doc, text) of the rows that have an id, with compressed texts, for exchanges that carry whole texts."""
     schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("text", T.BinaryType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +146,7 @@ def packed(plain: DataFrame) -> DataFrame:
             texts = [None if t is None else pack(t) for t in text_bytes(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.binary())], names=["doc", "text"])
 
-    return plain.mapInArrow(read, schema)
+    return plain.mapInArrow(read, schema).where("doc IS NOT NULL")  # as joins ask, so that they share the exchange
 
 
 def unpacked(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:

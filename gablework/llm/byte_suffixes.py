@@ -12,6 +12,7 @@ sorting on the buckets that its suffixes' later offsets stand in.
    every place its q-gram as bucket pointer. Strings are sorted on (own pointer, pointer at offset
    q), which gives the pointers for 2q; those are used again for the next step, up to ``length``.
    After each step strings whose bucket holds one document are final and are left out.
+   The anchor's own bytes are not sent: all rows of a bucket have the same.
 3. A bucket of more than ``MAX_RUNS`` rows is not gathered. Its strings go on as single rows to a
    streamed comparison, which keeps one row at a time: exact as well, but one row per string.
 
@@ -36,8 +37,9 @@ from pyspark.sql import types as T
 from gablework.llm import owners
 from gablework.llm.batches import (
     Laid, anchors, covered, ids_of, keyed_texts, long_field, mixed, packed, segments, tag_of, text_bytes, unpacked,
-    window_hashes, with_null_ids,
+    window_hashes,
 )
+from gablework.llm.owners import runs
 
 LENGTH = 50
 GRAM = 20
@@ -46,7 +48,7 @@ BATCH = 32 << 20
 MAX_RUNS = 100_000
 CHUNK_BYTES = 8 << 20
 GRAMS = T.StructType([T.StructField("key", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("gram", T.LongType())])
-RUNS = T.StructType([*long_field("key", "doc", "tag", "start", "n").fields, T.StructField("bytes", T.BinaryType())])
+RUNS = T.StructType([*long_field("key", "doc", "tag", "start", "n").fields, T.StructField("cut", T.IntegerType()), T.StructField("bytes", T.BinaryType())])
 FOUND = long_field("key", "doc", "tag", "start", "n")
 KEPT = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -72,15 +74,15 @@ def blocks(texts: list[bytes | None], length: int) -> Iterator[Laid]:
         yield Laid(parts, length)
 
 
-def anchored_runs(laid: Laid, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of neighbouring strings with one anchor: first place, number of strings, the anchor's hash."""
+def anchored_runs(laid: Laid, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of neighbouring strings with one anchor: first place, number of strings, the anchor's place; all q-gram hashes."""
     hashes = window_hashes(BYTE_HASHES[laid.tokens], gram)
     at = np.flatnonzero(laid.valid)
     if not len(at):
-        return at, at, hashes[:0]
+        return at, at, at, hashes
     place = anchors(hashes, length - gram + 1)[at]
-    first = owners.runs(laid.part[at], place)
-    return at[first], np.diff(np.append(first, len(at))), hashes[place[first]]
+    first = runs(laid.part[at], place)
+    return at[first], np.diff(np.append(first, len(at))), place[first], hashes
 
 
 def gram_key(h: np.ndarray) -> np.ndarray:
@@ -96,14 +98,14 @@ def find_grams(docs: DataFrame, length: int, gram: int) -> DataFrame:
         for batch in without_copies(batches, BATCH):
             doc, owner, key = ids_of(batch), [], []
             for laid in blocks(text_bytes(batch), length):
-                first, _, h = anchored_runs(laid, length, gram)
+                first, _, place, hashes = anchored_runs(laid, length, gram)
                 owner.append(doc[laid.row(first)])
-                key.append(gram_key(h))
+                key.append(gram_key(hashes[place]))
             if not key:
                 continue
             owner, key = np.concatenate(owner), np.concatenate(key)
             once = np.lexsort((owner, key))
-            once = once[owners.runs(key[once], owner[once])]
+            once = once[runs(key[once], owner[once])]
             owner, key = owner[once], key[once]
             live, done = owners.settle_repeated(key, owner)
             known = np.concatenate([np.zeros(len(live), np.int64), key[done]])
@@ -116,12 +118,36 @@ def find_grams(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(read, GRAMS)
 
 
-def take_bytes(tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """A binary array of slices, without a Python object per row."""
+def whole_hash(grams: np.ndarray, starts: np.ndarray, sizes: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of slices, from the hashes of the q-grams that cover them."""
+    out = mixed(sizes.astype(np.uint64) + grams[starts + sizes - gram])
+    for at in range(0, int(sizes.max()) - gram + 1, gram):
+        out = mixed(out + grams[starts + np.minimum(at, sizes - gram)])
+    return out
+
+
+def flanks(tokens: np.ndarray, starts: np.ndarray, cuts: np.ndarray, sizes: np.ndarray, gram: int) -> pa.Array:
+    """Slices without the q-gram at ``cuts``, which the key stands for; no Python object per row."""
     offsets = np.zeros(len(starts) + 1, np.int32)
-    np.cumsum(sizes, out=offsets[1:])
-    places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
-    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(tokens[places])])
+    np.cumsum(sizes - gram, out=offsets[1:])
+    nth = np.arange(offsets[-1]) - np.repeat(offsets[:-1], sizes - gram)
+    nth += np.where(nth >= np.repeat(cuts, sizes - gram), gram, 0) + np.repeat(starts, sizes - gram)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(tokens[nth])])
+
+
+def restored(rows: pa.Table, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs' bytes end to end and where each starts; the place of the q-gram is filled with the key."""
+    texts = pa.concat_arrays(rows.column("bytes").chunks)
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    sent = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    sizes = rows.column("n").to_numpy() + length - 1
+    starts = np.cumsum(sizes) - sizes
+    data, filled = np.zeros(sizes.sum(), np.uint8), np.zeros(sizes.sum(), bool)
+    places = (starts + rows.column("cut").to_numpy())[:, None] + np.arange(gram)
+    filled[places] = True
+    data[places] = rows.column("key").to_numpy().view(np.uint8).reshape(-1, 8)[:, np.arange(gram) % 8]
+    data[~filled] = sent
+    return data, starts
 
 
 def find_runs(docs_with_grams: DataFrame, length: int, gram: int) -> DataFrame:
@@ -137,15 +163,14 @@ def find_runs(docs_with_grams: DataFrame, length: int, gram: int) -> DataFrame:
             tags = np.array([tag_of(t or b"") for t in texts], dtype=np.int64)
             found = []
             for laid in blocks(texts, length):
-                first, n, h = anchored_runs(laid, length, gram)
-                key = gram_key(h)
-                kept = np.flatnonzero(np.isin(key, values))
+                first, n, place, hashes = anchored_runs(laid, length, gram)
+                key = gram_key(hashes[place])
+                kept = np.flatnonzero(values[np.minimum(np.searchsorted(values, key), len(values) - 1)] == key)
                 if not len(kept):
                     continue
-                first, n, key = first[kept], n[kept], key[kept]
-                whole = window_hashes(BYTE_HASHES[laid.tokens], length)
-                same = mixed(whole[first] + mixed(whole[first + n - 1]) + n.astype(np.uint64)).view(np.int64)
-                found.append((laid.tokens, first, n, key, same, laid.row(first), laid.place(first)))
+                first, n, key, place = first[kept], n[kept], key[kept], place[kept]
+                same = whole_hash(hashes, first, n + length - 1, gram).view(np.int64)
+                found.append((laid.tokens, first, n, key, same, laid.row(first), laid.place(first), place - first))
             if not found:
                 continue
             row = np.concatenate([f[5] for f in found])
@@ -154,12 +179,13 @@ def find_runs(docs_with_grams: DataFrame, length: int, gram: int) -> DataFrame:
             later = np.zeros(len(row), bool)
             later[owners.settle_later(np.concatenate([f[4] for f in found]), doc[row])[1]] = True
             base = 0
-            for tokens, first, n_, key, _, row_, start_ in found:
+            for tokens, first, n_, key, _, row_, start_, cut in found:
                 live = np.flatnonzero(~later[base : base + len(first)])
                 base += len(first)
                 yield pa.RecordBatch.from_arrays([
                     *[pa.array(c) for c in (key[live], doc[row_[live]], tags[row_[live]], start_[live], n_[live].astype(np.int64))],
-                    take_bytes(tokens, first[live], n_[live] + length - 1),
+                    pa.array(cut[live].astype(np.int32)),
+                    flanks(tokens, first[live], cut[live], n_[live] + length - 1, gram),
                 ], schema=schema)
             row, start, n = row[later], start[later], n[later]
             if len(row):  # neighbouring done runs become one
@@ -169,61 +195,50 @@ def find_runs(docs_with_grams: DataFrame, length: int, gram: int) -> DataFrame:
                 row, start = row[first], start[first]
                 yield pa.RecordBatch.from_arrays([
                     *[pa.array(c) for c in (owners.done_key(doc[row], start.view(np.uint64)), doc[row], tags[row], start, n.astype(np.int64))],
-                    pa.array([b""] * len(row), pa.binary()),
+                    pa.array(np.zeros(len(row), np.int32)), pa.array([b""] * len(row), pa.binary()),
                 ], schema=schema)
 
     return docs_with_grams.mapInArrow(read, RUNS)
 
 
-def one_document(group: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For (group, doc) sorted rows: whether the group has one document, and the group's smallest one."""
-    starts = owners.runs(group)
-    ends = np.append(starts[1:], len(group))
-    sizes = ends - starts
-    return np.repeat(doc[starts] == doc[ends - 1], sizes), np.repeat(doc[starts], sizes)
-
-
 def refine(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int, gram: int) -> np.ndarray:
     """Whether the string at each place also starts in a smaller document; places are in ``data``."""
-    pointer = window_hashes(BYTE_HASHES[data], gram).copy()
-    out, left, width, step = np.zeros(len(at), bool), np.arange(len(at)), gram, 0
-    own = pointer[at]
-    while True:
-        # own: the bucket, of ``width`` bytes, of every string left. ``step`` 0 sorts the initial buckets.
-        later = pointer[at[left] + step] if step else own
-        order = np.lexsort((doc[left], later, own))
-        left, own, later = left[order], own[order], later[order]
-        starts = owners.runs(own, later)
-        bucket = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(left))))
-        alone, smallest = one_document(bucket, doc[left])
+    pointer = window_hashes(BYTE_HASHES[data], gram)
+    out, left = np.zeros(len(at), bool), np.arange(len(at))
+    bucket, step, width = pointer[at], 0, gram
+    while len(left):
+        order = np.argsort(bucket)
+        left, bucket = left[order], bucket[order]
+        starts = runs(bucket)
+        sizes = np.diff(np.append(starts, len(left)))
+        own = doc[left]
+        smallest = np.minimum.reduceat(own, starts)
         if width == length:
-            out[left] = doc[left] > smallest
-            return out
-        left, bucket = left[~alone], bucket[~alone]
-        if not len(left):
+            out[left] = own > np.repeat(smallest, sizes)
             return out
-        own = bucket.astype(np.uint64)
+        shared = np.repeat(np.maximum.reduceat(own, starts) > smallest, sizes)  # the others are final
+        left, bucket = left[shared], bucket[shared]
         step = min(width, length - gram)
         width = step + gram
+        bucket = mixed(bucket + mixed(pointer[at[left] + step]))  # the bucket, refined by the later offset's pointer
+    return out
 
 
-def compare_runs(rows: DataFrame, length: int, gram: int, max_runs: int = MAX_RUNS) -> DataFrame:
+def compare_runs(rows: DataFrame, length: int, gram: int, max_runs: int = MAX_RUNS,
+                 chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Spans of strings that a smaller document has (done), and the strings of huge buckets (live)."""
 
     def settle(chunk: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(chunk).combine_chunks()
-        texts = table.column("bytes").combine_chunks()
-        texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
-        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-        data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        table = pa.Table.from_batches(chunk)
+        data, starts = restored(table, length, gram)
         doc, tag, start, n = (table.column(c).to_numpy() for c in ("doc", "tag", "start", "n"))
         owner = np.repeat(np.arange(len(n)), n)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        at = (offsets[:-1] - offsets[0])[owner] + nth
+        at = starts[owner] + nth
         late = np.flatnonzero(refine(data, at, doc[owner], length, gram))
         if not len(late):
             return
-        first = late[owners.runs(owner[late], late - np.arange(len(late)))]
+        first = late[runs(owner[late], late - np.arange(len(late)))]
         count = np.diff(np.append(np.searchsorted(late, first), len(late)))
         yield spans(doc[owner[first]], tag[owner[first]], start[owner[first]] + nth[first], count)
 
@@ -233,10 +248,10 @@ def compare_runs(rows: DataFrame, length: int, gram: int, max_runs: int = MAX_RU
 
     def single(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         doc, tag, start, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "tag", "start", "n"))
-        texts = text_bytes(batch, "bytes")
-        hashes = np.concatenate([window_hashes(BYTE_HASHES[np.frombuffer(t, np.uint8)], length) for t in texts])
+        data, starts = restored(pa.Table.from_batches([batch]), length, gram)
         owner = np.repeat(np.arange(len(n)), n)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        hashes = window_hashes(BYTE_HASHES[data], length)[starts[owner] + nth]
         live, done = owners.settle_later(owners.live_key(hashes), doc[owner])
         order = np.concatenate([live, done])
         d, s = doc[owner[order]], (start[owner] + nth)[order]
@@ -265,7 +280,7 @@ def compare_runs(rows: DataFrame, length: int, gram: int, max_runs: int = MAX_RU
             huge = None
             chunk.append(batch)
             size += batch.column("bytes").nbytes
-            if size < CHUNK_BYTES:
+            if size < chunk_bytes:
                 continue
             table = pa.Table.from_batches(chunk).combine_chunks()
             keys = table.column("key").to_numpy()
@@ -307,7 +322,7 @@ def without_copies(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-                    max_runs: int = MAX_RUNS) -> DataFrame:
+                    max_runs: int = MAX_RUNS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) for every row; ``kept`` are the bytes left, in order."""
     plain = keyed_texts(docs, id_col, text_col)
     known = plain.where("doc IS NOT NULL")
@@ -315,8 +330,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
     dealt = packed(known).repartition("doc").hint("merge").join(copies(known), "doc", "left")
     buckets = owners.repeated(find_grams(dealt, length, gram))
     grams = buckets.groupBy("doc").agg(F.collect_list(F.coalesce("gram", "key")).alias("grams"))
-    runs = find_runs(dealt.join(grams.hint("merge"), "doc"), length, gram)
-    found = owners.later(compare_runs(runs, length, gram, max_runs))
+    found_runs = find_runs(dealt.join(grams.hint("merge"), "doc"), length, gram)
+    found = owners.later(compare_runs(found_runs, length, gram, max_runs, chunk_bytes))
     removed = found.groupBy("doc").agg(F.collect_list(F.struct("tag", "start", "n")).alias("found"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,4 +356,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]], schema=schema)
 
-    return with_null_ids(dealt.join(removed.hint("merge"), "doc", "left"), packed(plain.where("doc IS NULL")), read, KEPT)
+    alone = plain.where("doc IS NULL").select(
+        F.col("doc").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("kept"))
+    return dealt.join(removed.hint("merge"), "doc", "left").mapInArrow(read, KEPT).union(alone)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import byte_suffixes, piece_model, simhash, token_files, word_windows
+from gablework.llm import byte_suffixes, languages, piece_model, quality, simhash, spaced_seeds, token_files, word_windows
 from gablework.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from gablework.shared import scratch_path
 
@@ -22,6 +22,11 @@ def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op4_languages")
+def language_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identified(table(spark, sf_dir, "documents"))
+
+
 @query("op5_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -35,9 +40,19 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op8_decontamination", spaced_seeds.leaks_sql())
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seeds.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op9_token_files")
 def tokens_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     codec = token_files.tokenizer_codec(spark, public_tokenizers.path("word_bpe_49k.json"))
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, codec, end_id=2)
     return token_files.checked(spark, path)
+
+
+@query("op10_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

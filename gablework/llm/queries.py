@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import byte_suffixes, languages, piece_model, quality, simhash, spaced_seeds, token_files, word_windows
+from gablework.llm import byte_suffixes, languages, piece_model, projection_forest, quality, simhash, spaced_seeds, token_files, word_windows
 from gablework.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from gablework.shared import scratch_path
 
@@ -34,6 +34,11 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op6_nearest_vectors")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_forest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query("op7_substring_dedup")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = word_windows.without_repeats(table(spark, sf_dir, "documents"))

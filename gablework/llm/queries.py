@@ -6,11 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import byte_suffixes, languages, piece_model, projection_forest, quality, simhash, spaced_seeds, token_files, word_windows
+from gablework.llm import byte_suffixes, language_model, languages, piece_model, projection_forest, quality, simhash, spaced_seeds, token_files, word_windows
 from gablework.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from gablework.shared import scratch_path
 
 
+@query("op1_lm_scoring")
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return language_model.scored(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 @query("op2_suffix_dedup")
 def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = byte_suffixes.without_repeats(table(spark, sf_dir, "documents"))

@@ -19,9 +19,10 @@ SEGMENT = 1 << 22  # a longer sequence is cut into overlapping segments
 PLACE_BITS = 24
 
 
-def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The two columns an operator reads, under the names ``doc`` and ``text``."""
-    return docs.select(col(id_col).cast("long").alias("doc"), col(text_col).cast("string").alias("text"))
+def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """The two columns an operator reads, under the names ``doc`` and ``text``; ``carry``: others, as ``carried``."""
+    more = [F.struct(*[col(c) for c in carry]).alias("carried")] if carry else []
+    return docs.select(col(id_col).cast("long").alias("doc"), col(text_col).cast("string").alias("text"), *more)
 
 
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
@@ -137,14 +138,14 @@ def with_null_ids(joined: DataFrame, plain: DataFrame, read, schema: T.StructTyp
 
 
 def packed(plain: DataFrame) -> DataFrame:
-    """(doc, text) of the rows that have an id, with compressed texts, for exchanges that carry whole texts."""
-    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("text", T.BinaryType())])
+    """The rows that have an id, with compressed texts, for exchanges that carry whole texts."""
+    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in plain.schema])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3, write_checksum=False, write_dict_id=False).compress
         for batch in slices(batches):
             texts = [None if t is None else pack(t) for t in text_bytes(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.binary())], names=["doc", "text"])
+            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.binary()))
 
     return plain.mapInArrow(read, schema).where("doc IS NOT NULL")  # as joins ask, so that they share the exchange
 

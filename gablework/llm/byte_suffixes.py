@@ -26,9 +26,10 @@ character in two, so ``kept`` is binary. Other columns are not read. An empty ta
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -322,10 +323,12 @@ def without_copies(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-                    max_runs: int = MAX_RUNS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept) for every row; ``kept`` are the bytes left, in order."""
-    plain = keyed_texts(docs, id_col, text_col)
+                    max_runs: int = MAX_RUNS, chunk_bytes: int = CHUNK_BYTES, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept) for every row; ``kept`` are the bytes left, in order.
+    Columns named in ``carry`` come along in the struct ``carried``."""
+    plain = keyed_texts(docs, id_col, text_col, carry)
     known = plain.where("doc IS NOT NULL")
+    out_schema = T.StructType([*KEPT.fields, *([plain.schema["carried"]] if carry else [])])
     # Used three times below; the plan keeps one exchange. Copies of whole texts are known without comparing strings.
     dealt = packed(known).repartition("doc").hint("merge").join(copies(known), "doc", "left")
     buckets = owners.repeated(find_grams(dealt, length, gram))
@@ -335,7 +338,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
     removed = found.groupBy("doc").agg(F.collect_list(F.struct("tag", "start", "n")).alias("found"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = owners.arrow_schema(KEPT)
+        schema = owners.arrow_schema(out_schema)
         for batch in unpacked(batches):
             spans, columns = batch.column("found"), ([], [], [], [])
             for i, text in enumerate(text_bytes(batch)):
@@ -354,9 +357,31 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
                 for c, v in zip(columns, (size, n_removed, n_spans, text), strict=True):
                     c.append(v)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]], schema=schema)
+                [batch.column("doc"), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:5], strict=True)],
+                 *([batch.column("carried")] if carry else [])], schema=schema)
 
     alone = plain.where("doc IS NULL").select(
         F.col("doc").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
-        F.lit(0).cast("long").alias("n_spans"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("kept"))
-    return dealt.join(removed.hint("merge"), "doc", "left").mapInArrow(read, KEPT).union(alone)
+        F.lit(0).cast("long").alias("n_spans"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("kept"),
+        *(["carried"] if carry else []))
+    return dealt.join(removed.hint("merge"), "doc", "left").mapInArrow(read, out_schema).union(alone)
+
+
+def cut_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the repeated bytes cut out of the texts, all columns kept, ``n_chars`` brought up to date.
+    Bytes of a character that was cut in two go as well. A document of which nothing is left goes; texts that
+    were null or empty before stay as they are."""
+    found = without_repeats(docs, length, id_col=id_col, text_col=text_col, carry=docs.columns)
+
+    @F.pandas_udf("string")
+    def whole_characters(kept: pd.Series) -> pd.Series:
+        return kept.map(lambda b: bytes(b).decode(errors="ignore"))
+
+    changed = F.col("n_removed") > 0
+    found = found.where((F.col("n_removed") < F.col("n_bytes")) | (F.col("n_bytes") == 0))
+    found = found.withColumn("__text", F.when(changed, whole_characters("kept")).otherwise(F.col("carried").getField(text_col)))
+    new = {text_col: F.col("__text")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(changed, F.char_length("__text").cast(kind)).otherwise(F.col("carried").getField("n_chars"))
+    return found.select(*[new.get(c, F.col("carried").getField(c)).alias(c) for c in docs.columns])

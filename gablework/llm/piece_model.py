@@ -29,6 +29,10 @@ from gablework.llm.owners import arrow_schema
 KEPT_PIECES = 300_000  # matches and words whose ids a task remembers; beyond, it starts anew
 LONG_PIECE = 200  # longer matches are not remembered
 MAX_VOCABULARY_BYTES = 64 << 20
+LISTS = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
+    T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType()),
+])
 ENCODED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
     T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType()),
@@ -175,3 +179,21 @@ def encoded(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id
     return keyed_texts(docs, id_col, text_col).mapInArrow(read, ENCODED)
 
 
+
+
+def token_lists(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids, round_trip): ids as a list, and whether they decode to the text's bytes."""
+    file = shared_file(docs.sparkSession, rank_path)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, schema = PieceCodec(file.value, pattern), arrow_schema(LISTS)
+        for batch in slices(batches, 2 << 20):
+            raw = [t or b"" for t in text_bytes(batch)]
+            ids = codec.encode([t.decode() for t in raw])
+            ends = np.append(0, np.cumsum([len(x) // 4 for x in ids])).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc"), pa.array(np.diff(ends).astype(np.int64)), lists.cast(schema.field("ids").type),
+                pa.array([codec.decode(x) == t for x, t in zip(ids, raw, strict=True)])], schema=schema)
+
+    return keyed_texts(docs, id_col, text_col).mapInArrow(read, LISTS)

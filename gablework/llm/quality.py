@@ -158,3 +158,19 @@ def classified(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """(doc_id, held_out, score, predicted) for every row."""
     found = scored(docs, learn(docs, labels))
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, all columns kept; one pass after learning."""
+    model = learn(docs, labels)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, texts, good = 0, batch.column(text_col).cast(pa.binary()).to_pylist(), []
+            while at < len(texts):  # some texts at a time, so that long ones do not add up
+                good.append(model.score(features(texts[at : at + 1000])) >= threshold)
+                at += 1000
+            if good:
+                yield batch.filter(pa.array(np.concatenate(good)))
+
+    return docs.mapInArrow(read, docs.schema)

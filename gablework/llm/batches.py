@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import sys
+import types
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -37,7 +40,7 @@ def ids_of(batch: pa.RecordBatch, name: str = "doc") -> np.ndarray:
 def slices(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that their texts hold about ``limit`` bytes at most; one text is never cut."""
     for batch in batches:
-        sizes = np.array([len(x or b"") for x in text_bytes(batch)], dtype=np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         part = (np.cumsum(sizes) - sizes) // limit
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(sizes)]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -126,6 +129,27 @@ def anchors(gram_hashes: np.ndarray, width: int) -> np.ndarray:
     return (sliding_min(marked, width) & low).astype(np.int64)
 
 
+class Remembered(dict):
+    """Results of ``make`` by key; beyond ``most`` keys, and for long keys, new ones are made but not kept."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int, longest: int):
+        self.make, self.most, self.longest = make, most, longest
+
+    def __missing__(self, key: str) -> bytes:
+        out = self.make(key)
+        if len(self) < self.most and len(key) <= self.longest:
+            self[key] = out
+        return out
+
+
+def per_worker(name: str, make: Callable[[], object]) -> object:
+    """One object per Python worker process, for the tasks that run there one after the other."""
+    held = sys.modules.setdefault("gablework_task_memory", types.ModuleType("gablework_task_memory"))
+    if not hasattr(held, name):
+        setattr(held, name, make())
+    return getattr(held, name)
+
+
 def long_field(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.LongType()) for n in names])
 

@@ -4,13 +4,14 @@ Every byte is shown as one printable character (the usual table of byte-level vo
 token as the characters of its bytes. A piece's score is its negative rank, so that sentencepiece merges
 the pair of lowest rank first, the leftmost of equals, as the rank file asks. Normalisation is
 identity: no prefix, no escaping, no removal of spaces. The pattern splits a text before; every match
-is encoded on its own, each different one once per task and ``KEPT_PIECES``.
+is encoded on its own, and a worker remembers the ids of those it has met.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+import zlib
 
 from collections.abc import Iterator
 from struct import pack
@@ -23,10 +24,10 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from gablework.llm.batches import keyed_texts, slices, text_bytes
+from gablework.llm.batches import Remembered, keyed_texts, per_worker, slices, text_bytes
 from gablework.llm.owners import arrow_schema
 
-KEPT_PIECES = 300_000  # matches and words whose ids a task remembers; beyond, it starts anew
+KEPT_PIECES, KEPT_WORDS = 50_000, 250_000  # matches and words whose ids a worker remembers
 LONG_PIECE = 200  # longer matches are not remembered
 MAX_VOCABULARY_BYTES = 64 << 20
 LISTS = T.StructType([
@@ -88,7 +89,7 @@ def serialised_model(ranks: dict[bytes, int]) -> bytes:
 
 
 class PieceCodec:
-    """Encodes and decodes texts; made once per task."""
+    """Encodes and decodes texts."""
 
     def __init__(self, rank_file: bytes, pattern: str):
         self.ranks = read_ranks(rank_file)
@@ -97,58 +98,40 @@ class PieceCodec:
         self.shown = {b: s for b, s in enumerate(shown_bytes())}
         self.split = regex.compile(pattern).findall
         self.parts = re.compile(r"(?<=\S) (?=\S)").split
-        self.kept: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def ids_of(self, pieces: list[str]) -> list[bytes]:
-        """Ids of single matches, as little-endian 32-bit integers. A match that is a token is that token."""
-        raw = [p.encode() for p in pieces]
-        out: list[bytes] = [b""] * len(pieces)
-        rest = []
-        for n, r in enumerate(raw):
-            if (rank := self.ranks.get(r)) is None:
-                rest.append(n)
-            else:
-                out[n] = rank.to_bytes(4, "little")
-        shown = ["".join(map(self.shown.__getitem__, raw[n])) for n in rest]
-        for n, ids in zip(rest, self.model.encode(shown, num_threads=1), strict=True):
-            out[n] = pack(f"<{len(ids)}I", *ids)
-        return out
-
-    def pieces_to_ids(self, strings: list[str]) -> list[bytes]:
-        split = [self.split(s) for s in strings]
-        kept = self.kept
-        if len(kept) > KEPT_PIECES:
-            kept.clear()
-        new = list({p for pieces in split for p in pieces if p not in kept})
-        kept.update(zip(new, self.ids_of(new), strict=True))
-        out = [b"".join(map(kept.__getitem__, pieces)) for pieces in split]
-        for p in [p for p in new if len(p) > LONG_PIECE]:
-            del kept[p]
-        return out
+        self.pieces = Remembered(self.piece, KEPT_PIECES, LONG_PIECE)
+        self.words = Remembered(self.word, KEPT_WORDS, LONG_PIECE)
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one match, as little-endian 32-bit integers. A match that is a token is that token."""
+        raw = piece.encode()
+        if (rank := self.ranks.get(raw)) is not None:
+            return rank.to_bytes(4, "little")
+        ids = self.model.encode("".join(map(self.shown.__getitem__, raw)))
+        return pack(f"<{len(ids)}I", *ids)
+
+    def word(self, word: str) -> bytes:
+        """Ids of a space and what follows up to the next one."""
+        if word.isalpha():  # one match of the pattern
+            return self.piece(" " + word)
+        return b"".join(map(self.pieces.__getitem__, self.split(" " + word)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """No match of the pattern crosses a single space between two characters that are no spaces, except
         that the space may begin one. So the parts between are encoded once each, with the space before."""
-        parts = [self.parts(t) for t in texts]
-        words = self.words
-        if len(words) > KEPT_PIECES:
-            words.clear()
-        new = list({w for p in parts for w in p[1:] if w not in words})
-        letters = [w for w in new if w.isalpha()]  # one match of the pattern
-        words.update(zip(letters, self.ids_of([" " + w for w in letters]), strict=True))
-        others = [w for w in new if not w.isalpha()]
-        words.update(zip(others, self.pieces_to_ids([" " + w for w in others]), strict=True))
-        first = self.pieces_to_ids([p[0] for p in parts])
-        out = [f + b"".join(map(words.__getitem__, p[1:])) for f, p in zip(first, parts, strict=True)]
-        for w in [w for w in new if len(w) > LONG_PIECE]:
-            del words[w]
+        out = []
+        for text in texts:
+            first, *rest = self.parts(text)
+            out.append(b"".join(map(self.pieces.__getitem__, self.split(first))) + b"".join(map(self.words.__getitem__, rest)))
         return out
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+def codec_of(file: bytes, pattern: str) -> PieceCodec:
+    return per_worker(f"pieces_{zlib.crc32(file + pattern.encode()):08x}", lambda: PieceCodec(file, pattern))
+
+
 def shared_file(spark: SparkSession, path: str) -> Broadcast:
     """A vocabulary file, read by the driver and sent to the tasks; its size is checked."""
     with open(path, "rb") as f:
@@ -168,7 +151,7 @@ def encoded(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id
     file = shared_file(docs.sparkSession, rank_path)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, schema = PieceCodec(file.value, pattern), arrow_schema(ENCODED)
+        codec, schema = codec_of(file.value, pattern), arrow_schema(ENCODED)
         for batch in slices(batches, 2 << 20):
             ids = codec.encode([(t or b"").decode() for t in text_bytes(batch)])
             yield pa.RecordBatch.from_arrays([
@@ -186,7 +169,7 @@ def token_lists(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "do
     file = shared_file(docs.sparkSession, rank_path)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, schema = PieceCodec(file.value, pattern), arrow_schema(LISTS)
+        codec, schema = codec_of(file.value, pattern), arrow_schema(LISTS)
         for batch in slices(batches, 2 << 20):
             raw = [t or b"" for t in text_bytes(batch)]
             ids = codec.encode([t.decode() for t in raw])

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +20,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.batches import keyed_texts, slices, text_bytes
+from gablework.llm.batches import Remembered, keyed_texts, per_worker, slices, text_bytes
 from gablework.llm.owners import arrow_schema
 from gablework.llm.piece_model import shared_file, shown_bytes
 from gablework.shared import lookup_join
 
-KEPT_WORDS = 300_000  # words whose ids a task remembers; beyond, it starts anew
+KEPT_WORDS = 300_000  # words whose ids a worker remembers
 LONG_WORD = 100  # longer words are not remembered
 ROW_GROUP_BYTES = 32 << 20
 PAGE_ROWS = 1000
@@ -50,48 +51,37 @@ class WordCodec:
         self.shown = shown_bytes()
         self.odd = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]").search
         self.parts = re.compile(r"[ \t\n\r]+").split
-        self.kept: dict[str, bytes] = {}
+        self.kept = Remembered(self.one, KEPT_WORDS, LONG_WORD)
 
     def letters(self, word: str) -> bytes | None:
         """Ids of a word of letters alone, straight from the merges; None for others."""
         if not word.isalpha():
             return None
-        normal = self.normal(word)
-        if not normal.isalpha():
-            return None
-        shown = normal if normal.isascii() else "".join(self.shown[b] for b in normal.encode())
-        return np.array([t.id for t in self.single(shown)], "<u4").tobytes()
-
-    def learn(self, words: list[str]) -> None:
-        kept, rest = self.kept, []
-        for w in words:
-            if (ids := self.letters(w)) is None and w[-1:] in ",.!?;:" and (ids := self.letters(w[:-1])) is not None:
-                if w[-1] not in kept:
-                    kept[w[-1]] = self.whole([w[-1]])[0]
-                ids += kept[w[-1]]
-            if ids is None:
-                rest.append(w)
-            else:
-                kept[w] = ids
-        kept.update(zip(rest, self.whole(rest), strict=True))
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if word.isascii():
+            shown = word.lower()
+        else:
+            normal = self.normal(word)
+            if not normal.isalpha():
+                return None
+            shown = "".join([self.shown[b] for b in normal.encode()])
+        ids = [t.id for t in self.single(shown)]
+        return pack(f"<{len(ids)}I", *ids)
+
+    def one(self, word: str) -> bytes:
+        if (ids := self.letters(word)) is not None:
+            return ids
+        if word[-1] in ",.!?;:" and (ids := self.letters(word[:-1])) is not None:
+            return ids + self.kept[word[-1]]
+        found = self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids
+        return pack(f"<{len(found)}I", *found)
 
     def words(self, text: str) -> list[str]:
         if text.isascii() and "<|" not in text:
             text = text.lower()
-        return self.parts(text) if self.odd(text) else text.split()
+        return [w for w in self.parts(text) if w] if self.odd(text) else text.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.words(t) for t in texts]
-        if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
-        self.learn(new := list({w for words in split for w in words if w not in self.kept}))
-        out = [b"".join(map(self.kept.__getitem__, words)) for words in split]
-        for w in [w for w in new if len(w) > LONG_WORD]:
-            self.kept.pop(w, None)
-        return out
+        return [b"".join(map(self.kept.__getitem__, self.words(t))) for t in texts]
 
 
 def ordered_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -102,7 +92,7 @@ def ordered_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def write_tokens(docs: DataFrame, path: str, codec: Callable[[], object], end_id: int, id_col: str = "doc_id", text_col: str = "text",
                  row_group_bytes: int = ROW_GROUP_BYTES, page_rows: int = PAGE_ROWS) -> None:
-    """Encode and write in one pass after the sort. ``codec()`` is called once per task; its ``encode`` gives
+    """Encode and write in one pass after the sort. ``codec()`` is called in every task; its ``encode`` gives
     little-endian 32-bit ids. ``end_id`` is appended to every document, an empty or null text has only that."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,4 +152,5 @@ def checked(spark: SparkSession, path: str) -> DataFrame:
 
 def tokenizer_codec(spark: SparkSession, path: str) -> Callable[[], WordCodec]:
     file = shared_file(spark, path)
-    return lambda: WordCodec(file.value)
+    name = f"words_{zlib.crc32(file.value):08x}"
+    return lambda: per_worker(name, lambda: WordCodec(file.value))

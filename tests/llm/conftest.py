@@ -1,0 +1,35 @@
+"""Small tables with every awkward row: nulls, empty and long texts, ties, repeated rows, clashing names."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, doc string, key int, tag double"
+
+
+def prose(rng: random.Random, n: int) -> str:
+    return " ".join(rng.choice(("the", "river", "of", "stone", "Ärger", "été", "moves", "slow,", "and", "warm.", "light")) + str(rng.randint(0, 40))
+                    for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def awkward():
+    rng = random.Random(4)
+    shared, base = prose(rng, 60), prose(rng, 120)
+    texts = [None, "", "   \n\t ", "a", shared, base, base, base + " end", base.replace("river", "lake", 1), prose(rng, 30) + " " + shared,
+             shared + " " + prose(rng, 10), "x" * 130, "x" * 90, "é" * 80, "\U0001f642" * 40, prose(rng, 5000), "!!! ??? 123", shared.upper()]
+    texts += [prose(rng, rng.randint(1, 90)) for _ in range(40)]
+    rows = [(i * 7 % 101, t, rng.choice(["en", "de", None]), None, None, "clash", 1, 0.5) for i, t in enumerate(texts)]
+    return [*rows, rows[5], rows[4], (None, base, None, None, None, None, None, None), (None, None, None, None, None, None, None, None)]
+
+
+@pytest.fixture()
+def docs(spark, awkward):
+    return spark.createDataFrame(awkward, SCHEMA).repartition(5)
+
+
+@pytest.fixture()
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)

@@ -1,0 +1,113 @@
+"""Language model, language mixtures, quality classifier: exact parts by brute force, the rest on held-out rows."""
+
+from __future__ import annotations
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest import data_dir
+
+from gablework.llm import attention, language_model, languages, quality, queries
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def held(d, parts, part):
+    return d is not None and zlib.crc32(str(d).encode()) % parts == part
+
+
+def test_base_line_is_exact(docs, awkward, monkeypatch):
+    monkeypatch.setattr(language_model, "LISTED", 20)
+    rows = [(r[0], (r[1] or "").encode().lower().split()) for r in awkward]
+    train = [w for d, w in rows if d is not None and not held(d, 7, 2)]
+    c = Counter(x for w in train for x in w)
+    total, distinct = sum(c.values()) + len(train), len(c) + 1
+    want = Counter()
+    for d, w in rows:
+        base = sum(math.log10((n + 1) / (total + distinct + 1)) for n in [*(c[x] for x in w), len(train)])
+        want[d, held(d, 7, 2), len(w) + 1, sum(c[x] > 0 for x in w) + 1, total, round(base, 6)] += 1
+    got = language_model.scored(docs, PATH, public_tokenizers.PATTERN).collect()
+    assert Counter((*r[:5], round(r["base_score"], 6)) for r in got) == want
+    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
+
+
+def test_scores_are_better_than_the_base_line_on_held_out_texts(spark):
+    rows = [r for r in queries.QUERIES["op1_lm_scoring"](spark, data_dir("0.1")).collect() if r["held_out"]]
+    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_no_texts(no_docs):
+    assert language_model.scored(no_docs, PATH, public_tokenizers.PATTERN).count() == 0
+    assert languages.identified(no_docs).count() == 0
+
+
+def test_attention_gradients_and_masks():
+    rng = np.random.default_rng(0)
+    model = attention.Attention.fresh(20, 6, np.full(6, 1 / 6))
+    for name in ("query", "key", "value", "rest", "bias", "out", "out_bias"):
+        setattr(model, name, getattr(model, name).astype(float))
+    lengths = np.array([5, 40, 1])
+    x, y = rng.integers(0, 20, 46), rng.integers(0, 6, 46)
+    blocks = attention.blocks_of(lengths)
+    loss, grads = model.gradients(x, y, *blocks)
+    assert loss == pytest.approx(-model.score(x, y, lengths).mean(), abs=1e-5)
+    for p, g in zip(model.parameters(), grads, strict=True):
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        p[at] += 1e-5
+        up = model.gradients(x, y, *blocks)[0]
+        p[at] -= 2e-5
+        down = model.gradients(x, y, *blocks)[0]
+        p[at] += 1e-5
+        assert (up - down) / 2e-5 == pytest.approx(g[at], rel=1e-3)
+    before = model.score(x, y, lengths)
+    x[30] = (x[30] + 1) % 20
+    changed = np.flatnonzero(before != model.score(x, y, lengths))
+    assert changed.min() >= 30 and changed.max() < 45  # nothing before it, nothing in another text
+
+
+def test_languages_of_held_out_texts(spark, docs, awkward):
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{data_dir('0.01')}/documents.parquet").collect()}
+    rows = [r for r in queries.QUERIES["op4_languages"](spark, data_dir("0.01")).collect() if r["held_out"]]
+    assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in rows]) > 0.97
+    own = languages.identified(docs).collect()
+    assert len(own) == len(awkward) and all(0 <= r["score"] <= 1 for r in own)
+    unknown = {r[0] for r in awkward if not any(ch.isalpha() for ch in r[1] or "")}
+    assert {r["doc_id"] for r in own if r["lang_pred"] == "und"} == unknown
+
+
+def test_mixture_of_two_languages(spark):
+    a, b = "alo belo calo dilo " * 20, "xuz yuz zuz wuz " * 20
+    rows = [(i, a if i % 2 else b, "a" if i % 2 else "b") for i in range(40)] + [(100, a + b, None)]
+    found = {r["doc_id"]: r for r in languages.identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert found[1]["shares"] == {"a": 1.0} and found[2]["shares"] == {"b": 1.0}
+    assert found[100]["shares"]["a"] == pytest.approx(0.5, abs=0.05)
+
+
+def test_quality_of_held_out_texts(spark):
+    labels = {r[0]: r[1] for r in spark.read.parquet(f"{data_dir('0.1')}/labels.parquet").select("doc_id", "quality").collect()}
+    rows = [r for r in queries.QUERIES["op10_quality"](spark, data_dir("0.1")).collect() if r["held_out"] and r["doc_id"] in labels]
+    assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in rows]) > 0.97
+    good = [r["predicted"] for r in rows if labels[r["doc_id"]] == 1]
+    assert np.mean(good) > 0.99
+
+
+def test_quality_of_awkward_rows(spark, docs, awkward, no_docs):
+    labels = spark.createDataFrame([(7, 1, 0), (14, 0, 0), (None, 1, 0), (21, None, 0)], "doc_id long, quality int, toxic int")
+    rows = quality.classified(docs, labels).collect()
+    assert len(rows) == len(awkward) and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] for r in rows)
+    none = labels.where("false")
+    assert {r["score"] for r in quality.classified(docs, none).collect()} == {0.5}
+    assert quality.classified(no_docs, labels).count() == 0
+
+
+def test_risk_needs_no_negative_labels():
+    rng = np.random.default_rng(1)
+    good, bad = rng.normal(1, 1, (2000, 3)), rng.normal(-1, 1, (1000, 3))
+    model = quality.fit(good[:1000], np.concatenate([good[1000:], bad]), 0.5)
+    assert (model.score(good) >= 0.5).mean() > 0.9 and (model.score(bad) < 0.5).mean() > 0.9

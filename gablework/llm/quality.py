@@ -136,10 +136,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = plain.join(F.broadcast(picked), "doc").mapInArrow(read, SAMPLED)
     # Repeated rows could make the sample larger than the bound.
     taken = sample.limit(2 * (max_positives + max_unlabelled)).toArrow()
-    x = np.frombuffer(b"".join(taken.column("features").to_pylist()), np.float32).reshape(taken.num_rows, -1).astype(float)
+    width = features([b""]).shape[1]
+    x = np.frombuffer(b"".join(taken.column("features").to_pylist()), np.float32).reshape(taken.num_rows, width).astype(float)
     positive = np.array(taken.column("positive").to_pylist(), bool)
-    if not len(x):
-        x = np.zeros((0, features([b""]).shape[1]))
     return fit(x[positive], x[~positive], prior)
 
 

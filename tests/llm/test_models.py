@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from conftest import data_dir
+from awkward_rows import awkward, docs, no_docs  # noqa: F401
 
 from gablework.llm import attention, language_model, languages, quality, queries
 

@@ -37,10 +37,10 @@ def ids_of(batch: pa.RecordBatch, name: str = "doc") -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
 
 
-def slices(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES, name: str = "text") -> Iterator[pa.RecordBatch]:
     """Batches cut so that their texts hold about ``limit`` bytes at most; one text is never cut."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         part = (np.cumsum(sizes) - sizes) // limit
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(sizes)]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):

@@ -37,6 +37,7 @@ THRESHOLD = 0.3
 STEPS = 600
 RATE = 0.05
 DECAY = 1e-4
+AT_ONCE = 1 << 20  # bytes of text looked at together
 SCORED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType())])
 SAMPLED = T.StructType([T.StructField("positive", T.BooleanType()), T.StructField("features", T.BinaryType())])
 
@@ -44,9 +45,10 @@ SAMPLED = T.StructType([T.StructField("positive", T.BooleanType()), T.StructFiel
 def features(texts: list[bytes | None]) -> np.ndarray:
     """Square roots of byte shares (bytes above 127 together) and a few shares of words, one row per text."""
     sizes = np.array([len(t or b"") for t in texts], np.int64)
-    data = np.minimum(np.frombuffer(b"".join(t or b"" for t in texts), np.uint8), 128)
-    row = np.repeat(np.arange(len(texts)) * 129, sizes)
-    counts = np.bincount(row + data, minlength=129 * len(texts)).reshape(-1, 129)
+    counts = np.zeros((len(texts), 129), np.int64)
+    for i, text in enumerate(texts):
+        found = np.bincount(np.frombuffer(text or b"", np.uint8), minlength=256)
+        counts[i, :128], counts[i, 128] = found[:128], found[128:].sum()
     shares = np.sqrt(counts / np.maximum(sizes, 1)[:, None])
     more = np.zeros((len(texts), 9))
     for i, text in enumerate(texts):
@@ -129,7 +131,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         first(plain.where(~held_out("doc")), max_unlabelled, False))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, AT_ONCE):
             rows = [x.tobytes() for x in features(text_bytes(batch)).astype(np.float32)]
             yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(rows, pa.binary())], schema=arrow_schema(SAMPLED))
 
@@ -146,7 +148,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """(doc_id, score) for every row, in one narrow pass."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, AT_ONCE):
             score = model.score(features(text_bytes(batch)))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(score)], schema=arrow_schema(SCORED))
 
@@ -164,12 +166,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     model = learn(docs, labels)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, texts, good = 0, batch.column(text_col).cast(pa.binary()).to_pylist(), []
-            while at < len(texts):  # some texts at a time, so that long ones do not add up
-                good.append(model.score(features(texts[at : at + 1000])) >= threshold)
-                at += 1000
-            if good:
-                yield batch.filter(pa.array(np.concatenate(good)))
+        for batch in slices(batches, AT_ONCE, text_col):
+            yield batch.filter(pa.array(model.score(features(text_bytes(batch, text_col))) >= threshold))
 
     return docs.mapInArrow(read, docs.schema)

@@ -44,10 +44,10 @@ from gablework.llm.owners import runs
 
 LENGTH = 50
 GRAM = 20
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 BATCH = 16 << 20
 MAX_RUNS = 100_000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 GRAMS = T.StructType([T.StructField("key", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("gram", T.LongType())])
 RUNS = T.StructType([*long_field("key", "doc", "tag", "start", "n").fields, T.StructField("cut", T.IntegerType()), T.StructField("bytes", T.BinaryType())])
 FOUND = long_field("key", "doc", "tag", "start", "n")

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from gablework.llm.batches import Remembered, keyed_texts, per_worker, slices, text_bytes
 from gablework.llm.owners import arrow_schema
 
-KEPT_PIECES, KEPT_WORDS = 50_000, 250_000  # matches and words whose ids a worker remembers
+KEPT_PIECES, KEPT_WORDS = 50_000, 100_000  # matches and words whose ids a worker remembers
 LONG_PIECE = 200  # longer matches are not remembered
 MAX_VOCABULARY_BYTES = 64 << 20
 LISTS = T.StructType([

@@ -180,13 +180,15 @@ def unpacked(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Ite
     for batch in batches:
         texts, a, size = [], 0, 0
         at = batch.schema.get_field_index("text")
-        raw = batch.column(at).to_pylist()
-        for i, t in enumerate(raw):
-            texts.append(None if t is None else unpack(t))
+        for i, t in enumerate(batch.column(at)):
+            texts.append(unpack(t.as_buffer()) if t.is_valid else None)
             size += len(texts[-1] or b"")
-            if size >= limit or i + 1 == len(raw):
-                yield batch.slice(a, i + 1 - a).set_column(at, "text", pa.array(texts, pa.binary()))
-                texts, a, size = [], i + 1, 0
+            if size >= limit or i + 1 == batch.num_rows:
+                part, texts, size = pa.array(texts, pa.binary()), [], 0  # one copy is held while the caller works
+                yield batch.slice(a, i + 1 - a).set_column(at, "text", part)
+                a = i + 1
+                del part
+    pa.default_memory_pool().release_unused()
 
 
 def tag_of(text: bytes) -> int:

@@ -316,8 +316,7 @@ def is_copy(text: bytes | None, copied: pa.Scalar) -> bool:
 
 def without_copies(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     for batch in unpacked(batches, limit):
-        copied = batch.column("copied")
-        left = [not is_copy(t, c) for t, c in zip(text_bytes(batch), copied, strict=True)]
+        left = [not (c.is_valid and is_copy(t.as_py(), c)) for t, c in zip(batch.column("text"), batch.column("copied"), strict=True)]
         if any(left):
             yield batch if all(left) else batch.filter(pa.array(left))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
@@ -188,7 +190,20 @@ def unpacked(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Ite
                 yield batch.slice(a, i + 1 - a).set_column(at, "text", part)
                 a = i + 1
                 del part
-    pa.default_memory_pool().release_unused()
+
+
+def tidy(read):
+    """``read``, giving freed memory back when a task ends: a Python worker lives on for the tasks of other steps."""
+
+    @functools.wraps(read)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from read(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
+
+    return whole
 
 
 def tag_of(text: bytes) -> int:

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from gablework.llm import owners
 from gablework.llm.batches import (
-    Laid, anchors, covered, ids_of, keyed_texts, long_field, mixed, packed, segments, tag_of, text_bytes, unpacked,
+    Laid, anchors, covered, ids_of, keyed_texts, long_field, mixed, packed, segments, tag_of, text_bytes, tidy, unpacked,
     window_hashes,
 )
 from gablework.llm.owners import runs
@@ -116,7 +116,7 @@ def find_grams(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 pa.array(known, mask=np.arange(len(known)) < len(live)),
             ], schema=schema)
 
-    return docs.mapInArrow(read, GRAMS)
+    return docs.mapInArrow(tidy(read), GRAMS)
 
 
 def whole_hash(grams: np.ndarray, starts: np.ndarray, sizes: np.ndarray, gram: int) -> np.ndarray:
@@ -199,7 +199,7 @@ def find_runs(docs_with_grams: DataFrame, length: int, gram: int) -> DataFrame:
                     pa.array(np.zeros(len(row), np.int32)), pa.array([b""] * len(row), pa.binary()),
                 ], schema=schema)
 
-    return docs_with_grams.mapInArrow(read, RUNS)
+    return docs_with_grams.mapInArrow(tidy(read), RUNS)
 
 
 def refine(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int, gram: int) -> np.ndarray:
@@ -363,7 +363,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
         F.col("doc").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("kept"),
         *(["carried"] if carry else []))
-    return dealt.join(removed.hint("merge"), "doc", "left").mapInArrow(read, out_schema).union(alone)
+    return dealt.join(removed.hint("merge"), "doc", "left").mapInArrow(tidy(read), out_schema).union(alone)
 
 
 def cut_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

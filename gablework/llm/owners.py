@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gablework.llm.batches import mixed
+from gablework.llm.batches import mixed, tidy
 
 ONE = np.uint64(1)
 
@@ -73,7 +73,7 @@ def sorted_by_key(rows: DataFrame) -> DataFrame:
 
 
 def streamed(rows: DataFrame, read: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
-    return sorted_by_key(rows).mapInArrow(read, schema)
+    return sorted_by_key(rows).mapInArrow(tidy(read), schema)
 
 
 def repeated(rows: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from gablework.llm.batches import Remembered, keyed_texts, per_worker, slices, text_bytes
+from gablework.llm.batches import Remembered, keyed_texts, per_worker, slices, text_bytes, tidy
 from gablework.llm.owners import arrow_schema
 
 KEPT_PIECES, KEPT_WORDS = 50_000, 100_000  # matches and words whose ids a worker remembers
@@ -159,7 +159,7 @@ def encoded(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id
                 pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.binary()),
             ], schema=schema)
 
-    return keyed_texts(docs, id_col, text_col).mapInArrow(read, ENCODED)
+    return keyed_texts(docs, id_col, text_col).mapInArrow(tidy(read), ENCODED)
 
 
 
@@ -179,4 +179,4 @@ def token_lists(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "do
                 batch.column("doc"), pa.array(np.diff(ends).astype(np.int64)), lists.cast(schema.field("ids").type),
                 pa.array([codec.decode(x) == t for x, t in zip(ids, raw, strict=True)])], schema=schema)
 
-    return keyed_texts(docs, id_col, text_col).mapInArrow(read, LISTS)
+    return keyed_texts(docs, id_col, text_col).mapInArrow(tidy(read), LISTS)

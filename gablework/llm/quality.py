@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.batches import keyed_texts, slices, text_bytes
+from gablework.llm.batches import keyed_texts, slices, text_bytes, tidy
 from gablework.llm.owners import arrow_schema
 from gablework.shared import col
 
@@ -135,7 +135,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             rows = [x.tobytes() for x in features(text_bytes(batch)).astype(np.float32)]
             yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(rows, pa.binary())], schema=arrow_schema(SAMPLED))
 
-    sample = plain.join(F.broadcast(picked), "doc").mapInArrow(read, SAMPLED)
+    sample = plain.join(F.broadcast(picked), "doc").mapInArrow(tidy(read), SAMPLED)
     # Repeated rows could make the sample larger than the bound.
     taken = sample.limit(2 * (max_positives + max_unlabelled)).toArrow()
     width = features([b""]).shape[1]
@@ -152,7 +152,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             score = model.score(features(text_bytes(batch)))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(score)], schema=arrow_schema(SCORED))
 
-    return keyed_texts(docs, id_col, text_col).mapInArrow(read, SCORED)
+    return keyed_texts(docs, id_col, text_col).mapInArrow(tidy(read), SCORED)
 
 
 def classified(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -169,4 +169,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
         for batch in slices(batches, AT_ONCE, text_col):
             yield batch.filter(pa.array(model.score(features(text_bytes(batch, text_col))) >= threshold))
 
-    return docs.mapInArrow(read, docs.schema)
+    return docs.mapInArrow(tidy(read), docs.schema)

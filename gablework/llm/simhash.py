@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.batches import keyed_texts, mixed, slices, text_bytes
+from gablework.llm.batches import keyed_texts, mixed, slices, text_bytes, tidy
 from gablework.llm.components import components
 from gablework.llm.owners import arrow_schema, runs
 from gablework.shared import col, lookup_join, materialize
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, words: int = 3, parts: int = 1, id_col: str =
             prints = [fingerprint(shingle_hashes(t, words), parts) for t in text_bytes(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(prints, pa.binary())], schema=schema)
 
-    return keyed_texts(docs, id_col, text_col).mapInArrow(read, PRINTS)
+    return keyed_texts(docs, id_col, text_col).mapInArrow(tidy(read), PRINTS)
 
 
 class Table:
@@ -275,7 +275,7 @@ def linked(rows: DataFrame, tables: list[Table]) -> DataFrame:
         if chunk:
             yield from settle(chunk)
 
-    return rows.repartition("walk").sortWithinPartitions("walk", "side").mapInArrow(read, FOREST)
+    return rows.repartition("walk").sortWithinPartitions("walk", "side").mapInArrow(tidy(read), FOREST)
 
 
 def near_links(prints: DataFrame, tables: list[Table], split: int = SPLIT) -> DataFrame:

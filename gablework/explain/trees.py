@@ -130,7 +130,7 @@ def background_sample(df: DataFrame, features: Sequence[str], key: str, rows: in
     """A repeatable sample of at most ``rows`` rows: the explainer's reference, not its input."""
     picked = df.select(uniform_hash(F.lit(seed), col(key)).alias("u"), col(key).alias("k"),
                        *[col(c).cast("double").alias(f"v{i}") for i, c in enumerate(features)])
-    taken = picked.orderBy("u", "k").limit(min(rows, BACKGROUND_ROWS)).collect()
+    taken = picked.orderBy("u", "k").limit(rows).collect()
     return np.array([list(r)[2:] for r in taken], dtype=float).reshape(len(taken), len(features))
 
 

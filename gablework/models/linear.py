@@ -152,13 +152,17 @@ def fold_moments(df: DataFrame, features: Sequence[str], y: str = "y", fold: str
         raise ValueError(f"more than {MAX_FEATURES} features")
     columns = [*features, y]
     spark = df.sparkSession
-    first = df.agg(*[F.avg(col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    present = [F.count(col(c).cast("double")).alias(f"n{i}") for i, c in enumerate([*columns, fold])]
+    *first, n = df.agg(*[F.avg(col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)], *present, F.count(F.lit(1)).alias("n")).first()
+    gaps = [c for c, m in zip([*columns, fold], first[len(columns):]) if m < n]
+    if gaps:
+        raise ValueError(f"missing values in {gaps}")
+    first, width = first[: len(columns)], len(columns) + 1
     origin = np.array([v if v is not None else 0.0 for v in first])
-    width = len(columns) + 1
     rows = df.select(
         col(fold).cast("int").alias("fold"),
         *[(col(c).cast("double") - F.lit(float(o))).alias(f"v{i}") for i, (c, o) in enumerate(zip(columns, origin))],
-    ).dropna()
+    )
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}

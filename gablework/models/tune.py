@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gablework.functions import uniform_hash
 from gablework.models.folds import improvement
 from gablework.models.linear import ridge_cv
-from gablework.models.trees import assemble, boosted_estimator
+from gablework.models.trees import NO_COUNTERPART, assemble, boosted_estimator
 from gablework.operators.rows import running_best
 from gablework.shared import col, local_frame, scratch_root
 
@@ -81,9 +81,11 @@ def tune_ridge(
 
 def tune_boosted(
     df: DataFrame, features: Sequence[str], study: str, n: int, space: Mapping[str, Range], style: str = "depth",
-    seed: int = 42, y: str = "y", k: int = 5, fold: str = "fold", parallelism: int = 4, approximate: bool = True,
+    seed: int = 42, y: str = "y", k: int = 5, fold: str = "fold", parallelism: int = 4, approximate: bool = False,
 ) -> DataFrame:
-    """Scored trials of boosted trees; folds come from the fold column, trials run side by side."""
+    """Scored trials of boosted trees; folds come from the fold column, trials run side by side.
+
+    With ``approximate=True`` parameters without a counterpart are left out, of the trial table as well."""
     spark = df.sparkSession
     scratch_root(spark)
     trials = trial_table(spark, study, n, space, seed).collect()
@@ -98,7 +100,7 @@ def tune_boosted(
         evaluator=RegressionEvaluator(predictionCol="__p", labelCol=y, metricName="rmse"),
     )
     scores = search.fit(data.select("__x", y, "__fold")).avgMetrics
-    rows = [(study, t["trial"], dict(t["params"]), float(s)) for t, s in zip(trials, scores)]
+    rows = [(study, t["trial"], {p: v for p, v in t["params"].items() if p not in NO_COUNTERPART}, float(s)) for t, s in zip(trials, scores)]
     return local_frame(spark, rows, TRIAL_SCHEMA)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gablework.operators.profile import top_value, value_counts
 from gablework.operators.quantile import group_medians
@@ -39,7 +40,7 @@ def global_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]
 def fill_from_groups(
     df: DataFrame, value: str, by: Sequence[str], stats: DataFrame, name: str, null_key: str = "keep"
 ) -> DataFrame:
-    """Fill ``value`` from the group's statistic.
+    """Fill ``value`` from the group's statistic; a column filled from a double becomes double.
 
     ``null_key='keep'`` treats a missing group key as one more group.
     ``null_key='pandas'`` blanks the value of such rows, present ones included,
@@ -48,7 +49,9 @@ def fill_from_groups(
     if null_key not in ("keep", "pandas"):
         raise ValueError("null_key is 'keep' or 'pandas'")
     joined = lookup_join(df, stats.withColumnRenamed(name, "__stat"), by)
-    filled = F.coalesce(col(value), F.col("__stat").cast(df.schema[value].dataType))
+    stat_type = stats.schema[name].dataType
+    kind = stat_type if isinstance(stat_type, T.DoubleType) else df.schema[value].dataType  # a median of integers may lie between two
+    filled = F.coalesce(col(value).cast(kind), F.col("__stat").cast(kind))
     if null_key == "pandas":
         for b in by:
             filled = F.when(col(b).isNotNull(), filled)

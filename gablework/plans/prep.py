@@ -2,7 +2,7 @@
 
 ``PrepRecipe`` says what to do, ``PrepPlan`` holds what was learnt: modes,
 group statistics, the columns to log, classes and categories. A plan is plain
-literals, can be saved as JSON, gives the same output for any subset of rows,
+literals and, for very many groups, tables; it can be saved as a whole, gives the same output for any subset of rows,
 and therefore applies to a stream as well.
 
 The order is part of the meaning: fill, log the skewed columns, derive new
@@ -12,8 +12,9 @@ columns (from logged values), encode, cast.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,7 +125,8 @@ class PrepPlan:
                 x = F.coalesce(x, F.lit(r.fill_number[c]).cast(kind))
             for group in (r.group_median, r.group_mode):
                 if c in group:
-                    x = F.coalesce(x, col(f"__stat_{c}").cast(kind))
+                    to = T.DoubleType() if group is r.group_median else kind
+                    x = F.coalesce(x.cast(to), col(f"__stat_{c}").cast(to))
                     if r.null_key == "pandas":
                         x = F.when(col(group[c]).isNotNull(), x)
             if c in self.modes:
@@ -158,13 +160,22 @@ class PrepPlan:
         return cls(recipe=recipe, **data)
 
     def save(self, spark, path: str) -> None:
-        """One JSON row in a text table, so that any shared file system will do."""
-        frame = local_frame(spark, [(self.to_json(),)], "value string").coalesce(1)
-        frame.write.mode("overwrite").text(path)
+        """One JSON row in a text table below ``path``, beside copies of the group tables that are no literals,
+        so that the saved plan needs nothing else and any shared file system will do."""
+        stats = dict(self.stats)
+        for c, kept in self.stats.items():
+            if kept["rows"] is None:
+                name = f"stats-{uuid.uuid4().hex}"
+                spark.read.schema(T.StructType.fromJson(kept["schema"])).parquet(kept["path"]).write.parquet(f"{path}/{name}")
+                stats[c] = {**kept, "path": name}
+        frame = local_frame(spark, [(replace(self, stats=stats).to_json(),)], "value string").coalesce(1)
+        frame.write.mode("overwrite").text(f"{path}/plan")
 
     @classmethod
     def load(cls, spark, path: str) -> PrepPlan:
-        return cls.from_json(spark.read.text(path, wholetext=True).first()[0])
+        plan = cls.from_json(spark.read.text(f"{path}/plan", wholetext=True).first()[0])
+        plan.stats = {c: k if k["rows"] is not None else {**k, "path": f"{path}/{k['path']}"} for c, k in plan.stats.items()}
+        return plan
 
 
 def _keep_stats(stats: DataFrame) -> dict:

@@ -304,7 +304,7 @@ def final_submission(spark, d):
 def tune_boosted(spark, d):
     data = folds.keep_folds(sales(spark, d).drop("fold"), "k")
     space = {**tune.DEPTH_SPACE, "n_estimators": tune.Range(3, 6, whole=True), "max_depth": tune.Range(2, 4, whole=True)}
-    found = tune.tune_boosted(data, TREE_FEATURES, "xgb", 3, space)
+    found = tune.tune_boosted(data, TREE_FEATURES, "xgb", 3, space, approximate=True)
     return neat(tune.history(found))
 
 

@@ -28,6 +28,8 @@ NA_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
     "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
+# Names in the public files, and those of their description.
+OTHER_NAMES = {"BedroomAbvGr": "Bedroom", "KitchenAbvGr": "Kitchen"}
 _KINDS = {"i": T.IntegerType(), "d": T.DoubleType(), "s": T.StringType()}
 
 
@@ -41,8 +43,12 @@ def read_csv(spark: SparkSession, path: str, wanted: T.StructType) -> DataFrame:
     """Header CSV with a fixed schema. All fields are read as text first, so that
     a missing-token in a number is NULL too; a text that is no number at all fails
     the read. NaN never gets in."""
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])
-    raw = spark.read.schema(text).csv(path, header=True, enforceSchema=False)
+    header = spark.read.csv(path, header=True).columns
+    names = [OTHER_NAMES.get(c, c) for c in header]
+    if sorted(names) != sorted(f.name for f in wanted):
+        raise ValueError(f"columns that differ from the schema: {sorted(set(names) ^ {f.name for f in wanted})}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    raw = spark.read.schema(text).csv(path, header=True, enforceSchema=False).toDF(*names)
     missing = ", ".join(f"'{t}'" for t in NA_TOKENS)
 
     def typed(f: T.StructField) -> str:

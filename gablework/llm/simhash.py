@@ -8,6 +8,8 @@ children, adds one for children on different sides, and ends when more than ``ma
 Spark deals the walk out. Of ``max_diff + 1`` blocks of bits, two linked fingerprints share one, so the
 trie is split by the value of each block in turn; below a block, walks are independent. A block value
 that more than ``SPLIT`` fingerprints share is split again into pairs of nodes some bits further down.
+Where the trie uses some of the bits only, a leaf holds different fingerprints: all pairs of two near leaves
+are compared by all bits, but for those connected already; a walk that stays large is dealt out as pairs of blocks.
 Equal fingerprints are one node with the smallest id, so copies cost nothing. A task returns a spanning
 forest of the links it finds (enough for components); ``components`` joins the forests.
 """
@@ -34,6 +36,7 @@ PARTS = 4  # times 64 bits: the longer fingerprints of the stage that looks for
 TABLES = 12
 TABLE_BITS = 27
 MAX_PAIRS = 1 << 20  # node pairs walked at a time
+LEAF_PAIRS = 1 << 17  # pairs of fingerprints compared at a time
 PRINTS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("print", T.BinaryType())])
 NODES = T.StructType([T.StructField("walk", T.LongType()), T.StructField("side", T.IntegerType()), T.StructField("print", T.BinaryType())])
 FOREST = T.StructType([T.StructField("u", T.BinaryType()), T.StructField("v", T.BinaryType())])
@@ -149,10 +152,25 @@ def node_rows(prints: DataFrame, tables: list[Table], sizes: DataFrame | None) -
     return lookup_join(rows, sizes, ["walk"], kept=True).mapInArrow(split, NODES)
 
 
-def walk_tries(values: np.ndarray, groups: np.ndarray, bits: int, max_diff: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places whose values differ in at most ``max_diff`` of the first ``bits`` bits.
+def in_blocks(rows: DataFrame, split: int) -> DataFrame:
+    """Walks that stay large, because their fingerprints agree in the bits of the trie, are dealt out as pairs of blocks."""
+    rows = materialize(rows, "nodes")
+    large = rows.groupBy("walk").agg(F.ceil(F.count(F.lit(1)) / split).cast("int").alias("blocks")).where("blocks > 1")
+    side = materialize(large, "blocks")
+    if side.isEmpty():
+        return rows
+    own = F.pmod(F.xxhash64("print", F.lit(1)), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("blocks"), F.lit(1)) - 1))
+    dealt = lookup_join(rows, side, ["walk"], kept=True).withColumn("own", own).withColumn("other", other)
+    walk = F.when(F.col("blocks").isNull(), F.col("walk")).otherwise(F.xxhash64("walk", F.least("own", "other"), F.greatest("own", "other")))
+    return dealt.select(walk.alias("walk"), "side", "print")
+
+
+def walk_tries(values: np.ndarray, groups: np.ndarray, bits: int, max_diff: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs of leaves (first and end of one, first and end of the other) whose values differ in at most
+    ``max_diff`` of the first ``bits`` bits; a leaf of several places is paired with itself too.
 
-    ``values`` are sorted within each group; a group is one trie. Equal values are linked to the first."""
+    ``values`` are sorted within each group; a group is one trie. A leaf's values agree in these bits only."""
     n = len(values)
     starts = runs(groups)
     ends = np.append(starts[1:], n)
@@ -171,11 +189,8 @@ def walk_tries(values: np.ndarray, groups: np.ndarray, bits: int, max_diff: int)
             todo.append((depth, alo[:half], ahi[:half], blo[:half], bhi[:half], diff[:half]))
             todo.append((depth, alo[half:], ahi[half:], blo[half:], bhi[half:], diff[half:]))
             continue
-        if depth == bits:  # leaves: all values of a node are equal
-            for lo, hi in ((alo, ahi), (blo, bhi)):
-                more = hi - lo - 1
-                yield np.repeat(lo, more), np.repeat(lo, more) + 1 + np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
-            yield alo[~same], blo[~same]
+        if depth == bits:
+            yield alo, ahi, blo, bhi
             continue
         bit = (values >> np.uint64(63 - depth) & np.uint64(1)).astype(np.int32) if n < 4 * len(alo) else None
         if bit is not None:
@@ -220,6 +235,45 @@ def forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return root
 
 
+def leaf_pairs(alo: np.ndarray, ahi: np.ndarray, blo: np.ndarray, bhi: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of places of each pair of leaves, each pair once, about ``LEAF_PAIRS`` at a time."""
+    n = (ahi - alo) * (bhi - blo)
+    part = (np.cumsum(n) - n) // LEAF_PAIRS
+    cuts = np.append(runs(part), len(n))
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        size = n[lo:hi]
+        leaf = np.repeat(np.arange(lo, hi), size)
+        nth = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        width = (bhi - blo)[leaf]
+        u, v = alo[leaf] + nth // width, blo[leaf] + nth % width
+        once = (alo != blo)[leaf] | (u < v)
+        yield u[once], v[once]
+
+
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+
+
+def large_leaves(a: np.ndarray, b: np.ndarray, data: np.ndarray, root: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what ``most`` bits connect between the places ``a`` and ``b`` (the same for a leaf with
+    itself). Every pair is compared unless its places are connected already."""
+    same = a[0] == b[0]
+    members = a if same else np.concatenate([a, b])
+    label = np.unique(root[members], return_inverse=True)[1]
+    prints, u, v = data[members], [], []
+    for i in range(len(a)):
+        start = i + 1 if same else len(a)
+        open_ = start + np.flatnonzero(label[start:] != label[i])
+        near = open_[distances(prints[open_], prints[i]) <= most] if len(open_) else open_
+        if len(near):
+            u.append(np.full(len(near), members[i]))
+            v.append(members[near])
+            label[np.isin(label, label[near])] = label[i]
+            if (label == label[0]).all():
+                break
+    return (np.concatenate(u), np.concatenate(v)) if u else (members[:0], members[:0])
+
+
 def linked(rows: DataFrame, tables: list[Table]) -> DataFrame:
     """A spanning forest (u, v) of the links within every walk."""
 
@@ -243,11 +297,21 @@ def linked(rows: DataFrame, tables: list[Table]) -> DataFrame:
             mine, values = mine[order], values[order]
             local = np.arange(len(mine))
             root = local.copy()
-            for u, v in walk_tries(values, group[mine], len(table.bits), table.max_diff):
-                total = np.bitwise_count(data[mine[u]] ^ data[mine[v]]).sum(axis=1)
-                near = total <= table.max_total
-                joined = forest(len(mine), np.concatenate([local, u[near]]), np.concatenate([root, v[near]]))
-                root = joined
+            own = data[mine]
+
+            def join(u: np.ndarray, v: np.ndarray, root: np.ndarray, local: np.ndarray = local) -> np.ndarray:
+                return forest(len(local), np.concatenate([local, u]), np.concatenate([root, v])) if len(u) else root
+
+            for alo, ahi, blo, bhi in walk_tries(values, group[mine], len(table.bits), table.max_diff):
+                large = (ahi - alo) * (bhi - blo) > LEAF_PAIRS
+                for u, v in leaf_pairs(alo[~large], ahi[~large], blo[~large], bhi[~large]):
+                    apart = root[u] != root[v]
+                    u, v = u[apart], v[apart]
+                    near = distances(own[u], own[v]) <= table.max_total
+                    root = join(u[near], v[near], root)
+                for i in np.flatnonzero(large):
+                    u, v = large_leaves(np.arange(alo[i], ahi[i]), np.arange(blo[i], bhi[i]), own, root, table.max_total)
+                    root = join(u, v, root)
             found_u.append(mine[root != local])
             found_v.append(mine[root[root != local]])
         u, v = np.concatenate(found_u), np.concatenate(found_v)
@@ -283,7 +347,7 @@ def near_links(prints: DataFrame, tables: list[Table], split: int = SPLIT) -> Da
     rows = node_rows(prints, tables, None)
     large = materialize(rows.groupBy("walk").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > split), "walks")
     if not large.isEmpty():
-        rows = node_rows(prints, tables, large)
+        rows = in_blocks(node_rows(prints, tables, large), split)
     return linked(rows, tables)
 
 

@@ -1,5 +1,8 @@
 """SimHash near-dedup with a self-join of binary tries.
 
+``near_duplicates`` links equal or nearly equal fingerprints. ``without_near_copies`` takes such links as candidates
+only and compares the sets of shingles themselves.
+
 A fingerprint bit is 1 when it is set in more than half of a text's shingle hashes (XXH64, seed 42;
 repeats count). Two fingerprints are linked when at most ``max_diff`` bits differ.
 
@@ -29,16 +32,22 @@ from pyspark.sql import types as T
 from gablework.llm.batches import keyed_texts, mixed, slices, text_bytes, tidy
 from gablework.llm.components import components
 from gablework.llm.owners import arrow_schema, runs
-from gablework.shared import col, lookup_join, materialize
+from gablework.shared import col, is_small, lookup_join, materialize
 
 SPLIT = 20_000
 PARTS = 4  # times 64 bits: the longer fingerprints of the stage that looks for a similarity
 TABLES = 12
 TABLE_BITS = 27
 MAX_PAIRS = 1 << 20  # node pairs walked at a time
+SLACK = 2.0  # of a pair at the threshold, one in 44 differs in more bits
+GROUP_SETS = 128  # sets of a block; a task compares the pairs of two blocks
+GROUP_SHINGLES = 1 << 20
 LEAF_PAIRS = 1 << 17  # pairs of fingerprints compared at a time
 PRINTS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("print", T.BinaryType())])
 NODES = T.StructType([T.StructField("walk", T.LongType()), T.StructField("side", T.IntegerType()), T.StructField("print", T.BinaryType())])
+SETS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("print", T.BinaryType()),
+                     T.StructField("size", T.LongType())])
+UNITS = T.StructType([T.StructField("unit", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
 FOREST = T.StructType([T.StructField("u", T.BinaryType()), T.StructField("v", T.BinaryType())])
 
 
@@ -367,20 +376,147 @@ def whole_table(bits: int = 64, max_diff: int = 2) -> list[Table]:
     return [Table(np.arange(bits), max_diff, max_diff)]
 
 
-def tables_for(similarity: float, parts: int = PARTS, tables: int = TABLES, bits: int = TABLE_BITS, seed: int = 11) -> list[Table]:
+def tables_for(similarity: float, parts: int = PARTS, tables: int = TABLES, bits: int = TABLE_BITS, seed: int = 11,
+               slack: float = 0.0) -> list[Table]:
     """Tries on several subsets of the bits, each with two differing bits at most: two texts whose shingle sets
     have a Jaccard similarity of 0.8 meet in one of them with probability 0.93, of 0.85 with 0.98. Found pairs are
-    linked when the whole fingerprints' estimate of the similarity reaches ``similarity``."""
+    linked when the whole fingerprints differ in no more bits than ``similarity`` lets expect, and ``slack`` standard deviations."""
     rng = np.random.default_rng(seed)
     cosine = 2 * similarity / (1 + similarity)
-    most = int(64 * parts * np.arccos(cosine) / np.pi)
+    share = np.arccos(cosine) / np.pi
+    most = int(64 * parts * share + slack * np.sqrt(64 * parts * share * (1 - share)))
     return [Table(np.sort(rng.choice(64 * parts, bits, replace=False)), 2, most) for _ in range(tables)]
 
 
+def shingle_set(text: bytes | None, words: int) -> tuple[bytes, np.ndarray]:
+    """A key that equal sets share, and the sorted hashes of the different shingles."""
+    found = np.unique(shingle_hashes(text, words))
+    return xxhash.xxh3_128_digest(found.tobytes()), found
+
+
+def set_rows(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc, key, print, size) for every row: its shingle set's key, fingerprint (a shingle counts once) and size."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema(SETS)
+        for batch in slices(batches):
+            sets = [shingle_set(t, words) for t in text_bytes(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array([k for k, _ in sets], pa.binary()),
+                                              pa.array([fingerprint(h, PARTS) for _, h in sets], pa.binary()),
+                                              pa.array([len(h) for _, h in sets], pa.int64())], schema=schema)
+
+    return keyed_texts(docs, id_col, text_col).mapInArrow(tidy(read), SETS)
+
+
+def similar_sets(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the sets that pairs of at least ``similarity`` (Jaccard) connect. Every pair is compared
+    unless its sets are connected already or their sizes rule it out."""
+    n = len(sets)
+    size = np.array([len(x) for x in sets], np.int64)
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(n), size)
+    order = np.argsort(values, kind="stable")
+    postings = owner[order]
+    token = np.cumsum(np.append(0, np.diff(values[order]) != 0)) if len(values) else values
+    starts = np.append(runs(token), len(token))
+    of_place = np.empty(len(values), np.int64)
+    of_place[order] = token
+    ends = np.cumsum(size)
+    label, u, v = np.arange(n), [], []
+    for i in range(n - 1):
+        later = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+        later = later[np.minimum(size[later], size[i]) >= similarity * np.maximum(size[later], size[i]) - 1e-9]
+        if not len(later):
+            continue
+        mine = of_place[ends[i] - size[i] : ends[i]]
+        if len(later) <= 4:
+            common = np.array([np.isin(of_place[ends[j] - size[j] : ends[j]], mine, assume_unique=True).sum() for j in later.tolist()])
+        else:
+            lo, count = starts[mine], starts[mine + 1] - starts[mine]
+            at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(count.sum())
+            common = np.bincount(postings[at], minlength=n)[later]
+        near = later[common >= similarity * (size[i] + size[later] - common) - 1e-9]
+        if len(near):
+            u.append(np.full(len(near), i))
+            v.append(near)
+            label[np.isin(label, label[near])] = label[i]
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(u), np.concatenate(v)) if u else (none, none)
+
+
+def verified_links(docs: DataFrame, members: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """Links (u, v) between keys of shingle sets of at least ``similarity``, within each candidate group, as spanning forests.
+
+    ``members``: (doc, key, size, group), one row per set. A group of more than ``GROUP_SETS`` sets or
+    ``GROUP_SHINGLES`` shingles is dealt out as pairs of blocks, so that every pair meets in a task."""
+    total = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles")).where("n > 1")
+    blocks = total.select("group", F.greatest(F.ceil(F.col("n") / GROUP_SETS), F.ceil(F.col("shingles") / GROUP_SHINGLES)).cast("int").alias("blocks"))
+    wanted = materialize(members.join(blocks, "group").select("doc", "key", "group", "blocks"), "members")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema(UNITS)
+        for batch in slices(batches, 1 << 20):
+            texts = text_bytes(batch)
+            keys, groups, blocks = (batch.column(c).to_pylist() for c in ("key", "group", "blocks"))
+            for text, key, group, n in zip(texts, keys, groups, blocks, strict=True):
+                found, shingles = shingle_set(text, words)
+                if found != key:  # another row with this id
+                    continue
+                own = xxhash.xxh64_intdigest(key, 1) % n
+                units = [xxhash.xxh64_intdigest(group + b"%d %d" % (min(own, x), max(own, x))) - (1 << 63) for x in range(n)]
+                for a in range(0, n, 64):  # bounded batches
+                    part = units[a : a + 64]
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([key] * len(part), pa.binary()),
+                                                      pa.array([shingles.tobytes()] * len(part), pa.binary())], schema=schema)
+
+    def settle(chunk: dict[bytes, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys = list(chunk)
+        u, v = similar_sets(list(chunk.values()), similarity)
+        if len(u):
+            root = forest(len(keys), u, v)
+            u = np.flatnonzero(root != np.arange(len(keys)))
+            yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in u.tolist()], pa.binary()),
+                                              pa.array([keys[i] for i in root[u].tolist()], pa.binary())], schema=arrow_schema(FOREST))
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, chunk = None, {}
+        for batch in batches:
+            keys, sets = batch.column("key"), batch.column("shingles")
+            for i, now in enumerate(batch.column("unit").to_pylist()):
+                if now != unit:
+                    if len(chunk) > 1:
+                        yield from settle(chunk)
+                    unit, chunk = now, {}
+                chunk[keys[i].as_py()] = np.frombuffer(sets[i].as_py(), np.uint64)
+        if len(chunk) > 1:
+            yield from settle(chunk)
+
+    plain = keyed_texts(docs, id_col, text_col)
+    side = F.broadcast(wanted) if is_small(wanted) else wanted
+    units = plain.join(side, "doc").mapInArrow(tidy(read), UNITS)
+    return units.repartition("unit").sortWithinPartitions("unit").mapInArrow(tidy(verify), FOREST)
+
+
+def similar_classes(docs: DataFrame, words: int, similarity: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, component) for every row; all rows have ids. Rows are linked when the Jaccard similarity of their sets
+    of shingles is at least ``similarity``. Fingerprints only choose which texts are compared: those that links of
+    ``SLACK`` standard deviations more than expected connect."""
+    rows = materialize(set_rows(docs, words, id_col, text_col), "sets")
+    sets = materialize(rows.groupBy("key").agg(F.min("doc").alias("doc"), F.first("print").alias("print"), F.first("size").alias("size")), "distinct")
+    links = near_links(sets.select("print").distinct(), tables_for(similarity, slack=SLACK))
+    roots = components(links)
+    groups = sets.join(roots.withColumnRenamed("node", "print"), "print", "left")
+    members = groups.select("doc", "key", "size", F.coalesce("root", "print").alias("group"))
+    found = components(verified_links(docs, members, words, similarity, id_col, text_col))
+    named = sets.join(found.withColumnRenamed("node", "key"), "key", "left").select("key", "doc", F.coalesce("root", "key").alias("root"))
+    ids = named.groupBy("root").agg(F.min("doc").alias("component"))
+    return lookup_join(rows.select("doc", "key"), named.join(ids, "root").select("key", "component"), ["key"]).select("doc", "component")
+
+
 def without_near_copies(docs: DataFrame, words: int, similarity: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each class of near copies the rows of the smallest id, all columns kept; of rows with equal ids one.
     Rows without id are kept, they are nobody's copy."""
-    found = classes(fingerprints(docs.where(col(id_col).isNotNull()), words, PARTS, id_col, text_col), tables_for(similarity))
+    found = similar_classes(docs.where(col(id_col).isNotNull()), words, similarity, id_col, text_col)
     kept = found.select(F.col("component").alias("__kept")).distinct()
     matched = docs.join(kept, col(id_col).cast("long") == F.col("__kept"), "left_semi")
     one = Window.partitionBy(id_col).orderBy(F.xxhash64(col(text_col)))

@@ -36,6 +36,18 @@ def test_base_line_is_exact(docs, awkward, monkeypatch):
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
 
 
+def test_scores_use_every_count(docs, monkeypatch):
+    """The lists that go to the tasks decide no result: counts of other words and pairs are joined."""
+    found = []
+    for words, pairs in ((200_000, 300_000), (5, 7)):
+        monkeypatch.setattr(language_model, "LISTED", words)
+        monkeypatch.setattr(language_model, "PAIRS", pairs)
+        rows = language_model.scored(docs, PATH, public_tokenizers.PATTERN).collect()
+        found.append(sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in rows))
+    for a, b in zip(*found, strict=True):
+        assert a == pytest.approx(b, rel=1e-5)
+
+
 def test_scores_are_better_than_the_base_line_on_held_out_texts(spark):
     rows = [r for r in queries.QUERIES["op1_lm_scoring"](spark, data_dir("0.1")).collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)

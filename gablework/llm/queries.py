@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import byte_suffixes, language_model, languages, piece_model, projection_forest, quality, simhash, spaced_seeds, token_files, word_windows
+from gablework.llm import byte_suffixes, language_model, languages, piece_model, projection_forest, quality, sharded_lloyd, simhash, spaced_seeds, token_files, word_windows
 from gablework.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from gablework.shared import scratch_path
 
@@ -67,3 +67,8 @@ def tokens_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality")
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_centroids", sharded_lloyd.clusters_sql())
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded_lloyd.clustered(table(spark, sf_dir, "embeddings"))

@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import byte_suffixes, language_model, languages, piece_model, projection_forest, quality, sharded_lloyd, simhash, spaced_seeds, token_files, word_windows
+from gablework.llm import (
+    byte_suffixes, language_model, languages, personal_data, piece_model, prefix_tree, projection_forest, quality, sharded_lloyd, simhash,
+    spaced_seeds, token_files, word_windows,
+)
 from gablework.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from gablework.shared import scratch_path
 
@@ -69,6 +72,16 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op11_prefix_trie", prefix_tree.nodes_sql())
+def conversation_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tree.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_personal_data")
+def private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
 @query("op13_centroids", sharded_lloyd.clusters_sql())
 def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded_lloyd.clustered(table(spark, sf_dir, "embeddings"))

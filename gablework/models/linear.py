@@ -13,20 +13,19 @@ from __future__ import annotations
 
 import functools
 import operator
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gablework.models.folds import rmse, side_by_side
 from gablework.operators.encode import robust_params, scaled
-from gablework.operators.quantile import quantiles
+from gablework.operators.gram import cross_sums, matrices, means
+from gablework.operators.quantile import union_quantiles
 from gablework.shared import col
 
 # The normal equations are solved on one machine; they grow with the columns, not with the rows.
@@ -88,6 +87,7 @@ def fit_linear(
     features = list(features)
     if len(features) > MAX_FEATURES:
         raise ValueError(f"more than {MAX_FEATURES} features")
+    require_values(df, [*features, y])
     if params is None:
         params = robust_params(df, features) if scale else dict.fromkeys(features, (0.0, 1.0))
     n, mean, sd = stats or label_stats(df, y)
@@ -105,16 +105,30 @@ def fit_linear(
     return _unscaled(features, model.coefficients.toArray(), model.intercept, params)
 
 
-def ridge(features: Sequence[str], alpha: float = 10.0, y: str = "y", scale: bool = True):
-    return lambda df: fit_linear(df, features, y, alpha, None, scale)
+@dataclass(frozen=True)
+class LinearFitter:
+    """Fits one linear model."""
 
+    features: tuple[str, ...]
+    alpha: float
+    l1_ratio: float | None = None
+    y: str = "y"
+    scale: bool = True
 
-def lasso(features: Sequence[str], alpha: float = 0.0005, y: str = "y", scale: bool = True):
-    return lambda df: fit_linear(df, features, y, alpha, 1.0, scale)
+    def __call__(self, df: DataFrame) -> LinearFit:
+        return fit_linear(df, self.features, self.y, self.alpha, self.l1_ratio, self.scale)
 
 
-def elastic_net(features: Sequence[str], alpha: float = 0.0005, l1_ratio: float = 0.9, y: str = "y", scale: bool = True):
-    return lambda df: fit_linear(df, features, y, alpha, l1_ratio, scale)
+def ridge(features: Sequence[str], alpha: float = 10.0, y: str = "y", scale: bool = True) -> LinearFitter:
+    return LinearFitter(tuple(features), alpha, None, y, scale)
+
+
+def lasso(features: Sequence[str], alpha: float = 0.0005, y: str = "y", scale: bool = True) -> LinearFitter:
+    return LinearFitter(tuple(features), alpha, 1.0, y, scale)
+
+
+def elastic_net(features: Sequence[str], alpha: float = 0.0005, l1_ratio: float = 0.9, y: str = "y", scale: bool = True) -> LinearFitter:
+    return LinearFitter(tuple(features), alpha, l1_ratio, y, scale)
 
 
 # Cross-validated ridge from sums
@@ -140,66 +154,80 @@ class Moments:
         return self.gram[1:, 1:] - np.outer(c, s) - np.outer(s, c) + self.n * np.outer(c, c)
 
 
-def fold_moments(df: DataFrame, features: Sequence[str], y: str = "y", fold: str = "fold") -> tuple[dict[int, Moments], np.ndarray]:
-    """({fold: sums}, origin): one pass over the data for all folds.
+def require_values(df: DataFrame, columns: Sequence[str]) -> None:
+    """Missing values are an error that names their columns."""
+    row = df.agg(F.count(F.lit(1)), *[F.count(F.nanvl(col(c).cast("double"), F.lit(None))).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    gaps = [c for c, n in zip(columns, row[1:]) if n < row[0]]
+    if gaps:
+        raise ValueError(f"missing values in {gaps}")
 
-    Each task folds its rows into one small matrix per fold; the matrices are
-    summed by (fold, row), so the reduction is spread as well. ``coalesce``
-    bounds the number of partial matrices without a shuffle.
-    """
-    features = list(features)
+
+def cell_moments(df: DataFrame, features: Sequence[str], y: str, cells: Sequence[str]) -> tuple[dict[tuple[int, ...], Moments], np.ndarray]:
+    """({cell: sums}, origin): one pass over the data for all combinations of the cell columns."""
+    columns = [*features, y]
     if len(features) > MAX_FEATURES:
         raise ValueError(f"more than {MAX_FEATURES} features")
-    columns = [*features, y]
-    spark = df.sparkSession
-    present = [F.count(col(c).cast("double")).alias(f"n{i}") for i, c in enumerate([*columns, fold])]
-    *first, n = df.agg(*[F.avg(col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)], *present, F.count(F.lit(1)).alias("n")).first()
-    gaps = [c for c, m in zip([*columns, fold], first[len(columns):]) if m < n]
-    if gaps:
-        raise ValueError(f"missing values in {gaps}")
-    first, width = first[: len(columns)], len(columns) + 1
-    origin = np.array([v if v is not None else 0.0 for v in first])
-    rows = df.select(
-        col(fold).cast("int").alias("fold"),
-        *[(col(c).cast("double") - F.lit(float(o))).alias(f"v{i}") for i, (c, o) in enumerate(zip(columns, origin))],
-    )
+    require_values(df, [*columns, *cells])
+    origin = means(df, columns)
+    return {c: Moments(g) for c, g in matrices(cross_sums(df, columns, cells, origin)).items()}, origin
+
+
+def fold_moments(df: DataFrame, features: Sequence[str], y: str = "y", fold: str = "fold") -> tuple[dict[int, Moments], np.ndarray]:
+    """({fold: sums}, origin): one pass over the data for all folds."""
+    found, origin = cell_moments(df, list(features), y, [fold])
+    return {c[0]: m for c, m in found.items()}, origin
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            labels = batch["fold"].to_numpy()
-            x = np.column_stack([np.ones(len(batch)), batch.drop(columns="fold").to_numpy(dtype=float)])
-            for f in np.unique(labels):
-                part = x[labels == f]
-                sums[int(f)] = sums.get(int(f), 0.0) + part.T @ part
-        for f, gram in sums.items():
-            yield pd.DataFrame({"fold": f, "row": np.arange(width), "sums": list(gram)})
-
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    parts = rows.coalesce(tasks).mapInPandas(partial, "fold int, row int, sums array<double>")
-    total = parts.groupBy("fold", "row").agg(Summarizer.sum(array_to_vector(F.col("sums"))).alias("sums"))
-    grams: dict[int, np.ndarray] = {}
-    for r in total.collect():
-        grams.setdefault(r["fold"], np.zeros((width, width)))[r["row"]] = r["sums"].toArray()
-    return {f: Moments(g) for f, g in sorted(grams.items())}, origin
+
+def scales_of(quartiles: dict[str, list[float]]) -> dict[str, tuple[float, float]]:
+    """{column: (median, IQR)}; an IQR of zero, or of an empty column, counts as one."""
+    return {c: (m if m is not None else 0.0, b - a if m is not None and b > a else 1.0) for c, (a, m, b) in quartiles.items()}
 
 
 def fold_scales(df: DataFrame, features: Sequence[str], k: int = 5, fold: str = "fold") -> dict[int, dict[str, tuple[float, float]]]:
-    """{held-out fold: {column: (median, IQR)}} of each training set, in one pass for all folds."""
-    others = F.array_remove(F.array(*[F.lit(i) for i in range(k)]), col(fold).cast("int"))
-    spread = df.select(F.explode(others).alias("__held"), *[col(c) for c in features])
-    out = {i: dict.fromkeys(features, (0.0, 1.0)) for i in range(k)}
-    for r in quantiles(spread, features, [0.25, 0.5, 0.75], by=["__held"]).collect():
-        a, m, b = r["quantiles"]
-        out[r["__held"]][r["column"]] = (m, (b - a) if b > a else 1.0)
-    return out
+    """{held-out fold: {column: (median, IQR)}} of each training set, from one table of counts for all folds."""
+    others = [[f for f in range(k) if f != i] for i in range(k)]
+    return {i: scales_of(q) for i, q in enumerate(union_quantiles(df, features, [0.25, 0.5, 0.75], fold, others))}
+
+
+def solved(train: Moments, origin: np.ndarray, features: Sequence[str], scales: dict[str, tuple[float, float]] | None, alpha: float, l1_ratio: float | None) -> LinearFit:
+    """The model of a training set from its sums: ridge by one solve, models with an L1 part by coordinate descent."""
+    mx, my = train.means()
+    inside = train.about(mx, my)
+    d = np.array([1 / scales[c][1] for c in features]) if scales else np.ones(len(features))
+    sxx, sxy = inside[:-1, :-1] * np.outer(d, d), inside[:-1, -1] * d
+    if l1_ratio is None:
+        w = np.linalg.solve(sxx + alpha * np.eye(len(d)), sxy) * d
+    else:
+        w = descended(sxx / train.n, sxy / train.n, alpha * l1_ratio, alpha * (1 - l1_ratio)) * d
+    return LinearFit(list(features), w.tolist(), float(my + origin[-1] - w @ (mx + origin[:-1])))
+
+
+def descended(s: np.ndarray, c: np.ndarray, l1: float, l2: float, sweeps: int = 100_000, tol: float = 1e-13) -> np.ndarray:
+    """Minimises w's/2 - c'w + l1 |w| + l2 w'w / 2 one coordinate after the other."""
+    w, left = np.zeros(len(c)), c.copy()  # left: c - s w
+    size = np.diag(s) + l2
+    reach = max(np.abs(c).max(initial=0.0), 1e-300)
+    for _ in range(sweeps):
+        moved = 0.0
+        for j in np.flatnonzero(size > 0):
+            z = left[j] + s[j, j] * w[j]
+            new = np.sign(z) * max(abs(z) - l1, 0.0) / size[j]
+            if new != w[j]:
+                left -= s[:, j] * (new - w[j])
+                moved = max(moved, abs(new - w[j]) * size[j])
+                w[j] = new
+        if moved <= tol * reach:
+            break
+    return w
 
 
 def ridge_cv(
     df: DataFrame, features: Sequence[str], alphas: Sequence[float], y: str = "y", k: int = 5, fold: str = "fold",
     scale: bool = True,
 ) -> list[tuple[float, int, float]]:
-    """[(alpha, fold, rmse)] for any number of alphas from one pass of sums (and one of quantiles)."""
+    """[(alpha, fold, rmse)] for any number of alphas from one pass of sums (and one of quantiles).
+
+    One eigendecomposition per fold serves all alphas."""
     features = list(features)
     sums, _ = fold_moments(df, features, y, fold)
     scales = fold_scales(df, features, k, fold) if scale else None
@@ -210,9 +238,10 @@ def ridge_cv(
         mx, my = train.means()
         inside, outside = train.about(mx, my), test.about(mx, my)
         d = np.array([1 / scales[held][c][1] for c in features]) if scales else np.ones(len(features))
-        sxx, sxy = inside[:-1, :-1] * np.outer(d, d), inside[:-1, -1] * d
+        values, vectors = np.linalg.eigh(inside[:-1, :-1] * np.outer(d, d))
+        along = vectors.T @ (inside[:-1, -1] * d)
         for alpha in alphas:
-            w = np.linalg.solve(sxx + alpha * np.eye(len(d)), sxy) * d
+            w = vectors @ (along / (np.maximum(values, 0.0) + alpha)) * d
             sse = outside[-1, -1] - 2 * w @ outside[:-1, -1] + w @ outside[:-1, :-1] @ w
             out.append((float(alpha), int(held), float(np.sqrt(max(sse, 0.0) / test.n))))
     return out
@@ -228,19 +257,17 @@ def linear_cv(
     and as the fitted models are literals, all folds are scored in one pass.
     """
     features = list(features)
+    require_values(df, [*features, y, fold])
     params = fold_scales(df, features, k, fold) if scale else dict.fromkeys(range(k))
-    training = F.array_remove(F.array(*[F.lit(i) for i in range(k)]), col(fold).cast("int"))
-    label = F.col("y")
-    spread = df.select(F.explode(training).alias("held"), col(y).cast("double").alias("y")).groupBy("held").agg(
-        F.count(label).alias("n"), F.avg(label).alias("mean"), F.stddev_pop(label).alias("sd")
-    )
-    stats = {r["held"]: (r["n"], r["mean"], r["sd"] or 0.0) for r in spread.collect()}
-    held = sorted(stats)
+    label = col(y).cast("double")
+    others = [F.when(col(fold) != i, label) for i in range(k)]
+    spread = df.agg(*[f(x).alias(f"{n}{i}") for i, x in enumerate(others) for n, f in (("n", F.count), ("mean", F.avg), ("sd", F.stddev_pop))]).first()
+    stats = {i: (spread[f"n{i}"], spread[f"mean{i}"] or 0.0, spread[f"sd{i}"] or 0.0) for i in range(k)}
     fits = side_by_side(df.sparkSession, [
         lambda i=i: fit_linear(df.where(col(fold) != i), features, y, alpha, l1_ratio, scale, params[i], stats[i])
-        for i in held
+        for i in range(k)
     ])
     predicted = F.lit(None).cast("double")
-    for i, fit in zip(held, fits):
+    for i, fit in enumerate(fits):
         predicted = F.when(col(fold) == i, fit.predict()).otherwise(predicted)
     return df.groupBy(col(fold).alias("fold")).agg(rmse(col(y), predicted).alias("rmse"))

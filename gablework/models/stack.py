@@ -26,17 +26,27 @@ class StackFit:
         return self.top.add(out, name).drop(*[f"__base_{b}" for b in self.bases])
 
 
+@dataclass(eq=False)
+class StackFitter:
+    """Inner folds come from the key with their own seed, the top model sees out-of-fold predictions only, and the
+    bases are refitted on all rows. ``models.graph.CrossFit`` fits the same stack for many training sets at once."""
+
+    bases: Mapping[str, Fitter]
+    key: str
+    y: str = "y"
+    alpha: float = 10.0
+    k: int = 5
+    seed: int = 43
+
+    def __call__(self, df: DataFrame) -> StackFit:
+        inner = keep_folds(df, self.key, self.k, self.seed, INNER)
+        named = {f"__base_{n}": f for n, f in self.bases.items()}
+        held = out_of_fold(inner, named, self.k, INNER).select(*[col(n) for n in named], col(self.y))
+        top = fit_linear(materialize(held, "stack"), list(named), self.y, self.alpha, None, scale=False)
+        return StackFit(fit_all(df, self.bases), top)
+
+
 def stacking(
     bases: Mapping[str, Fitter], key: str, y: str = "y", alpha: float = 10.0, k: int = 5, seed: int = 43
-):
-    """A fitter. The inner folds come from the key with their own seed, the top
-    model sees out-of-fold predictions only, the bases are refitted on all rows."""
-
-    def fit(df: DataFrame) -> StackFit:
-        inner = keep_folds(df, key, k, seed, INNER)
-        named = {f"__base_{n}": f for n, f in bases.items()}
-        held = out_of_fold(inner, named, k, INNER).select(*[col(n) for n in named], col(y))
-        top = fit_linear(materialize(held, "stack"), list(named), y, alpha, None, scale=False)
-        return StackFit(fit_all(df, bases), top)
-
-    return fit
+) -> StackFitter:
+    return StackFitter(dict(bases), key, y, alpha, k, seed)

@@ -1,20 +1,14 @@
-"""Forests and boosted trees under the parameter names of the usual libraries.
-
-A parameter Spark has no counterpart for is an error unless ``approximate=True``
-says that it may be left out.
-"""
+"""Forests and boosted trees under the parameter names of the usual libraries, grown by ``models.histogram``."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from gablework.shared import col, scratch_root
+from gablework.models.ensemble import Ensemble, importance  # noqa: F401
+from gablework.models.histogram import BINS, Grower, Plan, binned
 
 # Parameters of the untuned and the tuned models.
 FOREST = {"n_estimators": 500, "max_depth": 15, "min_samples_split": 5, "min_samples_leaf": 2, "random_state": 42}
@@ -41,84 +35,70 @@ TUNED_LEAF_WISE = {
     "min_child_samples": 39, "subsample": 0.506821746158421, "colsample_bytree": 0.5051642633258705,
     "reg_alpha": 0.0005712165849266721, "reg_lambda": 0.002714338283287307, "random_state": 42,
 }
-NO_COUNTERPART = ("reg_alpha", "reg_lambda", "num_leaves", "min_samples_split")
-
-
-@dataclass
-class TreeFit:
-    model: object
-    features: list[str]
-
-    def add(self, df: DataFrame, name: str) -> DataFrame:
-        scored = self.model.transform(assemble(df, self.features))
-        return scored.withColumnRenamed(self.model.getPredictionCol(), name).drop(self.model.getFeaturesCol())
-
+# The usual names, and what a plan calls them. A name that is not here is an error.
+NAMES = {
+    "depth": {
+        "n_estimators": "trees", "learning_rate": "rate", "max_depth": "depth", "min_child_weight": "least_weight", "subsample": "row_share",
+        "colsample_bytree": "column_share", "reg_alpha": "l1", "reg_lambda": "l2", "random_state": "seed",
+    },
+    "leaf": {
+        "n_estimators": "trees", "learning_rate": "rate", "max_depth": "depth", "num_leaves": "leaves", "min_child_samples": "least_rows",
+        "subsample": "row_share", "subsample_freq": "row_share_every", "colsample_bytree": "column_share", "reg_alpha": "l1", "reg_lambda": "l2",
+        "random_state": "seed",
+    },
+    "forest": {
+        "n_estimators": "trees", "max_depth": "depth", "min_samples_split": "least_split", "min_samples_leaf": "least_rows", "random_state": "seed",
+    },
+}
+USUAL = {
+    "depth": {"trees": 100, "rate": 0.3, "depth": 6, "least_weight": 1.0, "l2": 1.0},
+    "leaf": {"trees": 100, "rate": 0.1, "leaves": 31, "least_rows": 20, "least_weight": 1e-3},
+    "forest": {"trees": 100, "depth": 64},
+}
+WHOLE = ("trees", "depth", "leaves", "least_rows", "least_split", "seed")
 
-def assemble(df: DataFrame, features: Sequence[str], name: str = "__x") -> DataFrame:
-    """One vector column; sparse where dummies are mostly zero."""
-    return VectorAssembler(inputCols=list(features), outputCol=name, handleInvalid="error").transform(df)
 
+def plan_of(name: str, params: Mapping[str, float], style: str) -> Plan:
+    """A plan from the library's parameters.
 
-def _checked(params: Mapping[str, float], known: Sequence[str], approximate: bool) -> dict:
-    lost = [p for p in params if p in NO_COUNTERPART]
-    if lost and not approximate:
-        raise ValueError(f"{lost} have no counterpart; pass approximate=True to fit without them")
-    unknown = [p for p in params if p not in known and p not in NO_COUNTERPART]
+    The leaf-wise library samples rows only if a frequency is set; it grows level by level here, so it needs a depth."""
+    unknown = [p for p in params if p not in NAMES[style]]
     if unknown:
         raise ValueError(f"unknown parameters {unknown}")
-    return {p: v for p, v in params.items() if p not in lost}
-
-
-def forest_estimator(params: Mapping[str, float], y: str = "y", approximate: bool = False) -> RandomForestRegressor:
-    p = _checked(params, ("n_estimators", "max_depth", "min_samples_leaf", "random_state"), approximate)
-    return RandomForestRegressor(
-        featuresCol="__x", labelCol=y, predictionCol="__p",
-        numTrees=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 15)),
-        minInstancesPerNode=int(p.get("min_samples_leaf", 1)), featureSubsetStrategy="all",
-        seed=int(p.get("random_state", 42)), cacheNodeIds=True, checkpointInterval=10,
-    )
+    values = {**USUAL[style], **{NAMES[style][p]: int(v) if NAMES[style][p] in WHOLE else float(v) for p, v in params.items()}}
+    every = values.pop("row_share_every", 0)
+    if style == "leaf":
+        if values.get("depth", 0) < 1:
+            raise ValueError("leaf-wise growth needs max_depth")
+        if every not in (0, 1):
+            raise ValueError("rows are sampled for every tree or for none")
+        if not every:
+            values["row_share"] = 1.0
+    return Plan(name=name, style=style, **values)
 
 
-def boosted_estimator(
-    params: Mapping[str, float], y: str = "y", style: str = "depth", approximate: bool = False
-) -> GBTRegressor:
-    """``style='depth'`` reads the names of the depth-wise library, ``'leaf'`` those of the
-    leaf-wise one, which leaves ``subsample`` unused unless a frequency is set."""
-    least = {"depth": "min_child_weight", "leaf": "min_child_samples"}[style]
-    known = ("n_estimators", "learning_rate", "max_depth", least, "subsample", "colsample_bytree", "random_state")
-    p = _checked(params, known, approximate)
-    share = float(p.get("colsample_bytree", 1.0))
-    return GBTRegressor(
-        featuresCol="__x", labelCol=y, predictionCol="__p",
-        maxIter=int(p.get("n_estimators", 100)), stepSize=float(p.get("learning_rate", 0.1)),
-        maxDepth=int(p.get("max_depth", 6)), minInstancesPerNode=max(1, int(p.get(least, 20 if style == "leaf" else 1))),
-        subsamplingRate=float(p.get("subsample", 1.0)) if style == "depth" else 1.0,
-        featureSubsetStrategy="all" if share >= 1 else str(share), seed=int(p.get("random_state", 42)),
-        checkpointInterval=10,
-    )
+@dataclass(frozen=True)
+class TreeFitter:
+    """Fits one ensemble; ``key`` names the rows when they are sampled (without it, their content does)."""
 
+    features: tuple[str, ...]
+    plan: Plan
+    y: str = "y"
+    key: str | None = None
+    bins: int = BINS
 
-def _fit(df: DataFrame, features: Sequence[str], y: str, estimator) -> TreeFit:
-    scratch_root(df.sparkSession)  # lineage of node ids and residuals is cut off there every few rounds
-    data = assemble(df.select(*[col(c) for c in features], col(y)), features).select("__x", y)
-    return TreeFit(estimator.fit(data), list(features))
+    def __call__(self, df: DataFrame) -> Ensemble:
+        table = binned(df, self.features, self.y, self.key, [], [], self.bins)
+        fit = Grower(table, [self.plan]).grow()[0]
+        return replace(fit, features=list(self.features))
 
 
-def forest(features: Sequence[str], params: Mapping[str, float] = FOREST, y: str = "y", approximate: bool = False):
-    estimator = forest_estimator(params, y, approximate)
-    return lambda df: _fit(df, features, y, estimator)
+def forest(features: Sequence[str], params: Mapping[str, float] = FOREST, y: str = "y", key: str | None = None, bins: int = BINS) -> TreeFitter:
+    return TreeFitter(tuple(features), plan_of("forest", params, "forest"), y, key, bins)
 
 
 def boosted(
-    features: Sequence[str], params: Mapping[str, float] = DEPTH_WISE, y: str = "y", style: str = "depth",
-    approximate: bool = False,
-):
-    estimator = boosted_estimator(params, y, style, approximate)
-    return lambda df: _fit(df, features, y, estimator)
-
-
-def importance(fit: TreeFit, spark) -> DataFrame:
-    """(feature, importance): the model's own gain-based share, the largest first."""
-    shares = fit.model.featureImportances.toArray()
-    rows = [(c, float(s)) for c, s in zip(fit.features, shares)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+    features: Sequence[str], params: Mapping[str, float] = DEPTH_WISE, y: str = "y", style: str = "depth", key: str | None = None, bins: int = BINS,
+) -> TreeFitter:
+    """``style='depth'`` reads the names of the depth-wise library, ``'leaf'`` those of the leaf-wise one."""
+    return TreeFitter(tuple(features), plan_of(style, params, style), y, key, bins)

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gablework.functions import uniform_hash
 from gablework.models.folds import improvement
+from gablework.models.histogram import BINS, Grower, binned
 from gablework.models.linear import ridge_cv
-from gablework.models.trees import NO_COUNTERPART, assemble, boosted_estimator
+from gablework.models.trees import plan_of
 from gablework.operators.rows import running_best
-from gablework.shared import col, local_frame, scratch_root
+from gablework.shared import local_frame
 
 
 @dataclass(frozen=True)
@@ -53,6 +54,18 @@ def sampled_params(space: Mapping[str, Range], seed: int, trial: Column) -> dict
     return {p: r.at(uniform_hash(F.lit(seed), trial, F.lit(p))) for p, r in space.items()}
 
 
+def params_at(space: Mapping[str, Range], seed: int, trial: int) -> dict[str, float]:
+    """The same numbers without Spark."""
+    out = {}
+    for p, r in space.items():
+        u = int(hashlib.md5(f"{seed}:{trial}:{p}".encode()).hexdigest()[:8], 16) / 2.0**32
+        if r.log:
+            out[p] = math.exp(math.log(r.low) + u * (math.log(r.high) - math.log(r.low)))
+        else:
+            out[p] = float(math.floor(r.low + u * (r.high - r.low + 1))) if r.whole else r.low + u * (r.high - r.low)
+    return out
+
+
 def trial_table(spark: SparkSession, study: str, n: int, space: Mapping[str, Range], seed: int = 42) -> DataFrame:
     """(study, trial, params): n points of the search space."""
     trials = spark.range(n).select(F.col("id").cast("int").alias("trial"))
@@ -81,27 +94,24 @@ def tune_ridge(
 
 def tune_boosted(
     df: DataFrame, features: Sequence[str], study: str, n: int, space: Mapping[str, Range], style: str = "depth",
-    seed: int = 42, y: str = "y", k: int = 5, fold: str = "fold", parallelism: int = 4, approximate: bool = False,
+    seed: int = 42, y: str = "y", k: int = 5, fold: str = "fold", key: str | None = None, bins: int = BINS,
 ) -> DataFrame:
-    """Scored trials of boosted trees; folds come from the fold column, trials run side by side.
-
-    With ``approximate=True`` parameters without a counterpart are left out, of the trial table as well."""
-    spark = df.sparkSession
-    scratch_root(spark)
-    trials = trial_table(spark, study, n, space, seed).collect()
-    base = boosted_estimator({"random_state": seed}, y, style)
-    maps = []
+    """Scored trials of boosted trees. The table is binned once, and the trees of all trials and folds are grown in the
+    same passes: a pass grows one level of every ensemble."""
+    trials = trial_table(df.sparkSession, study, n, space, seed).collect()
+    plans = []
     for t in trials:
-        chosen = boosted_estimator({**t["params"], "random_state": seed}, y, style, approximate)
-        maps.append({base.getParam(p.name): v for p, v in chosen.extractParamMap().items()})
-    data = assemble(df.select(*[col(c) for c in features], col(y), col(fold).cast("int").alias("__fold")), features)
-    search = CrossValidator(
-        estimator=base, estimatorParamMaps=maps, numFolds=k, foldCol="__fold", parallelism=parallelism,
-        evaluator=RegressionEvaluator(predictionCol="__p", labelCol=y, metricName="rmse"),
-    )
-    scores = search.fit(data.select("__x", y, "__fold")).avgMetrics
-    rows = [(study, t["trial"], {p: v for p, v in t["params"].items() if p not in NO_COUNTERPART}, float(s)) for t, s in zip(trials, scores)]
-    return local_frame(spark, rows, TRIAL_SCHEMA)
+        plan = plan_of(study, {**t["params"], "random_state": seed}, style)
+        plans += [replace(plan, held=((fold, i),)) for i in range(k)]
+    grower = Grower(binned(df, features, y, key, [fold], [y, fold], bins), plans)
+    grower.grow()
+    scored = grower.predicted()
+    gap = F.transform(F.slice(F.col("__p"), F.col("__c1") + 1, F.size("__p")), lambda p, i: F.when(i % k == 0, (p - F.col("__c0")) * (p - F.col("__c0"))))
+    own = scored.select(F.col("__c1").alias("fold"), F.filter(gap, lambda v: v.isNotNull()).alias("e"))
+    errors = own.select("fold", F.posexplode("e").alias("trial", "e")).groupBy("trial", "fold").agg(F.sqrt(F.avg("e")).alias("rmse"))
+    value = {r["trial"]: r["value"] for r in errors.groupBy("trial").agg(F.avg("rmse").alias("value")).collect()}
+    rows = [(study, t["trial"], dict(t["params"]), value[i]) for i, t in enumerate(trials)]
+    return local_frame(df.sparkSession, rows, TRIAL_SCHEMA)
 
 
 def best_trial(trials: DataFrame) -> DataFrame:

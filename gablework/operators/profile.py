@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gablework.functions import adjusted_skew, guarded_corr
+from gablework.operators.gram import correlations
 from gablework.operators.quantile import group_medians, quantiles
 from gablework.shared import col, lookup_join, numeric_columns, quoted, string_columns
 
@@ -146,16 +147,8 @@ def top_correlated(df: DataFrame, columns: Sequence[str], target: str, k: int =
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, r) of every pair, both orders and the diagonal, computed once per unordered pair."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    rows = F.array(
-        *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), guarded_corr(col(a), col(b)).alias("r")) for a, b in pairs]
-    )
-    half = df.agg(rows.alias("__rows")).select(F.inline("__rows"))
-    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
-        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    )
-    return half.select("r", F.inline(both)).select("a", "b", "r")
+    """(a, b, r) of every pair, both orders and the diagonal, from one pass of cross-product sums."""
+    return correlations(df, columns)
 
 
 def group_median_order(df: DataFrame, by: str, target: str) -> DataFrame:

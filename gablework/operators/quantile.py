@@ -218,3 +218,46 @@ def group_medians(df: DataFrame, value: str, by: Sequence[str], name: str = "med
     return quantiles(df, [value], [0.5], by=by, **kw).select(
         *[col(c) for c in by], F.col("quantiles")[0].alias(name)
     )
+
+
+def union_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], cell: str, unions: Sequence[Sequence[int]], distinct_limit: int = DISTINCT_LIMIT,
+) -> list[dict[str, list[float]]]:
+    """For each union of cells (values of an int column) the quantiles of every column, as by ``quantiles`` over its rows.
+
+    All unions come from one table of counts per (column, value, cell): a rank is found in the running sums of the cells
+    of a union. A column with more distinct values than the limit is left to ``quantiles``, once per union."""
+    columns = list(columns)
+    sizes = df.agg(*[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    crowded = [c for c, d in zip(columns, sizes) if d > distinct_limit]
+    out: list[dict[str, list[float]]] = [{} for _ in unions]
+    for c in crowded:
+        for found, union in zip(out, unions):
+            found |= quantile_rows(df.where(col(cell).isin(list(union))), [c], probs, distinct_limit=distinct_limit)
+    light = [c for c in columns if c not in crowded]
+    cells = sorted({c for u in unions for c in u})
+    if not light or not cells:
+        return out
+    counts = [F.count_if(col(cell) == c).alias(f"n{c}") for c in cells]
+    counted = materialize(long_values(df, light, [cell]).groupBy("column", "value").agg(*counts), "counts")
+    totals = {r["column"]: r for r in counted.groupBy("column").agg(*[F.sum(f"n{c}").alias(f"n{c}") for c in cells]).collect()}
+    w = Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    running = counted.select("column", "value", *[F.sum(f"n{c}").over(w).alias(f"n{c}") for c in cells])
+    places, picks = [], []
+    for u, union in enumerate(unions):
+        upto = sum((F.col(f"n{c}") for c in union), F.lit(0).cast("long"))
+        for q, p in enumerate(probs):
+            place = {i: p * (max(sum(t[f"n{c}"] for c in union), 1) - 1) for i, t in totals.items()}
+            places.append((u, q, place))
+            low = F.create_map(*[F.lit(v) for i, x in place.items() for v in (i, int(x))])[F.col("column")] if place else F.lit(0)
+            high = F.create_map(*[F.lit(v) for i, x in place.items() for v in (i, math.ceil(x))])[F.col("column")] if place else F.lit(0)
+            picks += [F.min(F.when(upto > low, F.col("value"))), F.min(F.when(upto > high, F.col("value")))]
+    for r in running.groupBy("column").agg(*[p.alias(f"p{i}") for i, p in enumerate(picks)]).collect():
+        for i, (u, _, place) in enumerate(places):
+            a, b = r[f"p{2 * i}"], r[f"p{2 * i + 1}"]
+            x = place[r["column"]] - int(place[r["column"]])
+            out[u].setdefault(light[r["column"]], []).append(a if a == b or a is None else a * (1 - x) + b * x)
+    for found in out:
+        for c in columns:
+            found.setdefault(c, [None] * len(probs))
+    return out

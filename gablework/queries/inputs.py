@@ -27,17 +27,17 @@ def gappy_events(spark: SparkSession, d: str) -> DataFrame:
 
 FOLD_SQL = "CAST('0x' || substr(md5('42:' || {key}), 1, 8) AS BIGINT) % 5"
 
-# One row per order with lines: line count, quantity, balance, log revenue, fold.
+# One row per order with lines: line count, quantity, balance, its thousands, log revenue, fold.
 SALES_SQL = f"""
 sales AS (
   SELECT o_orderkey AS k, CAST(count(*) AS DOUBLE) AS n, sum(l_quantity) AS q,
-         any_value(c_acctbal) AS bal, ln(1 + sum(l_extendedprice * (1 - l_discount))) AS y,
+         any_value(c_acctbal) AS bal, floor(any_value(c_acctbal) / 1000) AS band, ln(1 + sum(l_extendedprice * (1 - l_discount))) AS y,
          {FOLD_SQL.format(key="o_orderkey")} AS fold
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   GROUP BY o_orderkey)"""
 
 FEATURES = ["n", "q"]
-TREE_FEATURES = ["n", "q", "bal"]
+TREE_FEATURES = ["n", "q", "band"]  # few values each, so SQL can follow the trees
 
 
 def sales(spark: SparkSession, d: str) -> DataFrame:
@@ -53,5 +53,5 @@ def sales(spark: SparkSession, d: str) -> DataFrame:
         customers, orders.o_custkey == customers.c_custkey
     )
     return joined.select(
-        F.col("o_orderkey").alias("k"), "n", "q", "bal", "y", fold_of(F.col("o_orderkey")).alias("fold")
+        F.col("o_orderkey").alias("k"), "n", "q", "bal", F.floor(F.col("bal") / 1000).cast("double").alias("band"), "y", fold_of(F.col("o_orderkey")).alias("fold")
     )

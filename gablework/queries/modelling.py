@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from gablework.explain import summary
 from gablework.explain.linear import linear_attributions
-from gablework.explain.trees import background_sample, tree_attributions
+from gablework.explain.trees import tree_attributions
 from gablework.models import folds, linear, stack, trees, tune
+from gablework.models.graph import CrossFit
 from gablework.operators.profile import describe_numeric
+from gablework.queries import model_sql, tree_sql
 from gablework.queries.inputs import FEATURES, SALES_SQL, TREE_FEATURES, sales
 from gablework.queries.registry import neat, query, r
 from gablework.shared import materialize, scratch_path
@@ -249,89 +251,226 @@ def shap_dependence(spark, d):
     return neat(summary.dependence(attributions(spark, d), FEATURES, "q", 20))
 
 
-# Trees: no SQL counterpart; checked by properties in the tests. Few trees keep the driver's check short.
+# Trees and stacking. The parameter sets are those of ``models.trees`` but for the number of trees; the SQL grows the same
+# trees level by level. The features have few values, so that every value is a bin.
 
-SMALL = {"n_estimators": 8, "learning_rate": 0.3, "max_depth": 3, "random_state": 42}
-SMALL_DEPTH = {**SMALL, "min_child_weight": 2, "subsample": 0.8, "colsample_bytree": 0.8}
-SMALL_LEAF = {**SMALL, "num_leaves": 31, "min_child_samples": 20, "colsample_bytree": 0.8}
-SMALL_FOREST = {"n_estimators": 8, "max_depth": 5, "min_samples_leaf": 2, "random_state": 42}
+BINS = 1024
+BOOST = {"n_estimators": 5}
+XGB = {**trees.DEPTH_WISE, **BOOST}
+LGB = {**trees.LEAF_WISE, **BOOST}
+STACKED_XGB, STACKED_LGB = {**trees.STACKED_DEPTH_WISE, **BOOST}, {**trees.STACKED_LEAF_WISE, **BOOST}
+FOREST = {**trees.FOREST, "n_estimators": 20}
+WIDTH = len(TREE_FEATURES)
 
 
-@query("cv_random_forest")
+def boosted(params, style="depth"):
+    return trees.boosted(TREE_FEATURES, params, style=style, key="k", bins=BINS)
+
+
+def forest_model():
+    return trees.forest(TREE_FEATURES, FOREST, key="k", bins=BINS)
+
+
+def steps_of(name: str, params: dict, style: str, rows: str = "rows0") -> list[tuple[str, str]]:
+    return tree_sql.ensemble(name, trees.plan_of(name, params, style), rows, WIDTH)
+
+
+FOLD_ROWS = ("rows0", "SELECT s.f, k, y, fold, fold <> s.f AS train, n AS x0, q AS x1, band AS x2 FROM sales, range(5) s(f)")
+WHOLE_ROWS = ("rows0", "SELECT 5 AS f, k, y, fold, TRUE AS train, n AS x0, q AS x1, band AS x2 FROM sales")
+
+
+def nested_rows(lo: int, hi: int) -> tuple[str, str]:
+    return "rows0", model_sql.NESTED.format(lo=lo, hi=hi)
+
+
+def cv_sql(models: dict[str, str], f: str = "r.f = r.fold") -> str:
+    """(model, fold, rmse) from steps that give (f, k, pred)."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS model, CAST(r.fold AS INTEGER) AS fold, {r('sqrt(avg(power(r.y - p.pred, 2)))')} AS rmse FROM rows0 r JOIN {step} p ON p.f = r.f AND p.k = r.k WHERE {f} GROUP BY r.fold"
+        for name, step in models.items()
+    )
+
+
+def with_sales(steps) -> str:
+    return f"WITH {SALES_SQL}, {tree_sql.with_steps(steps)} "
+
+
+def folded(spark, d):
+    return folds.keep_folds(sales(spark, d).drop("fold"), "k")
+
+
+@query("cv_random_forest", with_sales([FOLD_ROWS, *steps_of("forest", FOREST, "forest")]) + cv_sql({"forest": "forest"}))
 def cv_random_forest(spark, d):
-    data = folds.keep_folds(sales(spark, d).drop("fold"), "k")
-    return neat(folds.cv_scores(data, {"forest": trees.forest(TREE_FEATURES, SMALL_FOREST)}))
+    """Twenty trees of depth 15 for each of five training sets, grown level by level in the same passes."""
+    return neat(CrossFit(folded(spark, d), {"forest": forest_model()}, "k").scores())
 
 
-@query("cv_boosted")
+@query("cv_boosted", with_sales([FOLD_ROWS, *steps_of("xgb", XGB, "depth"), *steps_of("lgb", LGB, "leaf")]) + cv_sql({"xgb": "xgb", "lgb": "lgb"}))
 def cv_boosted(spark, d):
-    data = folds.keep_folds(sales(spark, d).drop("fold"), "k")
-    fitters = {
-        "xgb": trees.boosted(TREE_FEATURES, SMALL_DEPTH),
-        "lgb": trees.boosted(TREE_FEATURES, SMALL_LEAF, style="leaf", approximate=True),
-    }
-    return neat(folds.cv_scores(data, fitters))
+    """Both styles and all folds share the passes."""
+    return neat(CrossFit(folded(spark, d), {"xgb": boosted(XGB), "lgb": boosted(LGB, "leaf")}, "k").scores())
 
 
 def four_bases():
     return {
-        "ridge": linear.ridge(FEATURES),
-        "lasso": linear.lasso(FEATURES),
-        "xgb": trees.boosted(TREE_FEATURES, SMALL_DEPTH),
-        "lgb": trees.boosted(TREE_FEATURES, SMALL_LEAF, style="leaf", approximate=True),
+        "ridge": linear.ridge(FEATURES), "lasso": linear.lasso(["n"], 0.0005),
+        "xgb": boosted(STACKED_XGB), "lgb": boosted(STACKED_LGB, "leaf"),
     }
 
 
-@query("stacking")
+BASE_STEPS = [
+    *model_sql.ridge("s_ridge", "rows0", 2, 10.0), *model_sql.one_feature("s_lasso", "rows0", 0.0005, 1.0),
+    *steps_of("s_xgb", STACKED_XGB, "depth"), *steps_of("s_lgb", STACKED_LGB, "leaf"),
+    *model_sql.stacked("stacking", "rows0", ["s_ridge", "s_lasso", "s_xgb", "s_lgb"], 10.0),
+]
+FIRST = [nested_rows(0, 1), *BASE_STEPS]
+
+
+@query("stacking", with_sales(FIRST) + f"SELECT r.k, {r('r.y')} AS y, {r('p.pred')} AS pred FROM rows0 r JOIN stacking p USING (f, k) WHERE r.fold = 0 AND r.f = 0")
 def stacking(spark, d):
-    """Out-of-fold base predictions under a ridge; fitted on four folds, scored on the fifth."""
-    data = folds.keep_folds(sales(spark, d).drop("fold"), "k")
-    fit = stack.stacking(four_bases(), "k", k=3)(data.where(F.col("fold") != 0))
-    return neat(fit.add(data.where(F.col("fold") == 0), "pred").select("k", "y", "pred"))
+    """Out-of-fold base predictions (five inner folds) under a ridge; fitted on four folds, scored on the fifth."""
+    found = CrossFit(folded(spark, d), {"pred": stack.stacking(four_bases(), "k")}, "k", held=[0])
+    return neat(found.out_of_fold().select("k", "y", "pred"))
+
+
+LINEAR_BASES = {"ridge": linear.ridge(FEATURES), "lasso": linear.lasso(["n"], 0.05)}
+LINEAR_STEPS = [
+    nested_rows(0, 5), *model_sql.ridge("b_ridge", "rows0", 2, 10.0), *model_sql.one_feature("b_lasso", "rows0", 0.05, 1.0),
+    *model_sql.stacked("stacking", "rows0", ["b_ridge", "b_lasso"], 10.0),
+]
+OUTER = "r.o = r.fold AND r.f = r.o * 10"
+
+
+@query("cv_stacking", with_sales(LINEAR_STEPS) + cv_sql({"ridge": "b_ridge", "lasso": "b_lasso", "stacking": "stacking"}, OUTER))
+def cv_stacking(spark, d):
+    """Five outer and five inner folds: thirty training sets of each base from one pass of sums."""
+    models = {**LINEAR_BASES, "stacking": stack.stacking(LINEAR_BASES, "k")}
+    return neat(CrossFit(folded(spark, d), models, "k").scores())
+
+
+SEVEN_STEPS = [
+    nested_rows(0, 5), ("outer0", "SELECT * FROM rows0 WHERE f % 10 = 0"),
+    *model_sql.one_feature("m_elastic", "outer0", 0.0005, 0.9), *steps_of("m_forest", FOREST, "forest", "outer0"),
+    *steps_of("m_xgb", XGB, "depth", "outer0"), *steps_of("m_lgb", LGB, "leaf", "outer0"), *BASE_STEPS,
+]
+SEVEN = {"ridge": "s_ridge", "lasso": "s_lasso", "elastic_net": "m_elastic", "forest": "m_forest", "xgb": "m_xgb", "lgb": "m_lgb", "stacking": "stacking"}
+
+
+@query("cv_compare_all", with_sales(SEVEN_STEPS) + f"""SELECT model, {r('avg(score)')} AS mean, {r('stddev_pop(score)')} AS std FROM (
+{cv_sql(SEVEN, OUTER).replace(' AS rmse', ' AS score').replace(r('sqrt(avg(power(r.y - p.pred, 2)))'), 'sqrt(avg(power(r.y - p.pred, 2)))')}) GROUP BY model""")
+def cv_compare_all(spark, d):
+    """Seven models, cross-validated; a fit that stacking and the comparison both need is made once."""
+    bases = four_bases()
+    models = {
+        "ridge": bases["ridge"], "lasso": bases["lasso"], "elastic_net": linear.elastic_net(["n"]), "forest": forest_model(),
+        "xgb": boosted(XGB), "lgb": boosted(LGB, "leaf"), "stacking": stack.stacking(bases, "k"),
+    }
+    return neat(folds.compare(CrossFit(folded(spark, d), models, "k").scores()))
+
+
+FINAL = [*FIRST, ("outer0", "SELECT * FROM rows0 WHERE f = 0"), *steps_of("m_xgb", XGB, "depth", "outer0"), *steps_of("m_lgb", LGB, "leaf", "outer0")]
+FIVE = {"ridge": "s_ridge", "lasso": "s_lasso", "xgb": "m_xgb", "lgb": "m_lgb", "stacking": "stacking"}
+
+
+def blend_sql(weights: dict[str, float], steps: dict[str, str]) -> str:
+    total = " + ".join(f"{w!r} * {m}.pred" for m, w in weights.items())
+    joins = " ".join(f"JOIN {steps[m]} {m} ON {m}.f = r.f AND {m}.k = r.k" for m in weights)
+    return f"SELECT r.k, {r(f'exp({total}) - 1', 2)} AS price FROM rows0 r {joins} WHERE r.fold = 0 AND r.f = 0"
 
 
-@query("final_submission")
+@query("final_submission", with_sales(FINAL) + blend_sql(folds.BLEND_FIVE, FIVE))
 def final_submission(spark, d):
     """Five models fitted on the training rows, their predictions for the others blended and brought back to prices."""
-    data = folds.keep_folds(sales(spark, d).drop("fold"), "k")
-    fitters = {**four_bases(), "stacking": stack.stacking(four_bases(), "k", k=2)}
-    fits = folds.fit_all(data.where(F.col("fold") != 0), fitters)
-    scored = folds.predict_all(data.where(F.col("fold") == 0), fits)
-    return neat(housing.submission(scored, "k", folds.blend(folds.BLEND_FIVE), "price"), 2)
+    bases = four_bases()
+    models = {"ridge": bases["ridge"], "lasso": bases["lasso"], "xgb": boosted(XGB), "lgb": boosted(LGB, "leaf"), "stacking": stack.stacking(bases, "k")}
+    scored = CrossFit(folded(spark, d), models, "k", held=[0]).out_of_fold().withColumn("price", folds.blend(folds.BLEND_FIVE))
+    return neat(housing.submission(scored, "k", F.col("price"), "price"), 2)
+
+
+# Tuning
+
+FEW_TREES = {"n_estimators": tune.Range(2, 4, whole=True)}
+DEPTH_TRIALS, LEAF_TRIALS = {**tune.DEPTH_SPACE, **FEW_TREES}, {**tune.LEAF_SPACE, **FEW_TREES, "max_depth": tune.Range(3, 5, whole=True)}
+TRIALS = 6
+
+
+def trial_steps(study: str, space: dict, style: str, rows: str = "rows0") -> list[tuple[str, str]]:
+    steps = []
+    for t in range(TRIALS):
+        params = {**tune.params_at(space, 42, t), "random_state": 42}
+        steps += steps_of(f"{study}{t}", params, style, rows)
+    return steps
+
 
+def trials_sql(study: str) -> str:
+    scores = cv_sql({f"{study}{t}": f"{study}{t}" for t in range(TRIALS)}).replace(r("sqrt(avg(power(r.y - p.pred, 2)))"), "sqrt(avg(power(r.y - p.pred, 2)))")
+    return f"SELECT '{study}' AS study, CAST(substr(model, {len(study) + 1}) AS INTEGER) AS trial, avg(rmse) AS value FROM ({scores}) GROUP BY model"
 
-@query("tune_boosted")
+
+def boosted_trials(spark, d, study: str, space: dict, style: str):
+    return tune.tune_boosted(folded(spark, d), TREE_FEATURES, study, TRIALS, space, style, key="k", bins=BINS)
+
+
+@query("tune_boosted", with_sales([FOLD_ROWS, *trial_steps("xgb", DEPTH_TRIALS, "depth"), ("trials", trials_sql("xgb"))]) + f"""
+SELECT study, trial, {r('value')} AS value, {r('min(value) OVER (ORDER BY trial ROWS UNBOUNDED PRECEDING)')} AS best FROM trials""")
 def tune_boosted(spark, d):
-    data = folds.keep_folds(sales(spark, d).drop("fold"), "k")
-    space = {**tune.DEPTH_SPACE, "n_estimators": tune.Range(3, 6, whole=True), "max_depth": tune.Range(2, 4, whole=True)}
-    found = tune.tune_boosted(data, TREE_FEATURES, "xgb", 3, space, approximate=True)
-    return neat(tune.history(found))
+    """The trees of all trials and folds are grown in the same passes."""
+    return neat(tune.history(boosted_trials(spark, d, "xgb", DEPTH_TRIALS, "depth")))
+
+
+@query("tune_leaf_wise", with_sales([FOLD_ROWS, *trial_steps("lgb", LEAF_TRIALS, "leaf"), ("trials", trials_sql("lgb"))]) + f"""
+SELECT study, trial, {r('value')} AS value FROM trials ORDER BY trials.value, trial LIMIT 1""")
+def tune_leaf_wise(spark, d):
+    return neat(tune.best_trial(boosted_trials(spark, d, "lgb", LEAF_TRIALS, "leaf")).drop("params"))
+
+
+# Attribution of the boosted model of the whole table
+
+SHAPLEY_TREES = [f"m_g{t}" for t in range(XGB["n_estimators"])]
+SHAPLEY = [WHOLE_ROWS, *steps_of("m", XGB, "depth"), *model_sql.leaves("leaf", XGB["max_depth"], SHAPLEY_TREES, WIDTH)]
+
+
+def shapley(background: bool):
+    return [*SHAPLEY, *model_sql.attributed("shap", "rows0", "leaf", WIDTH, XGB["learning_rate"], background)]
+
+
+def shapley_rows(background: bool) -> str:
+    columns = ", ".join(f"{r(f'shap{i}')} AS shap_{c}" for i, c in enumerate(TREE_FEATURES))
+    return with_sales(shapley(background)) + f"SELECT shap.k, {r('paid + base')} AS base, {columns}, {r('m.pred')} AS pred FROM shap JOIN m USING (f, k) JOIN m_base USING (f)"
 
 
 def boosted_fit(spark, d):
     data = materialize(sales(spark, d), "sales")
-    return data, trees.boosted(TREE_FEATURES, SMALL_DEPTH)(data)
+    return data, boosted(XGB)(data)
 
 
-@query("tree_shap")
+def with_prediction(found, fit):
+    parts = [F.col("contributions")[i].alias(f"shap_{c}") for i, c in enumerate(TREE_FEATURES)]
+    return neat(fit.add(found, "pred").select("k", "base", *parts, "pred"))
+
+
+@query("tree_shap", shapley_rows(False))
 def tree_shap(spark, d):
     """Contributions of every row, beside the prediction they add up to."""
     data, fit = boosted_fit(spark, d)
-    found = fit.add(tree_attributions(data, fit, "k", TREE_FEATURES), "pred")
-    parts = [F.col("contributions")[i].alias(f"shap_{c}") for i, c in enumerate(TREE_FEATURES)]
-    return neat(found.select("k", "base", *parts, "pred"))
+    return with_prediction(tree_attributions(data, fit, "k", TREE_FEATURES), fit)
 
 
-@query("tree_shap_background")
+@query("tree_shap_background", shapley_rows(True))
 def tree_shap_background(spark, d):
+    """The same against the whole table as background."""
     data, fit = boosted_fit(spark, d)
-    reference = background_sample(data, TREE_FEATURES, "k")
-    found = fit.add(tree_attributions(data, fit, "k", TREE_FEATURES, reference), "pred")
-    parts = [F.col("contributions")[i].alias(f"shap_{c}") for i, c in enumerate(TREE_FEATURES)]
-    return neat(found.select("k", "base", *parts, "pred"))
+    return with_prediction(tree_attributions(data, fit, "k", TREE_FEATURES, data), fit)
+
+
+GAINS = " UNION ALL ".join(f"SELECT feature, gain FROM {t}_b{i}" for t in SHAPLEY_TREES for i in range(XGB["max_depth"]))
 
 
-@query("importance_compare")
+@query("importance_compare", with_sales(shapley(False)) + f""", gains AS (SELECT feature, avg(gain) AS gain FROM ({GAINS}) GROUP BY feature),
+sides AS (
+  {' UNION ALL '.join(f"SELECT '{c}' AS feature, (SELECT avg(abs(shap{i})) FROM shap) AS s, coalesce((SELECT gain FROM gains WHERE feature = {i}), 0) AS g" for i, c in enumerate(TREE_FEATURES))})
+SELECT feature, {r('s')} AS shap_importance, CAST(row_number() OVER (ORDER BY s DESC, feature) AS INTEGER) AS shap_rank,
+  {r('g / sum(g) OVER ()')} AS importance, CAST(row_number() OVER (ORDER BY g DESC, feature) AS INTEGER) AS builtin_rank FROM sides""")
 def importance_compare(spark, d):
     """Attribution and built-in importance of the same model, side by side."""
     data, fit = boosted_fit(spark, d)
@@ -339,7 +478,11 @@ def importance_compare(spark, d):
     return neat(summary.compare_importance(shares, trees.importance(fit, spark)))
 
 
-@query("shap_interaction")
+@query("shap_interaction", with_sales(shapley(False)) + f""", v AS (SELECT min(x0) AS lo, max(x0) AS hi FROM rows0),
+b AS (SELECT CAST(least(floor((x0 - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin, x1, x2, shap0 FROM shap JOIN rows0 USING (f, k), v),
+e AS (SELECT x1, x2, shap0 - avg(shap0) OVER (PARTITION BY bin) AS e FROM b),
+c AS (SELECT '{TREE_FEATURES[1]}' AS "column", corr(x1, e) AS r FROM e UNION ALL SELECT '{TREE_FEATURES[2]}', corr(x2, e) FROM e)
+SELECT "column", {r('r')} AS r, {r('abs(r)')} AS abs_r FROM c""")
 def shap_interaction(spark, d):
     data, fit = boosted_fit(spark, d)
     found = tree_attributions(data, fit, "k", TREE_FEATURES)

@@ -43,6 +43,7 @@ ADDED = (
     re.compile(r"\+?\(?[0-9][ ()./0-9-]*[0-9]"),
 )
 PER_KIND, STEPS, LENGTH = 600, 300, 96
+READ_BYTES, SALTS = 2 << 20, 64
 Span = tuple[int, int, int]  # start, kind, end
 
 
@@ -142,9 +143,11 @@ def learning_windows(texts: DataFrame, per_kind: int) -> list[tuple[str, list[Sp
                  pa.array(named, pa.list_(kind))], ["kind", "h", "part", "spans"]
             )
 
-    found = texts.mapInArrow(tidy(read), WINDOWS).distinct()
-    nth = F.row_number().over(Window.partitionBy("kind").orderBy("h", "part"))
-    rows = found.withColumn("nth", nth).where(F.col("nth") <= per_kind).collect()  # five kinds
+    found = texts.mapInArrow(tidy(read), WINDOWS).distinct().withColumn("salt", F.col("h") % SALTS)
+    for by in (["kind", "salt"], ["kind"]):  # no kind's windows of all tasks meet in one
+        nth = F.row_number().over(Window.partitionBy(*by).orderBy("h", "part"))
+        found = found.withColumn("nth", nth).where(F.col("nth") <= per_kind)
+    rows = found.collect()  # five kinds
     rows.sort(key=lambda r: (r["kind"], r["h"], r["part"]))
     return [(r["part"], [tuple(s) for s in r["spans"]]) for r in rows]
 
@@ -213,7 +216,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     model = learned(texts, per_kind, steps)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1 << 20):
+        for batch in slices(batches, READ_BYTES):
             read = [t or "" for t in batch.column("text").to_pylist()]
             codes = [char_tagger.symbols(t) for t in read]
             tags = char_tagger.tagged(model, codes) if model else [np.zeros(len(c), np.int8) for c in codes]

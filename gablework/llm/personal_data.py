@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gablework.llm import char_tagger
-from gablework.llm.batches import keyed_texts, slices, tidy
+from gablework.llm.batches import covered, keyed_texts, slices, tidy
 
 # Kinds in their order, patterns and limits.
 KINDS = ("email", "ip", "card", "phone")
@@ -42,8 +42,9 @@ ADDED = (
     re.compile(r"[0-9](?:[ ._/-]{0,2}[0-9])+"),
     re.compile(r"\+?\(?[0-9][ ()./0-9-]*[0-9]"),
 )
+TOKEN = (LOCAL + "@", "0123456789.", "0123456789", "0123456789+(")
 PER_KIND, STEPS, LENGTH = 600, 300, 96
-READ_BYTES, SALTS = 2 << 20, 64
+READ_BYTES, SALTS = 2 << 20, 8
 Span = tuple[int, int, int]  # start, kind, end
 
 
@@ -92,23 +93,26 @@ def listed(spans: list[Span]) -> str:
 
 
 def added_spans(text: str, base: list[Span], tags: np.ndarray) -> list[Span]:
-    """Runs of one tag that meet the kind's rule and touch no base span."""
+    """Runs of one tag, stretched to whole tokens, that meet the kind's rule and touch no base span."""
     edges = np.flatnonzero(np.diff(tags, prepend=0, append=0))
-    out, nth = [], 0
+    taken = covered(np.array([s for s, _, _ in base], np.int64), np.array([e - s for s, _, e in base], np.int64), len(text)) if len(edges) else None
+    out, done = [], 0
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
         kind = int(tags[a]) - 1
         if kind < 0:
             continue
-        part = text[a:b]
-        a += len(part) - len(part.lstrip())
-        part = part.strip()
-        b = a + len(part)
-        while nth < len(base) and base[nth][2] <= a:
-            nth += 1
-        clear = not any(s < b and e > a for s, _, e in base[max(0, nth - 4) : nth + 5])
+        while a > done and text[a - 1] in TOKEN[kind]:
+            a -= 1
+        while b < len(text) and text[b] in TOKEN[kind]:
+            b += 1
+        found = ADDED[kind].search(text, max(a, done), b)
+        if not found:
+            continue
+        a, b = found.span()
         inside = text[max(0, a - 1) : a].isalnum() or text[b : b + 1].isalnum()
-        if clear and not inside and ADDED[kind].fullmatch(part) and holds(kind, part):
+        if not taken[a:b].any() and not inside and holds(kind, found.group()):
             out.append((a, kind, b))
+            done = b
     return out
 
 

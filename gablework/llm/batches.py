@@ -13,7 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,6 +153,19 @@ def per_worker(name: str, make: Callable[[], object]) -> object:
     return getattr(held, name)
 
 
+def shipped(spark: SparkSession, value: object) -> Callable[[], object]:
+    """``value`` for the tasks, with the code of its class, as executors need not have this package."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    held: list = []
+
+    def get() -> object:
+        if not held:
+            held.append(cloudpickle.loads(packed.value))
+        return held[0]
+
+    return get
+
+
 def long_field(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.LongType()) for n in names])
 

@@ -3,9 +3,13 @@
 Vectors get one more coordinate, which gives all the same length; then the largest inner product is the
 smallest angle (a query's extra coordinate is 0). Trees are fitted on at most ``SAMPLE`` vectors, taken in the
 order of a hash: a node splits at the median along the line through two of its vectors. Every row is indexed.
-A query walks all trees through one priority queue, nearest margins first, until the leaves it took
-hold ``SEARCHED`` rows, or ``SHARE`` of all rows if that is more, for each tree. Leaves are compared in tiles of at most ``TILE`` rows and queries
-each, in double precision on the original vectors.
+A query walks all trees through one priority queue, leaves with the largest sum of margins on their path first, and takes leaves until they
+hold a number of rows that is measured: for ``PROBED`` queries the true neighbours are found by brute force, and the number
+is the least that finds ``TARGET`` of them. So vectors with clusters take few leaves and vectors without any
+take more, at any size of the table. Candidates are compared exactly, in double precision on the original vectors.
+
+Rows and queries meet by bundles of neighbouring leaves, in tiles of at most ``TILE`` rows and queries each. A task streams
+its tiles and keeps the ``k + 1`` best of each query over all of them.
 
 Equal vectors are one node of the index; of each, the ``k + 1`` smallest ids are kept, which is all that
 ``k`` nearest rows (ties to the smaller id, the own row left out) can contain.
@@ -27,21 +31,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.batches import mixed
+from gablework.llm.batches import mixed, shipped, tidy
 from gablework.llm.owners import arrow_schema
 from gablework.shared import col, lookup_join, materialize
 
-TREES = 8
-LEAF = 512
+TREES = 16
+LEAF = 32
+BUNDLE = 64  # leaves
 SAMPLE = 60_000
-SEARCHED = 1500
-SHARE = 0.1  # found by measuring: vectors without any clusters need this for a recall of 0.9; clustered ones far less
+SEARCHED = 1500  # rows at least, over all trees
+TARGET = 0.93
+PROBED = 100
 TILE = 4096
+HELD = 2_000_000  # candidates that a task holds
 SALTS = 64
 SEED = 7
 VECTORS = T.StructType([T.StructField("rep", T.LongType()), T.StructField("vector", T.BinaryType())])
-PLACED = T.StructType([T.StructField("tile", T.LongType()), *VECTORS.fields])
-PROBES = T.StructType([*PLACED.fields, T.StructField("leaf", T.IntegerType())])
+MET = T.StructType([
+    T.StructField("tile", T.LongType()), T.StructField("asks", T.IntegerType()), *VECTORS.fields, T.StructField("leaves", T.ArrayType(T.IntegerType())),
+])
 SCORES = T.StructType([T.StructField("query", T.LongType()), T.StructField("rep", T.LongType()), T.StructField("score", T.DoubleType())])
 
 
@@ -55,6 +63,7 @@ class Forest:
     children: np.ndarray  # nodes x 2
     leaves: int
     length: float  # the common length of the extended vectors
+    levels: list[np.ndarray]  # nodes by depth
 
     def extended(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.length**2 - (x * x).sum(axis=1), 0))
@@ -72,33 +81,55 @@ class Forest:
             out.append(-1 - node)
         return np.array(out)
 
-    def search(self, margins: np.ndarray, sizes: np.ndarray, wanted: float) -> list[int]:
-        """Leaves of one query, nearest first, until they hold ``wanted`` rows."""
-        queue = [(-np.inf, root) for root in self.roots]
+    def best_below(self, margins: np.ndarray) -> np.ndarray:
+        """The largest sum of margins on any way down from every node, for all queries at once."""
+        below = np.zeros((len(margins), len(self.normals) + 1))  # the last: a leaf has nothing below
+        for nodes in self.levels[::-1]:
+            left, right = (np.where(c >= 0, c, len(self.normals)) for c in self.children[nodes].T)
+            below[:, nodes] = np.maximum(below[:, left] - margins[:, nodes], below[:, right] + margins[:, nodes])
+        return below
+
+    def search(self, m: list[float], b: list[float], children: list[list[int]], sizes: list[int], wanted: float) -> list[int]:
+        """Leaves of one query, the largest sums of margins first, until they hold ``wanted`` rows.
+
+        All trees share the queue; a node stands in it with the best sum that a leaf under it can have."""
+        queue = [(-b[max(root, -1)], root, 0.0) for root in self.roots]
         heapq.heapify(queue)
         found, rows = [], 0
         while queue and rows < wanted:
-            far, node = heapq.heappop(queue)
+            _, node, so_far = heapq.heappop(queue)
             if node < 0:
                 found.append(-1 - node)
-                rows += int(sizes[-1 - node])
+                rows += sizes[-1 - node]
                 continue
-            m = margins[node]
-            left, right = self.children[node]
-            heapq.heappush(queue, (max(far, m), int(left)))
-            heapq.heappush(queue, (max(far, -m), int(right)))
+            left, right = children[node]
+            for child, total in ((left, so_far - m[node]), (right, so_far + m[node])):
+                heapq.heappush(queue, (-total - b[max(child, -1)], child, total))
         return found
 
+    def searched(self, x: np.ndarray, sizes: np.ndarray, wanted: float) -> list[list[int]]:
+        margins = self.margins(x)
+        children, counts = self.children.tolist(), sizes.tolist()
+        return [self.search(m.tolist(), b.tolist(), children, counts, wanted) for m, b in zip(margins, self.best_below(margins))]
+
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        """Of queries at every node, stretched to the common length."""
+        if not len(self.normals):
+            return np.zeros((len(x), 0))
+        y = np.concatenate([x, np.zeros((len(x), 1))], axis=1)
+        y *= self.length / np.sqrt((x * x).sum(axis=1))[:, None]
+        return y @ self.normals.T - self.offsets
+
 
 def fit(sample: np.ndarray, length: float, trees: int = TREES, leaf: int = LEAF, seed: int = SEED) -> Forest:
-    forest = Forest([], np.zeros((0, 0)), np.zeros(0), np.zeros((0, 2)), 0, length)
+    forest = Forest([], np.zeros((0, 0)), np.zeros(0), np.zeros((0, 2)), 0, length, [])
     y, rng = forest.extended(sample), np.random.default_rng(seed)
-    normals, offsets, children = [], [], []
+    normals, offsets, children, depths = [], [], [], []
     for _ in range(trees):
         forest.roots.append(len(normals) if len(y) > leaf else -1 - forest.leaves)
-        todo = [(np.arange(len(y)), None, 0)]
+        todo = [(np.arange(len(y)), None, 0, 0)]
         while todo:
-            rows, parent, side = todo.pop()
+            rows, parent, side, depth = todo.pop()
             if len(rows) <= leaf:
                 name = -1 - forest.leaves
                 forest.leaves += 1
@@ -115,12 +146,14 @@ def fit(sample: np.ndarray, length: float, trees: int = TREES, leaf: int = LEAF,
                 normals.append(normal)
                 offsets.append(offset)
                 children.append([0, 0])
-                todo += [(rows[~right], name, 0), (rows[right], name, 1)]
+                depths.append(depth)
+                todo += [(rows[~right], name, 0, depth + 1), (rows[right], name, 1, depth + 1)]
             if parent is not None:
                 children[parent][side] = name
     width = y.shape[1]
     forest.normals = np.array(normals).reshape(-1, width)
     forest.offsets, forest.children = np.array(offsets), np.array(children, dtype=np.int64).reshape(-1, 2)
+    forest.levels = [np.flatnonzero(np.array(depths) == d) for d in range(max(depths, default=-1) + 1)]
     return forest
 
 
@@ -155,9 +188,86 @@ def smallest_ids(rows: DataFrame, n: int) -> DataFrame:
     return first(parts, "vector").groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
+def true_neighbours(vectors: DataFrame, queries: DataFrame, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(query, its ``k`` nearest other vectors) for ``n`` queries in the order of a hash, by brute force over all rows."""
+    picked = queries.orderBy(F.xxhash64("rep"), "rep").limit(n).select("rep", "vector").toArrow()
+    if not picked.num_rows:
+        return []
+    q, own = matrix(picked.column("vector").combine_chunks()), picked.column("rep").to_numpy()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rep, s = batch.column("rep").to_numpy(zero_copy_only=False), q @ matrix(batch.column("vector")).T if batch.num_rows else np.zeros((len(q), 0))
+            s[own[:, None] == rep] = -np.inf
+            near = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            at = near.ravel()
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(np.arange(len(q)), near.shape[1])), pa.array(rep[at]), pa.array(np.take_along_axis(s, near, 1).ravel()),
+                batch.column("vector").take(pa.array(at))], ["query", "rep", "score", "vector"])
+
+    best = _top(vectors.mapInArrow(read, "query long, rep long, score double, vector binary"), "query", k, "rep").where("score > -1e308").toArrow()
+    who, x = best.column("query").to_numpy(), matrix(best.column("vector").combine_chunks()) if best.num_rows else np.zeros((0, q.shape[1]))
+    return [(q[i], x[who == i]) for i in range(len(q)) if (who == i).any()]
+
+
+def measured_reach(forest: Forest, known: list[tuple[np.ndarray, np.ndarray]], sizes: np.ndarray, target: float) -> int:
+    """How many rows a query must take so that ``target`` of the known neighbours are among them."""
+    reached = []
+    for q, x in known:
+        order = forest.searched(q[None], sizes, np.inf)[0]
+        upto = np.full(len(sizes), np.iinfo(np.int64).max)
+        upto[order] = np.cumsum(sizes[order])
+        reached += upto[forest.leaves_of(x)].min(axis=0).tolist()
+    return int(np.quantile(reached, target, method="higher")) if reached else 0
+
+
+class Best:
+    """The best candidates of each query that a task has seen."""
+
+    def __init__(self, k: int):
+        self.k, self.parts, self.size, self.least = k, [], 0, {}
+
+    def add(self, query: np.ndarray, rep: np.ndarray, scores: np.ndarray) -> None:
+        """``scores``: queries x rows. What cannot be among a query's best is left out at once."""
+        least = np.array([self.least.get(q, -np.inf) for q in query.tolist()])
+        if scores.shape[1] > self.k:
+            at = scores.shape[1] - self.k
+            least = np.maximum(least, np.partition(scores, at, axis=1)[:, at])
+        who, which = np.nonzero(scores >= least[:, None])
+        self.parts.append((query[who], rep[which], scores[who, which]))
+        self.size += len(who)
+
+    def compact(self) -> pa.RecordBatch:
+        query, rep, score = (np.concatenate(c) for c in zip(*self.parts)) if self.parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        order = np.lexsort((rep, -score, query))
+        query, rep, score = query[order], rep[order], score[order]
+        if len(query):
+            keep = np.append(True, (query[1:] != query[:-1]) | (rep[1:] != rep[:-1]))  # a row has one score, so its copies are neighbours
+            query, rep, score = query[keep], rep[keep], score[keep]
+            nth = np.arange(len(query)) - np.searchsorted(query, query)
+            full = nth == self.k - 1
+            self.least.update(zip(query[full].tolist(), score[full].tolist()))
+            query, rep, score = query[nth < self.k], rep[nth < self.k], score[nth < self.k]
+        self.parts, self.size = [(query, rep, score)], len(query)
+        return pa.RecordBatch.from_arrays([pa.array(query), pa.array(rep), pa.array(score)], schema=arrow_schema(SCORES))
+
+    def handed_on(self) -> pa.RecordBatch:
+        out = self.compact()
+        self.parts, self.size, self.least = [], 0, {}
+        return out
+
+
+def dot(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Sums in the order of the components, whatever stands beside them."""
+    s = np.zeros((len(q), len(x)))
+    for d in range(x.shape[1]):
+        s += q[:, d][:, None] * x[:, d]
+    return s
+
+
 def nearest(table: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
             trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, searched: int = SEARCHED,
-            share: float = SHARE) -> DataFrame:
+            target: float = TARGET) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each row whose id is divisible by ``every``."""
     rows = materialize(usable(table, id_col, vector_col), "vectors")
     groups = materialize(smallest_ids(rows, k + 1).withColumn("rep", F.col("ids")[0]), "groups")
@@ -173,99 +283,85 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
     taken = vectors.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("vector").toArrow()
     forest = fit(matrix(taken.column("vector").combine_chunks()) if taken.num_rows else np.zeros((0, 1)),
                  float(np.sqrt(longest or 0.0)), trees, leaf)
-    spark = table.sparkSession
-    shared = spark.sparkContext.broadcast(forest)
+    shared = shipped(table.sparkSession, forest)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array(shared.value.leaves_of(matrix(batch.column("vector"))).ravel().astype(np.int32))], names=["leaf"])
+                yield pa.RecordBatch.from_arrays([pa.array(shared().leaves_of(matrix(batch.column("vector"))).ravel().astype(np.int32))], names=["leaf"])
 
     counted = vectors.mapInArrow(place, "leaf int").groupBy("leaf").count().collect()  # as many rows as the forest has leaves
     sizes = np.zeros(forest.leaves + 1, np.int64)
     for r in counted:
         sizes[r["leaf"]] = r["count"]
-    wanted = max(searched, k + 1, share * sizes.sum() / trees) * trees
     queries = lookup_join(rows.where(F.pmod("id", F.lit(every)) == 0), groups.select("vector", "rep"), ["vector"], kept=True)
+    queries = materialize(queries.select("id", "rep", "vector"), "queries")
     asked = queries.select("rep", "vector").distinct()
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest, schema = shared.value, arrow_schema(PROBES)
+    wanted = max(searched, (k + 1) * trees, measured_reach(forest, true_neighbours(vectors, asked, PROBED, k), sizes, target))
+    # leaves of a tree have neighbouring numbers, and so have the leaves of a bundle
+    bundle = np.arange(forest.leaves + 1) // BUNDLE
+    held = np.bincount(bundle, sizes).astype(np.int64)
+    rounds = max(1, -(-queries.count() // TILE))
+    down = np.maximum(1, -(-held // TILE))  # blocks of rows of a bundle; queries come in blocks by their hash
+    first = np.append(0, np.cumsum(down * rounds))
+
+    def met(batch: pa.RecordBatch, at: np.ndarray, leaves: list, to: np.ndarray, asks: int) -> pa.RecordBatch:
+        """Rows ``at`` of a batch at the tiles of bundles ``to``: a row goes to all blocks of queries and the reverse."""
+        own = mixed(batch.column("rep").to_numpy(zero_copy_only=False).view(np.uint64))[at]
+        times = down[to] if asks else np.full(len(to), rounds)
+        again = np.repeat(np.arange(len(at)), times)
+        nth = np.arange(len(again)) - np.repeat(np.cumsum(times) - times, times)
+        mine = (own % (np.uint64(rounds) if asks else down[to].astype(np.uint64))).astype(np.int64)[again]
+        i, j = (nth, mine) if asks else (mine, nth)
+        pick = pa.array(at[again])
+        lists = pa.array(leaves, pa.list_(pa.int32())).take(pa.array(again))
+        return pa.RecordBatch.from_arrays([
+            pa.array(first[to[again]] + i * rounds + j), pa.array(np.full(len(again), asks, np.int32)), batch.column("rep").take(pick),
+            batch.column("vector").take(pick), lists], schema=arrow_schema(MET))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = shared()
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                x = matrix(part.column("vector"))
-                y = np.concatenate([x, np.zeros((len(x), 1))], axis=1)
-                y *= forest.length / np.sqrt((x * x).sum(axis=1))[:, None]
-                margins = y @ forest.normals.T - forest.offsets if len(forest.normals) else np.zeros((len(x), 0))
-                found = [forest.search(m, sizes, wanted) for m in margins]
-                at = np.repeat(np.arange(len(x)), [len(f) for f in found])
-                leaves = np.array([n for f in found for n in f], np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(leaves.astype(np.int64)), part.column("rep").take(pa.array(at)), part.column("vector").take(pa.array(at)), pa.array(leaves)], schema=schema)
-
-    probes = materialize(asked.mapInArrow(search, PROBES), "probes")
-    asked_in = np.zeros(forest.leaves + 1, np.int64)
-    for r in probes.groupBy("leaf").count().collect():
-        asked_in[r["leaf"]] = r["count"]
-    down, across = -(-sizes // TILE), -(-asked_in // TILE)  # a leaf's tiles: blocks of rows by blocks of queries
-    first = np.append(0, np.cumsum(down * across))
-
-    def tiles(leaf: np.ndarray, rep: np.ndarray, own: np.ndarray, other: np.ndarray, of_rows: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers and tiles: each row goes to all blocks of the other side."""
-        times = other[leaf]
-        at = np.repeat(np.arange(len(leaf)), times)
-        nth = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-        block = (mixed(rep.view(np.uint64)) % np.maximum(own[leaf], 1).astype(np.uint64)).astype(np.int64)[at]
-        i, j = (block, nth) if of_rows else (nth, block)
-        return at, first[leaf[at]] + i * across[leaf[at]] + j
-
-    def to_tiles(batch: pa.RecordBatch, leaf: np.ndarray, of_rows: bool) -> pa.RecordBatch:
-        rep = batch.column("rep").to_numpy(zero_copy_only=False)
-        at, tile = tiles(leaf, rep, *((down, across) if of_rows else (across, down)), of_rows)
-        return pa.RecordBatch.from_arrays([pa.array(tile), batch.column("rep").take(pa.array(at)), batch.column("vector").take(pa.array(at))],
-                                          schema=arrow_schema(PLACED))
-
-    def place_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for a in range(0, batch.num_rows, 200):
+                part = batch.slice(a, 200)
+                at, to, leaves = [], [], []
+                for i, found in enumerate(forest.searched(matrix(part.column("vector")), sizes, wanted)):
+                    found = np.sort(np.array(found, np.int64))
+                    found = found[sizes[found] > 0]
+                    of, starts = np.unique(bundle[found], return_index=True)
+                    at += [i] * len(of)
+                    to += of.tolist()
+                    leaves += [f.tolist() for f in np.split(found, starts[1:])] if len(of) else []
+                yield met(part, np.array(at, np.int64), leaves, np.array(to, np.int64), 1)
+
+    def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = shared()
         for batch in batches:
             if batch.num_rows:
-                for leaf in shared.value.leaves_of(matrix(batch.column("vector"))):
-                    yield to_tiles(batch, leaf, True)
+                for of in forest.leaves_of(matrix(batch.column("vector"))):
+                    yield met(batch, np.arange(len(of)), of[:, None].tolist(), bundle[of], 0)
 
-    def place_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, rest = Best(k + 1), []
         for batch in batches:
-            if batch.num_rows:
-                yield to_tiles(batch, batch.column("leaf").to_numpy(zero_copy_only=False).astype(np.int64), False)
-
-    def compare(asking: pa.Table, members: pa.Table) -> pa.Table:
-        schema = arrow_schema(SCORES)
-        if not asking.num_rows or not members.num_rows:
-            return schema.empty_table()
-        q, x = matrix(asking.column("vector")), matrix(members.column("vector"))
-        rep = members.column("rep").to_numpy()
-        out = []
-        for a in range(0, len(q), 256):
-            s = np.zeros((len(q[a : a + 256]), len(x)))
-            for d in range(x.shape[1]):
-                s += q[a : a + 256, d][:, None] * x[:, d]
-            if len(x) > k + 1:
-                least = np.partition(s, len(x) - k - 1, axis=1)[:, len(x) - k - 1]
-                near = [np.flatnonzero(row >= t) for row, t in zip(s, least, strict=True)]  # k + 1 and what ties with the last
-            else:
-                near = [np.arange(len(x))] * len(s)
-            who = np.repeat(np.arange(len(s)), [len(c) for c in near])
-            which = np.concatenate(near)
-            order = np.lexsort((rep[which], -s[who, which], who))
-            who, which = who[order], which[order]
-            nth = np.arange(len(who)) - np.searchsorted(who, who)
-            who, which = who[nth <= k], which[nth <= k]
-            asker = asking.column("rep").to_numpy()[a : a + 256]
-            out.append(pa.table([pa.array(asker[who]), pa.array(rep[which]), pa.array(s[who, which])], schema=schema))
-        return pa.concat_tables(out)
-
-    members = vectors.mapInArrow(place_rows, PLACED)
-    asking = probes.mapInArrow(place_queries, PLACED)
-    scored = asking.groupBy("tile").cogroup(members.groupBy("tile")).applyInArrow(compare, SCORES)
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([*rest, batch])
+            tile = t.column("tile").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist()]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                compared(t.slice(a, b - a), best)
+            rest = t.slice(cuts[-1]).to_batches()  # the last tile may go on
+            if best.size > HELD:
+                best.compact()
+                if best.size > HELD // 2:
+                    yield best.handed_on()
+        if rest:
+            compared(pa.Table.from_batches(rest), best)
+        yield best.handed_on()
+
+    meetings = vectors.mapInArrow(offer, MET).union(asked.mapInArrow(ask, MET))
+    scored = meetings.repartition("tile").sortWithinPartitions("tile").mapInArrow(tidy(compare), SCORES)
     best = _top(scored.distinct(), "query", k + 1, "rep")
     rows_found = best.join(groups.select("rep", F.explode("ids").alias("vec_id")), "rep").select("query", "score", "vec_id")
     found = materialize(_top(rows_found, "query", k + 1, "vec_id").drop("rank"), "found")
@@ -273,6 +369,21 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
     return _top(answers, "query_id", k, "vec_id").select("query_id", "rank", "vec_id", "score")
 
 
+def compared(tile: pa.Table, best: Best) -> None:
+    """Queries and rows of one tile that share a leaf."""
+    asks, rep = tile.column("asks").to_numpy() == 1, tile.column("rep").to_numpy()
+    if asks.all() or not asks.any():
+        return
+    x, lists = matrix(tile.column("vector").combine_chunks()), tile.column("leaves").combine_chunks()
+    leaf, row = lists.flatten().to_numpy(), np.repeat(np.arange(len(rep)), np.diff(lists.offsets.to_numpy()))
+    order = np.lexsort((~asks[row], leaf))
+    leaf, row = leaf[order], row[order]
+    for part in np.split(row, np.flatnonzero(np.diff(leaf)) + 1):
+        q, members = part[asks[part]], part[~asks[part]]
+        if len(q) and len(members):
+            best.add(rep[q], rep[members], dot(x[q], x[members]))
+
+
 def _top(df: DataFrame, by: str, n: int, tie: str) -> DataFrame:
     order = Window.partitionBy(by).orderBy(F.desc("score"), tie)
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.batches import keyed_texts, mixed, slices, text_bytes
+from gablework.llm.batches import keyed_texts, mixed, shipped, slices, text_bytes
 from gablework.llm.owners import arrow_schema
 from gablework.shared import col
 
@@ -33,7 +33,7 @@ BUCKETS = 1 << 16
 ROUNDS = 12
 PENALTY = 12.0
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTERS = re.compile(r"[^\W\d_]+")
 COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType())])
 PREDICTED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
@@ -41,6 +41,11 @@ PREDICTED = T.StructType([
 ])
 
 
+def has_letter(text: str) -> bool:
+    """Word characters such as superscripts and fractions are no letters."""
+    return any(c.isalpha() for run in LETTERS.finditer(text) for c in run.group())
+
+
 class Words:
     """Numbers for the different words of a block of texts."""
 
@@ -92,7 +97,7 @@ class Model:
         best, best_theta = single[chosen[0]], np.ones(1)
         while len(chosen) < len(self.names) and whole - best > penalty:
             rest = [k for k in np.argsort(-theta, kind="stable").tolist() if k not in chosen]
-            tried = [mixture(logs[:, [*chosen, k]]) for k in rest[:2]]
+            tried = [mixture(logs[:, [*chosen, k]]) for k in rest]
             gain = [t[1] - best for t in tried]
             k = int(np.argmax(gain))
             if gain[k] <= penalty:
@@ -150,14 +155,14 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, shares) for every row, in one narrow pass. ``score`` is the language's share."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, schema = shared.value, arrow_schema(PREDICTED)
+        model, schema = shared(), arrow_schema(PREDICTED)
         for batch in slices(batches):
             words = Words()
             texts = [(t or b"") if model.names else b"" for t in text_bytes(batch)]
-            numbers = [words.of(t) if LETTER.search(t.decode()) else None for t in texts]
+            numbers = [words.of(t) if has_letter(t.decode()) else None for t in texts]
             logs = model.word_likelihoods(words) if words.known else None
             langs, scores, shares = [], [], []
             for w in numbers:

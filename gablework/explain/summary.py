@@ -106,6 +106,16 @@ def interaction_partner(attributions: DataFrame, features: Sequence[str], featur
     return corr_with(residual, [c for c in features if c != feature], "__residual")
 
 
+def coloured_dependence(attributions: DataFrame, features: Sequence[str], feature: str, bins: int = 20) -> DataFrame:
+    """(bin, lo, hi, count, mean_shap, colour, mean_colour): the dependence of a feature, coloured by its interaction partner."""
+    partner = interaction_partner(attributions, features, feature, bins).first()["column"]
+    plain = dependence(attributions, features, feature, bins)
+    lo, hi = value_ranges(attributions, [feature])[feature]
+    placed = attributions.select(bin_of(col(feature), F.lit(lo), F.lit(hi), bins).alias("bin"), col(partner).cast("double").alias("v"))
+    means = placed.where("bin IS NOT NULL").groupBy("bin").agg(F.avg("v").alias("mean_colour"))
+    return plain.join(F.broadcast(means), "bin").withColumn("colour", F.lit(partner))  # at most one row per bin
+
+
 def compare_importance(shap: DataFrame, builtin: DataFrame, k: int = 15) -> DataFrame:
     """(feature, shap_importance, shap_rank, importance, builtin_rank): the k first of either, side by side.
 

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from gablework.functions import uniform_hash
 from gablework.models.ensemble import Ensemble
+from gablework.operators.rows import arg_max
 from gablework.shared import col
 
 # The tasks get this code with their work, so that executors need no copy of the package.
@@ -257,3 +258,8 @@ def tree_attributions(
         + [T.StructField("base", T.DoubleType()), T.StructField("contributions", T.ArrayType(T.DoubleType()))]
     )
     return numbers(df, fit, carried).mapInPandas(explain, schema)
+
+
+def explained_row(df: DataFrame, fit: Ensemble, key: str, y: str, background: DataFrame | None = None) -> DataFrame:
+    """``tree_attributions`` of the row with the largest ``y`` alone; the table is read for that row and as background only."""
+    return tree_attributions(arg_max(df, y, key), fit, key, [*fit.features, y], background)

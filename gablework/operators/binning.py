@@ -69,6 +69,18 @@ def density_2d(df: DataFrame, x: str, y: str, bins: int = 40) -> DataFrame:
     return both.groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))
 
 
+def density_panels(df: DataFrame, columns: Sequence[str], target: str, bins: int = 40) -> DataFrame:
+    """(column, x_bin, y_bin, count): one panel per column against the target, from one scan."""
+    ranges = value_ranges(df, [*columns, target])
+    shown = [c for c in columns if c in ranges]
+    if target not in ranges or not shown:
+        return local_frame(df.sparkSession, [], "column string, x_bin int, y_bin int, count long")
+    y = bin_of(col(target), *map(F.lit, ranges[target]), bins)
+    panels = [F.struct(F.lit(c).alias("column"), bin_of(col(c), *map(F.lit, ranges[c]), bins).alias("x_bin")) for c in shown]
+    placed = df.select(y.alias("y_bin"), F.inline(F.array(*panels))).where(F.col("x_bin").isNotNull() & F.col("y_bin").isNotNull())
+    return placed.groupBy("column", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))
+
+
 def plotting_positions(k: int) -> list[float]:
     """Filliben's estimate of the uniform order-statistic medians."""
     last = 0.5 ** (1.0 / k)

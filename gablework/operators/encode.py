@@ -52,39 +52,51 @@ def text_of(x: Column) -> Column:
     return F.coalesce(x.cast("string"), F.lit("nan"))
 
 
-def distinct_values(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, list[str]] | None:
-    """{column: sorted distinct present texts}, or ``None`` when they are more than ``limit`` in all, or too long."""
+def value_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value): the distinct present texts of the columns, written."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns])
-    found = materialize(df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct(), "values")
-    if not is_small(found, limit):
-        return None
+    return materialize(df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct(), "values")
+
+
+def sorted_texts(found: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """{column: texts in byte order} of a value table that is known to be small."""
     values: dict[str, list[str]] = {c: [] for c in columns}
-    for r in found.collect():
+    for r in found.where(F.col("column").isin(list(columns))).collect() if columns else ():
         values[r["column"]].append(r["value"])
     return {c: sorted(v, key=lambda s: s.encode()) for c, v in values.items()}
 
 
+def distinct_values(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, list[str]] | None:
+    """{column: sorted distinct present texts}, or ``None`` when they are more than ``limit`` in all, or too long."""
+    found = value_table(df, columns)
+    return sorted_texts(found, columns) if is_small(found, limit) else None
+
+
 def label_classes(df: DataFrame, columns: Sequence[str], limit: int = MAX_LABELS) -> dict[str, list[str]] | None:
     return distinct_values(df.select(*[text_of(col(c)).alias(c) for c in columns]), columns, limit)
 
 
 def rank_table(df: DataFrame, column: str) -> DataFrame:
-    """(value, code) with code = position among the sorted distinct texts, for any number of them.
+    """(value, code) with code = position among the sorted distinct texts, for any number of them."""
+    return ranked_values(df.select(text_of(col(column)).alias("value")).distinct())
+
+
+def ranked_values(values: DataFrame) -> DataFrame:
+    """(value, code) of distinct texts, in byte order.
 
     The sorted values are written once; a row's position is its place in its
     file part plus the sizes of the parts before, so nothing is gathered but
     one count per part.
     """
-    ordered = df.select(text_of(col(column)).alias("value")).distinct().orderBy("value")
     marked = materialize(
-        ordered.withColumn("__id", F.monotonically_increasing_id()), "sorted"
+        values.orderBy("value").withColumn("__id", F.monotonically_increasing_id()), "sorted"
     ).withColumn("__part", F.shiftright("__id", 33).cast("int"))
     sizes = marked.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).orderBy("__part").collect()
     offsets, total = [], 0
     for r in sizes:
         offsets.append((r["__part"], total))
         total += r["n"]
-    starts = df.sparkSession.createDataFrame(offsets, "__part int, __start long")
+    starts = values.sparkSession.createDataFrame(offsets, "__part int, __start long")
     return marked.join(F.broadcast(starts), "__part").select(
         "value", (F.col("__start") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))).alias("code")
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gablework.functions import adjusted_skew, guarded_corr
@@ -198,3 +198,21 @@ def box_outliers(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     x = col(value).cast("double")
     kept = _with_bounds(df, value, by).where((x < F.col("low")) | (x > F.col("high")))
     return kept.select(*map(quoted, df.columns))
+
+
+def panel_rows(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
+    """(panel, category, target): the target beside the category of each column, from one scan; missing categories are left out."""
+    pairs = [F.struct(F.lit(c).alias("panel"), col(c).cast("string").alias("category")) for c in columns]
+    return df.select(col(target).cast("double").alias("target"), F.inline(F.array(*pairs))).where(F.col("category").isNotNull())
+
+
+def box_panels(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
+    """``box_stats`` of the target by the categories of several columns: (column, category, q1, median, ...)."""
+    return box_stats(panel_rows(df, columns, target), "target", ["panel", "category"]).withColumnRenamed("panel", "column")
+
+
+def median_panels(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
+    """(column, category, median, place): each column's categories, the highest median first."""
+    found = group_medians(panel_rows(df, columns, target), "target", ["panel", "category"]).withColumnRenamed("panel", "column")
+    place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc_nulls_last("median"), "category"))  # categories, not rows
+    return found.withColumn("place", place)

@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 from gablework.operators import encode, impute
 from gablework.operators.quantile import group_medians
 from gablework.operators.rows import remove_above, union_split
-from gablework.shared import col, is_small, local_frame, materialize, numeric_columns, quoted, safe_join, string_columns
+from gablework.shared import (
+    BROADCAST_BYTES, BROADCAST_ROWS, col, is_small, local_frame, lookup_join, materialize, numeric_columns, quoted, safe_join, string_columns,
+)
 
 SPLIT = "split"
 
@@ -58,11 +60,15 @@ class PrepPlan:
     categories: dict[str, list[str]] = field(default_factory=dict)
     # per filled column: the rows (group, statistic), or the folder of a table too large for that
     stats: dict[str, dict] = field(default_factory=dict)
+    # per label column with too many classes for literals: the folder of a table (value, code)
+    ranks: dict[str, dict] = field(default_factory=dict)
 
     # Fitting
 
     @classmethod
-    def fit(cls, df: DataFrame, recipe: PrepRecipe) -> PrepPlan:
+    def fit(cls, df: DataFrame, recipe: PrepRecipe, literals: int = encode.MAX_CATEGORIES, groups: int = BROADCAST_ROWS) -> PrepPlan:
+        """``literals``: most classes of a label column that are kept in the plan itself, ``groups``: most rows of a group
+        table; beyond them a table is kept beside the plan. One-hot columns are bounded: ``operators.sparse`` takes any number."""
         if recipe.fit_scope not in ("union", "train"):
             raise ValueError("fit_scope is 'union' or 'train'")
         data = df.where(col(SPLIT) == "train") if recipe.fit_scope == "train" and SPLIT in df.columns else df
@@ -70,9 +76,9 @@ class PrepPlan:
         modes = impute.global_modes(data, recipe.global_mode) if recipe.global_mode else {}
         plan.modes = {c: m for c, m in modes.items() if m is not None}
         for c, g in recipe.group_median.items():
-            plan.stats[c] = _keep_stats(group_medians(data, c, [g], "stat"))
+            plan.stats[c] = _keep_table(group_medians(data, c, [g], "stat").where(F.col("stat").isNotNull()), groups)
         for c, g in recipe.group_mode.items():
-            plan.stats[c] = _keep_stats(impute.group_modes(data, c, [g], "stat"))
+            plan.stats[c] = _keep_table(impute.group_modes(data, c, [g], "stat").where(F.col("stat").isNotNull()), groups)
         filled = plan._fill(data)
         if recipe.skew_threshold is not None:
             plan.skewed = encode.skewed_columns(filled, recipe.skew_threshold, plan._features(numeric_columns(filled)))
@@ -82,11 +88,20 @@ class PrepPlan:
             used = {*recipe.labels, *recipe.ordinal}
             hot = [c for c in plan._features(string_columns(ready)) if c not in used]
         texts = ready.select(*[encode.text_of(col(c)).alias(c) for c in recipe.labels], *[col(c) for c in hot])
-        found = encode.distinct_values(texts, texts.columns, encode.MAX_CATEGORIES) if texts.columns else {}
-        if found is None:
-            raise ValueError(f"more than {encode.MAX_CATEGORIES} categories in {texts.columns}")
-        plan.classes = {c: found[c] for c in recipe.labels}
+        if not texts.columns:
+            return plan
+        values = encode.value_table(texts, texts.columns)
+        sizes = {r["column"]: r for r in values.groupBy("column").agg(F.count("value").alias("n"), F.sum(F.octet_length("value")).alias("size")).collect()}
+        small = [c for c in texts.columns if c not in sizes or (sizes[c]["n"] <= literals and sizes[c]["size"] <= BROADCAST_BYTES)]
+        wide = [c for c in hot if c not in small]
+        if wide:
+            raise ValueError(f"more than {literals} categories in {wide}: encode them as sparse rows")
+        found = encode.sorted_texts(values, small)
+        plan.classes = {c: found[c] for c in recipe.labels if c in found}
         plan.categories = {c: found[c] for c in hot}
+        for c in recipe.labels:
+            if c not in found:
+                plan.ranks[c] = _keep_table(encode.ranked_values(values.where(F.col("column") == c).select("value")), 0)
         return plan
 
     # Applying
@@ -112,7 +127,7 @@ class PrepPlan:
         touched = {*r.fill_text, *r.fill_number, *r.group_median, *r.group_mode, *self.modes}
         extra = [f"__stat_{c}" for c in (*r.group_median, *r.group_mode)]
         for c, g in {**r.group_median, **r.group_mode}.items():
-            stats = _load_stats(df, self.stats[c]).select(col(g), F.col("stat").alias(f"__stat_{c}"))
+            stats = _load_table(df, self.stats[c]).select(col(g), F.col("stat").alias(f"__stat_{c}"))
             small = self.stats[c].get("rows") is not None
             df = safe_join(df, F.broadcast(stats) if small else stats, [g], "left")
 
@@ -145,11 +160,23 @@ class PrepPlan:
         maps = self.recipe.ordinal
         if maps:
             df = df.withColumns({c: encode.ordinal_code(col(c), m) for c, m in maps.items()})
-        return encode.apply_one_hot(encode.apply_labels(df, self.classes), self.categories)
+        df = encode.apply_one_hot(encode.apply_labels(df, self.classes), self.categories)
+        for c, kept in self.ranks.items():
+            codes = _load_table(df, kept).select(F.col("value").alias("__text"), F.col("code").cast("int").alias("__code"))
+            joined = lookup_join(df.withColumn("__text", encode.text_of(col(c))), codes, ["__text"], kept=True)
+            df = joined.withColumn(c, F.col("__code")).select(*map(quoted, df.columns))
+        return df
 
     # Keeping
 
     def to_json(self) -> str:
+        """A plan of literals alone; one that has tables beside it is an error: ``save`` keeps them with it."""
+        beside = [c for c, k in {**self.stats, **self.ranks}.items() if k["rows"] is None]
+        if beside:
+            raise ValueError(f"the tables of {beside} are no literals: save the plan")
+        return self._json()
+
+    def _json(self) -> str:
         return json.dumps(asdict(self))
 
     @classmethod
@@ -162,32 +189,36 @@ class PrepPlan:
     def save(self, spark, path: str) -> None:
         """One JSON row in a text table below ``path``, beside copies of the group tables that are no literals,
         so that the saved plan needs nothing else and any shared file system will do."""
-        stats = dict(self.stats)
-        for c, kept in self.stats.items():
-            if kept["rows"] is None:
-                name = f"stats-{uuid.uuid4().hex}"
-                spark.read.schema(T.StructType.fromJson(kept["schema"])).parquet(kept["path"]).write.parquet(f"{path}/{name}")
-                stats[c] = {**kept, "path": name}
-        frame = local_frame(spark, [(replace(self, stats=stats).to_json(),)], "value string").coalesce(1)
-        frame.write.mode("overwrite").text(f"{path}/plan")
+        def copied(tables: dict[str, dict]) -> dict[str, dict]:
+            out = dict(tables)
+            for c, kept in tables.items():
+                if kept["rows"] is None:
+                    name = f"table-{uuid.uuid4().hex}"
+                    spark.read.schema(T.StructType.fromJson(kept["schema"])).parquet(kept["path"]).write.parquet(f"{path}/{name}")
+                    out[c] = {**kept, "path": name}
+            return out
+
+        text = replace(self, stats=copied(self.stats), ranks=copied(self.ranks))._json()
+        local_frame(spark, [(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/plan")
 
     @classmethod
     def load(cls, spark, path: str) -> PrepPlan:
         plan = cls.from_json(spark.read.text(f"{path}/plan", wholetext=True).first()[0])
-        plan.stats = {c: k if k["rows"] is not None else {**k, "path": f"{path}/{k['path']}"} for c, k in plan.stats.items()}
+        for tables in (plan.stats, plan.ranks):
+            tables.update({c: {**k, "path": f"{path}/{k['path']}"} for c, k in tables.items() if k["rows"] is None})
         return plan
 
 
-def _keep_stats(stats: DataFrame) -> dict:
-    """Literals while the group table is small, else a table in the shared folder."""
-    kept = materialize(stats.where(F.col("stat").isNotNull()), "group-stats")
+def _keep_table(table: DataFrame, most: int) -> dict:
+    """Literals while the table is small, else a table in the shared folder."""
+    kept = materialize(table, "kept")
     schema = kept.schema.jsonValue()
-    if is_small(kept):
+    if is_small(kept, most):
         return {"schema": schema, "rows": [list(r) for r in kept.collect()]}
     return {"schema": schema, "rows": None, "path": kept.inputFiles()[0].rsplit("/", 1)[0]}
 
 
-def _load_stats(df: DataFrame, kept: dict) -> DataFrame:
+def _load_table(df: DataFrame, kept: dict) -> DataFrame:
     schema = T.StructType.fromJson(kept["schema"])
     if kept["rows"] is not None:
         return local_frame(df.sparkSession, [tuple(r) for r in kept["rows"]], schema)

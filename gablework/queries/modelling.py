@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from gablework.explain import summary
 from gablework.explain.linear import linear_attributions
-from gablework.explain.trees import tree_attributions
-from gablework.models import folds, linear, stack, trees, tune
+from gablework.explain.trees import explained_row, tree_attributions
+from gablework.models import folds, linear, stack, trees, tune, wide
 from gablework.models.graph import CrossFit
+from gablework.operators import sparse
 from gablework.operators.profile import describe_numeric
 from gablework.queries import model_sql, tree_sql
 from gablework.queries.inputs import FEATURES, SALES_SQL, TREE_FEATURES, sales
-from gablework.queries.registry import neat, query, r
+from gablework.queries.registry import neat, query, r, table
 from gablework.shared import materialize, scratch_path
 from gablework.sources import housing
 from gablework.tracking import runs
@@ -487,3 +488,114 @@ def shap_interaction(spark, d):
     data, fit = boosted_fit(spark, d)
     found = tree_attributions(data, fit, "k", TREE_FEATURES)
     return neat(summary.interaction_partner(materialize(found, "shap"), TREE_FEATURES, "n"))
+
+
+@query("shap_dependence_coloured", with_sales(shapley(False)) + f""", v AS (SELECT min(x0) AS lo, max(x0) AS hi FROM rows0),
+b AS (SELECT CAST(least(floor((x0 - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin, lo AS l0, (hi - lo) / 20 AS w, x1, x2, shap0 FROM shap JOIN rows0 USING (f, k), v),
+e AS (SELECT x1, x2, shap0 - avg(shap0) OVER (PARTITION BY bin) AS e FROM b),
+c AS (SELECT abs(corr(x1, e)) >= abs(corr(x2, e)) AS first FROM e)
+SELECT bin, {r('any_value(l0) + bin * any_value(w)')} AS lo, {r('any_value(l0) + bin * any_value(w) + any_value(w)')} AS hi, count(*) AS count,
+  {r('avg(shap0)')} AS mean_shap, any_value(CASE WHEN first THEN '{TREE_FEATURES[1]}' ELSE '{TREE_FEATURES[2]}' END) AS colour,
+  {r('avg(CASE WHEN first THEN x1 ELSE x2 END)')} AS mean_colour FROM b, c GROUP BY bin""")
+def shap_dependence_coloured(spark, d):
+    """A dependence plot's data with the colour that explains most of what the feature leaves open."""
+    data, fit = boosted_fit(spark, d)
+    found = tree_attributions(data, fit, "k", TREE_FEATURES)
+    return neat(summary.coloured_dependence(materialize(found, "shap"), TREE_FEATURES, "n", 20))
+
+
+@query("tree_breakdown", with_sales(shapley(True)) + f""", top AS (SELECT * FROM shap JOIN rows0 USING (f, k) JOIN m_base USING (f) ORDER BY y DESC, k LIMIT 1),
+l AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, shap{i} AS s FROM top" for i, c in enumerate(TREE_FEATURES))})
+SELECT 0 AS rank, 'base' AS feature, {r('paid + base')} AS shap FROM top UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY abs(s) DESC, feature) AS INTEGER), feature, {r('s')} FROM l UNION ALL
+SELECT 17, 'total', {r('paid + base + ' + ' + '.join(f'shap{i}' for i in range(WIDTH)))} FROM top""")
+def tree_breakdown(spark, d):
+    """The dearest order alone, explained against the whole table."""
+    data, fit = boosted_fit(spark, d)
+    one = explained_row(data, fit, "k", "y", data)
+    return neat(summary.breakdown(one, TREE_FEATURES, "k", "y", 15))
+
+
+# The tuned chain: studies on the training rows, refits with the best parameters, the second blend.
+
+TUNED_STEPS = [
+    nested_rows(0, 1), *trial_steps("xgb", DEPTH_TRIALS, "depth"), *trial_steps("lgb", LEAF_TRIALS, "leaf"),
+    ("r_d", "SELECT f, quantile_cont(x0, 0.75) - quantile_cont(x0, 0.25) AS d0, quantile_cont(x1, 0.75) - quantile_cont(x1, 0.25) AS d1 FROM rows0 WHERE train GROUP BY f"),
+    ("r_m", """SELECT f, avg(x0) AS m0, avg(x1) AS m1, avg(y) AS my, any_value(d0) AS d0, any_value(d1) AS d1, count(*) * var_pop(x0) / any_value(d0) / any_value(d0) AS a,
+  count(*) * covar_pop(x0, x1) / any_value(d0) / any_value(d1) AS b, count(*) * var_pop(x1) / any_value(d1) / any_value(d1) AS c,
+  count(*) * covar_pop(x0, y) / any_value(d0) AS p, count(*) * covar_pop(x1, y) / any_value(d1) AS s FROM rows0 JOIN r_d USING (f) WHERE train GROUP BY f"""),
+    ("r_w", """SELECT f, trial, m0, m1, my, ((c + alpha) * p - b * s) / ((a + alpha) * (c + alpha) - b * b) / d0 AS w0,
+  ((a + alpha) * s - b * p) / ((a + alpha) * (c + alpha) - b * b) / d1 AS w1 FROM r_m, (SELECT trial, exp(ln(0.1) + CAST('0x' || substr(md5('42:' || trial || ':alpha'), 1, 8) AS BIGINT) / 4294967296.0
+  * (ln(100.0) - ln(0.1))) AS alpha FROM range(50) x(trial))"""),
+    ("every", " UNION ALL ".join(
+        f"SELECT '{s}' AS study, {t} AS trial, f, k, pred FROM {s}{t}" for s in ("xgb", "lgb") for t in range(TRIALS)
+    ) + " UNION ALL SELECT 'ridge', trial, r.f, r.k, my + w0 * (x0 - m0) + w1 * (x1 - m1) FROM rows0 r JOIN r_w USING (f)"),
+    ("scored", """SELECT study, trial, avg(e) AS value FROM (SELECT study, trial, r.f, sqrt(avg(power(y - pred, 2))) AS e FROM every e JOIN rows0 r ON r.f = e.f AND r.k = e.k
+  WHERE r.f > 0 AND fold <> 0 AND inner_fold = r.f - 1 GROUP BY ALL) GROUP BY ALL"""),
+    ("best", "SELECT study, trial FROM scored QUALIFY row_number() OVER (PARTITION BY study ORDER BY value, trial) = 1"),
+    ("refit", "SELECT study, k, pred FROM every JOIN best USING (study, trial) WHERE f = 0"),
+]
+
+
+@query("submission_tuned", with_sales(TUNED_STEPS) + f"""
+SELECT r.k, {r("exp(" + " + ".join(f"{w!r} * max(pred) FILTER (study = '{m}')" for m, w in folds.BLEND_TUNED.items()) + ") - 1", 2)} AS price
+FROM refit JOIN rows0 r ON r.k = refit.k AND r.f = 0 WHERE r.fold = 0 GROUP BY r.k""")
+def submission_tuned(spark, d):
+    """Three studies on the training rows, each model refitted with its best parameters, blended 0.2 / 0.4 / 0.4."""
+    data = folded(spark, d)
+    train = folds.keep_folds(data.where(F.col("fold") != 0), "k", seed=43, name="inner")
+    best = {"ridge": tune.best_trial(tune.tune_ridge(train, FEATURES, tune.TRIALS["ridge"], fold="inner")).first()["params"]}
+    for study, space, style in (("xgb", DEPTH_TRIALS, "depth"), ("lgb", LEAF_TRIALS, "leaf")):
+        found = tune.tune_boosted(train, TREE_FEATURES, study, TRIALS, space, style, fold="inner", key="k", bins=BINS)
+        best[study] = {**tune.best_trial(found).first()["params"], "random_state": 42}
+    models = {"ridge": linear.ridge(FEATURES, best["ridge"]["alpha"]), "lgb": boosted(best["lgb"], "leaf"), "xgb": boosted(best["xgb"])}
+    scored = CrossFit(data, models, "k", held=[0]).out_of_fold().withColumn("price", folds.blend(folds.BLEND_TUNED))
+    return neat(housing.submission(scored, "k", F.col("price"), "price"), 2)
+
+
+TUNED_XGB, TUNED_LGB = {**trees.TUNED_DEPTH_WISE, **BOOST}, {**trees.TUNED_LEAF_WISE, **BOOST, "max_depth": 5}
+LOGGED = [FOLD_ROWS, *model_sql.ridge("Ridge_baseline", "rows0", 2, 10.0), *steps_of("XGBoost_tuned", TUNED_XGB, "depth"), *steps_of("LightGBM_tuned", TUNED_LGB, "leaf")]
+
+
+@query("run_log_all", with_sales(LOGGED) + f"""SELECT model AS run, CAST(CASE model WHEN 'Ridge_baseline' THEN 1 WHEN 'XGBoost_tuned' THEN {len(TUNED_XGB)} ELSE {len(TUNED_LGB)} END AS INTEGER) AS params,
+  {r('avg(score)')} AS rmse_mean, {r('stddev_pop(score)')} AS rmse_std FROM (
+{cv_sql({m: m for m in ('Ridge_baseline', 'XGBoost_tuned', 'LightGBM_tuned')}).replace(' AS rmse', ' AS score').replace(r('sqrt(avg(power(r.y - p.pred, 2)))'), 'sqrt(avg(power(r.y - p.pred, 2)))')}) GROUP BY model""")
+def run_log_all(spark, d):
+    """The tuned boosters and the base line as rows of the run table."""
+    params = {"Ridge_baseline": {"alpha": 10}, "XGBoost_tuned": TUNED_XGB, "LightGBM_tuned": TUNED_LGB}
+    models = {"Ridge_baseline": linear.ridge(FEATURES), "XGBoost_tuned": boosted(TUNED_XGB), "LightGBM_tuned": boosted(TUNED_LGB, "leaf")}
+    path = scratch_path(spark, "runs")
+    runs.log_scores(spark, path, CrossFit(folded(spark, d), models, "k").scores(), params)
+    found = runs.read_runs(spark, path)
+    return neat(found.select("run", F.size("params").alias("params"), *[F.col("metrics")[m].alias(m) for m in ("rmse_mean", "rmse_std")]))
+
+
+HALF_UP = "CAST('0x' || substr(md5('42:' || o_orderkey || ':{p}'), 1, 8) AS BIGINT) / 4294967296.0"
+
+
+def sampled_sql(p: str, space) -> str:
+    u = HALF_UP.format(p=p)
+    if space.log:
+        return f"exp(ln({space.low!r}) + {u} * (ln({space.high!r}) - ln({space.low!r})))"
+    return f"CAST(floor({space.low!r} + {u} * {space.high - space.low + 1!r}) AS DOUBLE)" if space.whole else f"{space.low!r} + {u} * {space.high - space.low!r}"
+
+
+@query("sampled_params", "SELECT o_orderkey AS trial, " + ", ".join(f"{r(sampled_sql(p, s))} AS {p}" for p, s in tune.LEAF_SPACE.items()) + " FROM orders")
+def sampled_params(spark, d):
+    """Whole, uniform and logarithmic ranges of a search space, one point per order."""
+    found = tune.sampled_params(tune.LEAF_SPACE, 42, F.col("o_orderkey"))
+    return neat(table(spark, d, "orders").select(F.col("o_orderkey").alias("trial"), *[v.cast("double").alias(p) for p, v in found.items()]))
+
+
+@query("cv_ridge_sparse", f"""WITH {SALES_SQL}, s AS (SELECT sales.*, o_custkey AS c FROM sales JOIN orders ON k = o_orderkey),
+a AS (SELECT alpha FROM (VALUES (1.0), (30.0)) t(alpha)), t AS (SELECT h.f, alpha, c, count(*) AS n, avg(y) AS m FROM s, range(5) h(f), a WHERE fold <> h.f GROUP BY ALL),
+b AS (SELECT f, alpha, sum(n * alpha / (n + alpha) * m) / sum(n * alpha / (n + alpha)) AS b FROM t GROUP BY ALL),
+w AS (SELECT t.f, t.alpha, c, n * (m - b) / (n + t.alpha) AS w FROM t JOIN b ON b.f = t.f AND b.alpha = t.alpha)
+SELECT CAST(b.alpha AS DOUBLE) AS alpha, CAST(fold AS INTEGER) AS fold, {r('sqrt(avg(power(y - b.b - coalesce(w.w, 0), 2)))')} AS rmse
+FROM s JOIN b ON b.f = s.fold LEFT JOIN w ON w.f = s.fold AND w.alpha = b.alpha AND w.c = s.c GROUP BY b.alpha, fold""")
+def cv_ridge_sparse(spark, d):
+    """One place per customer: thousands of features as sparse rows, solved by conjugate gradients."""
+    names = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").cast("string").alias("customer"))
+    data = materialize(sales(spark, d).join(names, "k"), "sales")
+    encoder = sparse.SparseEncoder.fit(data, ["customer"])
+    return neat(wide.wide_ridge_cv(encoder.transform(data), encoder.width, [1.0, 30.0]))

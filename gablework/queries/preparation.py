@@ -238,3 +238,26 @@ def prep_plan_reloaded(spark, d):
     plan.save(spark, path)
     alone = test.withColumn("split", F.lit("test")).withColumn("y", F.lit(None).cast("double"))
     return neat(PrepPlan.load(spark, path).transform(alone), 4, y=6)
+
+
+MANY = PrepRecipe(
+    key="o_orderkey", target="y", group_median={"bal": "c_name"}, labels=["c_name"], one_hot=["c_mktsegment"], skew_threshold=None,
+)
+
+
+@query("prep_plan_many_groups", f"""
+WITH raw AS (SELECT o_orderkey, o_totalprice, coalesce(c_name, 'nan') AS c_name, c_mktsegment, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS bal
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+gm AS (SELECT c_name, median(bal) AS m FROM raw GROUP BY 1)
+SELECT o_orderkey, {r('o_totalprice', 4)} AS o_totalprice, CAST(dense_rank() OVER (ORDER BY raw.c_name) - 1 AS DOUBLE) AS c_name, {r('coalesce(bal, m)', 4)} AS bal, """ + ", ".join(
+    f"CAST(CAST(c_mktsegment = '{s}' AS INTEGER) AS DOUBLE) AS \"c_mktsegment_{s}\"" for s in SEGMENTS) + " FROM raw JOIN gm ON raw.c_name = gm.c_name")
+def prep_plan_many_groups(spark, d):
+    """Group statistics and label codes beyond what a plan keeps as literals: tables beside it, saved and loaded with it."""
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    rows = table(spark, d, "orders").join(c, "o_custkey").select(
+        "o_orderkey", "o_totalprice", "c_name", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice")).alias("bal"), "c_mktsegment",
+    )
+    plan = PrepPlan.fit(rows, MANY, literals=50, groups=50)
+    path = scratch_path(spark, "plan")
+    plan.save(spark, path)
+    return neat(PrepPlan.load(spark, path).transform(rows), 4)

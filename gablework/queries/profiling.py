@@ -157,3 +157,48 @@ SELECT {r('regr_slope(sample, theoretical)')} AS slope, {r('regr_intercept(sampl
 def qq_fit(spark, d):
     y = table(spark, d, "orders").select(F.log1p("o_totalprice").alias("y"))
     return neat(binning.qq_fit(binning.qq_points(y, "y", QQ_POINTS)))
+
+
+PANELS = ["l_quantity", "l_discount", "l_tax"]
+
+
+@query("density_panels", """WITH v AS (SELECT min(l_extendedprice) AS y0, max(l_extendedprice) AS y1 FROM lineitem)""" + "".join(
+    f", {c}_v AS (SELECT min({c}) AS x0, max({c}) AS x1 FROM lineitem)" for c in PANELS) + " " + " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", CAST(least(floor(({c} - x0) / ((x1 - x0) / 40)), 39) AS INTEGER) AS x_bin,
+  CAST(least(floor((l_extendedprice - y0) / ((y1 - y0) / 40)), 39) AS INTEGER) AS y_bin, count(*) AS count FROM lineitem, v, {c}_v GROUP BY 2, 3""" for c in PANELS))
+def density_panels(spark, d):
+    """Scatter panels of several columns against one target, from one scan."""
+    return binning.density_panels(table(spark, d, "lineitem"), PANELS, "l_extendedprice", 40)
+
+
+GROUPS = ["o_orderstatus", "o_orderpriority"]
+PANEL_ROWS = " UNION ALL ".join(f"""SELECT '{c}' AS "column", {c} AS category, o_totalprice AS v FROM orders""" for c in GROUPS)
+
+
+@query("box_panels", f"""WITH p AS ({PANEL_ROWS}),
+q AS (SELECT "column", category, quantile_cont(v, 0.25) AS q1, median(v) AS m, quantile_cont(v, 0.75) AS q3 FROM p GROUP BY 1, 2),
+e AS (SELECT p.*, q1, m, q3, v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside FROM p JOIN q USING ("column", category))
+SELECT "column", category, {r('any_value(q1)')} AS q1, {r('any_value(m)')} AS median, {r('any_value(q3)')} AS q3,
+  {r('least(min(v) FILTER (inside), any_value(q1))')} AS whisker_low, {r('greatest(max(v) FILTER (inside), any_value(q3))')} AS whisker_high,
+  count(*) FILTER (NOT inside) AS outliers FROM e GROUP BY 1, 2""")
+def box_panels(spark, d):
+    return neat(profile.box_panels(table(spark, d, "orders"), GROUPS, "o_totalprice"))
+
+
+@query("median_panels", f"""SELECT "column", category, {r('median')} AS median,
+  CAST(row_number() OVER (PARTITION BY "column" ORDER BY median DESC, category) AS INTEGER) AS place
+FROM (SELECT "column", category, median(v) AS median FROM ({PANEL_ROWS}) GROUP BY 1, 2)""")
+def median_panels(spark, d):
+    return neat(profile.median_panels(table(spark, d, "orders"), GROUPS, "o_totalprice"))
+
+
+WIDE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey", "l_orderkey"]
+WIDE_PAIRS = [(f"{c}_{n}", f"CASE WHEN l_orderkey % {n} = 0 THEN NULL ELSE {c} * CASE WHEN l_linenumber % {n} = 0 THEN 2 ELSE 1 END END") for c in WIDE for n in (3, 7)]
+
+
+@query("corr_matrix_gaps", "WITH w AS (SELECT " + ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in WIDE_PAIRS) + " FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, {r(f'corr({a}, {b})')} AS r FROM w" for a, _ in WIDE_PAIRS for b, _ in WIDE_PAIRS))
+def corr_matrix_gaps(spark, d):
+    """Sixteen columns with gaps, every pair over the rows that have both."""
+    w = table(spark, d, "lineitem").select(*[F.expr(e).cast("double").alias(n) for n, e in WIDE_PAIRS])
+    return neat(profile.corr_matrix(w, [n for n, _ in WIDE_PAIRS]))

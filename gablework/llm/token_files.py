@@ -25,7 +25,7 @@ from gablework.llm.owners import arrow_schema
 from gablework.llm.piece_model import shared_file, shown_bytes
 from gablework.shared import lookup_join
 
-KEPT_WORDS = 300_000  # words whose ids a worker remembers
+KEPT_WORDS = 700_000  # words whose ids a worker remembers
 LONG_WORD = 100  # longer words are not remembered
 ROW_GROUP_BYTES = 32 << 20
 PAGE_ROWS = 1000

@@ -9,12 +9,12 @@ sorting on the buckets that its suffixes' later offsets stand in.
    its anchor (smallest q-gram, by hash), so a run of neighbouring strings with one anchor is one row.
    Buckets that a single document has are final and go no further.
 2. The runs left are dealt out by bucket, with their bytes. A task lays them end to end and gives
-   every place its q-gram as bucket pointer. Strings are sorted on (own pointer, pointer at offset
-   q), which gives the pointers for 2q; those are used again for the next step, up to ``length``.
+   every place its q-gram as bucket pointer. Places are sorted on (own pointer, pointer at a later offset); the refined
+   buckets are written back and read by the next step: widths q, 2q, ... up to ``length``.
    After each step strings whose bucket holds one document are final and are left out.
    The anchor's own bytes are not sent: all rows of a bucket have the same.
-3. A bucket of more than ``MAX_RUNS`` rows is not gathered. Its strings go on as single rows to a
-   streamed comparison, which keeps one row at a time: exact as well, but one row per string.
+3. The strings of a bucket of more than ``MAX_RUNS`` rows are refined in the same steps, a batch at a time, with hashes as
+   bucket identifiers; the last buckets are compared as a stream, which keeps one row at a time.
 
 Pointers are 64-bit hashes of q-grams; 2. and 3. compare within anchors' buckets.
 
@@ -202,29 +202,63 @@ def find_runs(docs_with_grams: DataFrame, length: int, gram: int) -> DataFrame:
     return docs_with_grams.mapInArrow(tidy(read), RUNS)
 
 
+def widenings(length: int, gram: int) -> list[tuple[int, list[int]]]:
+    """(later offset, offsets still needed) of every step: widths double up to ``length``; a step needs new pointers at
+    the strings' places and at those that the steps after it will read."""
+    steps, width = [], gram
+    while width < length:
+        steps.append(min(width, length - width))
+        width += steps[-1]
+    needed, out = [0], []
+    for step in reversed(steps):
+        out.append((step, needed))
+        needed = sorted({*needed, *(o + step for o in needed)})
+    return out[::-1]
+
+
 def refine(data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """Whether the string at each place also starts in a smaller document; places are in ``data``."""
+    """Whether the string at each place also starts in a smaller document; places are in ``data``.
+
+    ``pointer`` holds the bucket of every place. A step sorts places on (own bucket, bucket at a later offset) and writes the
+    refined buckets back, where the next step reads them."""
     pointer = window_hashes(BYTE_HASHES[data], gram)
     out, left = np.zeros(len(at), bool), np.arange(len(at))
-    bucket, step, width = pointer[at], 0, gram
-    while len(left):
+    steps = widenings(length, gram)
+    for nth in range(len(steps) + 1):
+        bucket = pointer[at[left]]
         order = np.argsort(bucket)
         left, bucket = left[order], bucket[order]
+        if not len(left):
+            break
         starts = runs(bucket)
         sizes = np.diff(np.append(starts, len(left)))
         own = doc[left]
         smallest = np.minimum.reduceat(own, starts)
-        if width == length:
+        if nth == len(steps):
             out[left] = own > np.repeat(smallest, sizes)
-            return out
-        shared = np.repeat(np.maximum.reduceat(own, starts) > smallest, sizes)  # the others are final
-        left, bucket = left[shared], bucket[shared]
-        step = min(width, length - gram)
-        width = step + gram
-        bucket = mixed(bucket + mixed(pointer[at[left] + step]))  # the bucket, refined by the later offset's pointer
+            break
+        left = left[np.repeat(np.maximum.reduceat(own, starts) > smallest, sizes)]  # the others are final
+        step, needed = steps[nth]
+        wanted = np.zeros(len(pointer), bool)
+        for o in needed:
+            wanted[at[left] + o] = True
+        places = np.flatnonzero(wanted)
+        mine, later = pointer[places], pointer[places + step]
+        order = np.lexsort((later, mine))
+        mine, later = mine[order], later[order]
+        refined = np.cumsum(np.append(False, (mine[1:] != mine[:-1]) | (later[1:] != later[:-1]))) if len(places) else places
+        pointer[places[order]] = refined.astype(np.uint64)
     return out
 
 
+def refined_hashes(data: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """The same refinement where a bucket is spread over tasks: identifiers are hashes of the two that they refine."""
+    pointer = window_hashes(BYTE_HASHES[data], gram)
+    for step, _ in widenings(length, gram):
+        pointer = mixed(mixed(pointer[: max(0, len(pointer) - step)]) + np.uint64(0x9E3779B97F4A7C15) * pointer[step:])
+    return pointer
+
+
 def compare_runs(rows: DataFrame, length: int, gram: int, max_runs: int = MAX_RUNS,
                  chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Spans of strings that a smaller document has (done), and the strings of huge buckets (live)."""
@@ -252,7 +286,7 @@ def compare_runs(rows: DataFrame, length: int, gram: int, max_runs: int = MAX_RU
         data, starts = restored(pa.Table.from_batches([batch]), length, gram)
         owner = np.repeat(np.arange(len(n)), n)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        hashes = window_hashes(BYTE_HASHES[data], length)[starts[owner] + nth]
+        hashes = refined_hashes(data, length, gram)[starts[owner] + nth]
         live, done = owners.settle_later(owners.live_key(hashes), doc[owner])
         order = np.concatenate([live, done])
         d, s = doc[owner[order]], (start[owner] + nth)[order]

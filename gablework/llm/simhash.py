@@ -514,13 +514,14 @@ def similar_classes(docs: DataFrame, words: int, similarity: float, id_col: str
 
 
 def without_near_copies(docs: DataFrame, words: int, similarity: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of each class of near copies the rows of the smallest id, all columns kept; of rows with equal ids one.
-    Rows without id are kept, they are nobody's copy."""
+    """Of each class of near copies the rows of the smallest id, all columns kept; of rows with equal ids
+    and texts one. Rows without id are kept, they are nobody's copy."""
     found = similar_classes(docs.where(col(id_col).isNotNull()), words, similarity, id_col, text_col)
     kept = found.select(F.col("component").alias("__kept")).distinct()
     matched = docs.join(kept, col(id_col).cast("long") == F.col("__kept"), "left_semi")
-    one = Window.partitionBy(id_col).orderBy(F.xxhash64(col(text_col)))
-    alone = matched.withColumn("__nth", F.row_number().over(one)).where(F.col("__nth") == 1).drop("__nth")
+    one = Window.partitionBy(id_col, "__text").orderBy("__text")
+    alone = matched.withColumn("__text", F.sha2(col(text_col), 256))
+    alone = alone.withColumn("__nth", F.row_number().over(one)).where(F.col("__nth") == 1).drop("__nth", "__text")
     return alone.unionByName(docs.where(col(id_col).isNull()))
 
 

@@ -301,7 +301,9 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
     # leaves of a tree have neighbouring numbers, and so have the leaves of a bundle
     bundle = np.arange(forest.leaves + 1) // BUNDLE
     held = np.bincount(bundle, sizes).astype(np.int64)
-    rounds = max(1, -(-queries.count() // TILE))
+    n_queries = queries.count()
+    rounds = max(1, -(-n_queries // TILE))
+    asked = asked.repartition(max(1, min(4 * table.sparkSession.sparkContext.defaultParallelism, n_queries // 64)), "rep")  # a walk costs far more than a read
     down = np.maximum(1, -(-held // TILE))  # blocks of rows of a bundle; queries come in blocks by their hash
     first = np.append(0, np.cumsum(down * rounds))
 

@@ -13,22 +13,26 @@ from gablework.shared import numeric_columns, string_columns
 from gablework.sources.housing import KEY, TARGET
 
 # They name columns and codes of the housing table, and results depend on them.
-NONE_COLUMNS = (
-    "PoolQC MiscFeature Alley Fence FireplaceQu GarageType GarageFinish GarageQual GarageCond "
-    "BsmtQual BsmtCond BsmtExposure BsmtFinType1 BsmtFinType2 MasVnrType"
-).split()
-ZERO_COLUMNS = (
-    "GarageYrBlt GarageArea GarageCars BsmtFinSF1 BsmtFinSF2 BsmtUnfSF TotalBsmtSF "
-    "BsmtFullBath BsmtHalfBath MasVnrArea"
-).split()
-MODE_COLUMNS = "Electrical KitchenQual Exterior1st Exterior2nd SaleType Functional".split()
-ORDINAL_COLUMNS = (
-    "ExterQual ExterCond BsmtQual BsmtCond HeatingQC KitchenQual FireplaceQu GarageQual GarageCond PoolQC"
-).split()
-LABEL_COLUMNS = (
-    "BsmtExposure BsmtFinType1 BsmtFinType2 GarageFinish Fence LotShape LandContour LandSlope Alley"
-).split()
-CATEGORY_COLUMNS = "Neighborhood OverallQual ExterQual BsmtQual KitchenQual GarageFinish FireplaceQu".split()
+NONE_COLUMNS = [
+    "PoolQC", "MiscFeature", "Alley", "Fence", "FireplaceQu", "GarageType", "GarageFinish", "GarageQual",
+    "GarageCond", "BsmtQual", "BsmtCond", "BsmtExposure", "BsmtFinType1", "BsmtFinType2", "MasVnrType",
+]
+ZERO_COLUMNS = [
+    "GarageYrBlt", "GarageArea", "GarageCars", "BsmtFinSF1", "BsmtFinSF2", "BsmtUnfSF", "TotalBsmtSF",
+    "BsmtFullBath", "BsmtHalfBath", "MasVnrArea",
+]
+MODE_COLUMNS = ["Electrical", "KitchenQual", "Exterior1st", "Exterior2nd", "SaleType", "Functional"]
+ORDINAL_COLUMNS = [
+    "ExterQual", "ExterCond", "BsmtQual", "BsmtCond", "HeatingQC", "KitchenQual", "FireplaceQu", "GarageQual",
+    "GarageCond", "PoolQC",
+]
+LABEL_COLUMNS = [
+    "BsmtExposure", "BsmtFinType1", "BsmtFinType2", "GarageFinish", "Fence", "LotShape", "LandContour", "LandSlope",
+    "Alley",
+]
+CATEGORY_COLUMNS = [
+    "Neighborhood", "OverallQual", "ExterQual", "BsmtQual", "KitchenQual", "GarageFinish", "FireplaceQu",
+]
 QUALITY_CODES = {"None": 0, "Po": 1, "Fa": 2, "TA": 3, "Gd": 4, "Ex": 5}
 OUTLIER_AREA = 4000
 SUSPICIOUS_PRICE = 300000

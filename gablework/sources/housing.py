@@ -12,17 +12,24 @@ KEY = "Id"
 TARGET = "SalePrice"
 
 # The documented columns in file order; d = number that may be missing, i = number, s = text.
-COLUMNS = """
-MSSubClass:i MSZoning:s LotFrontage:d LotArea:i Street:s Alley:s LotShape:s LandContour:s Utilities:s LotConfig:s
-LandSlope:s Neighborhood:s Condition1:s Condition2:s BldgType:s HouseStyle:s OverallQual:i OverallCond:i YearBuilt:i
-YearRemodAdd:i RoofStyle:s RoofMatl:s Exterior1st:s Exterior2nd:s MasVnrType:s MasVnrArea:d ExterQual:s ExterCond:s
-Foundation:s BsmtQual:s BsmtCond:s BsmtExposure:s BsmtFinType1:s BsmtFinSF1:d BsmtFinType2:s BsmtFinSF2:d BsmtUnfSF:d
-TotalBsmtSF:d Heating:s HeatingQC:s CentralAir:s Electrical:s 1stFlrSF:i 2ndFlrSF:i LowQualFinSF:i GrLivArea:i
-BsmtFullBath:d BsmtHalfBath:d FullBath:i HalfBath:i Bedroom:i Kitchen:i KitchenQual:s TotRmsAbvGrd:i Functional:s
-Fireplaces:i FireplaceQu:s GarageType:s GarageYrBlt:d GarageFinish:s GarageCars:d GarageArea:d GarageQual:s
-GarageCond:s PavedDrive:s WoodDeckSF:i OpenPorchSF:i EnclosedPorch:i 3SsnPorch:i ScreenPorch:i PoolArea:i PoolQC:s
-Fence:s MiscFeature:s MiscVal:i MoSold:i YrSold:i SaleType:s SaleCondition:s
-""".split()
+COLUMNS = [
+    ("MSSubClass", "i"), ("MSZoning", "s"), ("LotFrontage", "d"), ("LotArea", "i"), ("Street", "s"), ("Alley", "s"),
+    ("LotShape", "s"), ("LandContour", "s"), ("Utilities", "s"), ("LotConfig", "s"), ("LandSlope", "s"),
+    ("Neighborhood", "s"), ("Condition1", "s"), ("Condition2", "s"), ("BldgType", "s"), ("HouseStyle", "s"),
+    ("OverallQual", "i"), ("OverallCond", "i"), ("YearBuilt", "i"), ("YearRemodAdd", "i"), ("RoofStyle", "s"),
+    ("RoofMatl", "s"), ("Exterior1st", "s"), ("Exterior2nd", "s"), ("MasVnrType", "s"), ("MasVnrArea", "d"),
+    ("ExterQual", "s"), ("ExterCond", "s"), ("Foundation", "s"), ("BsmtQual", "s"), ("BsmtCond", "s"),
+    ("BsmtExposure", "s"), ("BsmtFinType1", "s"), ("BsmtFinSF1", "d"), ("BsmtFinType2", "s"), ("BsmtFinSF2", "d"),
+    ("BsmtUnfSF", "d"), ("TotalBsmtSF", "d"), ("Heating", "s"), ("HeatingQC", "s"), ("CentralAir", "s"),
+    ("Electrical", "s"), ("1stFlrSF", "i"), ("2ndFlrSF", "i"), ("LowQualFinSF", "i"), ("GrLivArea", "i"),
+    ("BsmtFullBath", "d"), ("BsmtHalfBath", "d"), ("FullBath", "i"), ("HalfBath", "i"), ("Bedroom", "i"),
+    ("Kitchen", "i"), ("KitchenQual", "s"), ("TotRmsAbvGrd", "i"), ("Functional", "s"), ("Fireplaces", "i"),
+    ("FireplaceQu", "s"), ("GarageType", "s"), ("GarageYrBlt", "d"), ("GarageFinish", "s"), ("GarageCars", "d"),
+    ("GarageArea", "d"), ("GarageQual", "s"), ("GarageCond", "s"), ("PavedDrive", "s"), ("WoodDeckSF", "i"),
+    ("OpenPorchSF", "i"), ("EnclosedPorch", "i"), ("3SsnPorch", "i"), ("ScreenPorch", "i"), ("PoolArea", "i"),
+    ("PoolQC", "s"), ("Fence", "s"), ("MiscFeature", "s"), ("MiscVal", "i"), ("MoSold", "i"), ("YrSold", "i"),
+    ("SaleType", "s"), ("SaleCondition", "s"),
+]
 # The texts that mean "missing" in the source files.
 NA_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
@@ -35,7 +42,7 @@ _KINDS = {"i": T.IntegerType(), "d": T.DoubleType(), "s": T.StringType()}
 
 def schema(with_target: bool) -> T.StructType:
     fields = [T.StructField(KEY, T.LongType())]
-    fields += [T.StructField(n, _KINDS[k]) for n, k in (c.split(":") for c in COLUMNS)]
+    fields += [T.StructField(n, _KINDS[k]) for n, k in COLUMNS]
     return T.StructType(fields + ([T.StructField(TARGET, T.DoubleType())] if with_target else []))
 
 

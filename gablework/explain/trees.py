@@ -12,7 +12,6 @@ counted by Spark, so the whole table can be the background.
 
 from __future__ import annotations
 
-import functools
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -39,7 +38,6 @@ BACKGROUND_ROWS = 100
 CELLS = 1 << 21  # rows x leaves x conditions looked at together
 
 
-@functools.cache
 def _swap(a: int, b: int) -> float:
     """Weight of one of ``a`` conditions that only the row meets, against ``b`` that only the other does."""
     return factorial(a - 1) * factorial(b) / factorial(a + b) if a else 0.0

@@ -11,8 +11,6 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gablework.shared import col
-
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -65,6 +63,8 @@ class Ensemble:
         return self.base + total / (len(self.trees) if self.how == "mean" else 1)
 
     def predict(self) -> Column:
+        from gablework.shared import col  # the class goes to tasks, which need not have the package
+
         model = self
 
         @F.pandas_udf("double")

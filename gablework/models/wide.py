@@ -1,145 +1,177 @@
-"""Cross-validated ridge on sparse rows of any width, by conjugate gradients.
+"""Cross-validated ridge on sparse rows of any width, by conjugate gradients with the diagonal as preconditioner.
 
-A step needs the product of the normal matrix with one vector per (fold left out, alpha); all of them are formed in
-one pass over the rows, and only vectors of the features' number are summed up. Features are not scaled, the intercept
-is free.
+Equal sparse rows are counted once, with the rows and labels of each fold. All vectors (weights, residuals, directions) are
+columns of one table by feature, a column per (fold left out, alpha), which is written once a step: entries meet
+directions by feature, are summed by row, and go back by feature. A step sends a few numbers per system to the driver. Features
+are not scaled, the intercept is free.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Callable, Iterator, Sequence
+import functools
+import operator
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gablework.shared import col, materialize
 
-# The tasks get this code with their work, so that executors need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-CHUNK = 1 << 14  # features of one summed vector
-SALTS = 64
+TOGETHER = 16  # systems solved side by side: columns of the table of vectors
 STEPS, TOLERANCE = 500, 1e-12
 
 
 @dataclass
 class WideFit:
-    weights: np.ndarray
-    intercept: float
-
-    def predicted(self, rows: SparseRows) -> np.ndarray:
-        return self.intercept + rows.times(self.weights[:, None])[:, 0]
+    """``table``: (place, weights by the name ``column``); a place that is not there has weight 0."""
 
+    table: DataFrame
+    column: str
+    width: int
+    intercept: float
 
-class SparseRows:
-    """A batch of sparse rows with their labels and folds."""
+    @property
+    def weights(self) -> np.ndarray:
+        """All weights on the driver, for models that are not too wide for it."""
+        out = np.zeros(self.width)
+        found = self.table.select("place", self.column).toArrow()
+        out[found.column(0).to_numpy()] = found.column(1).to_numpy()
+        return out
 
-    def __init__(self, batch: pa.RecordBatch):
-        self.y, self.fold = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "fold"))
-        lists = batch.column("indices")
-        self.index = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        self.value = batch.column("values").flatten().to_numpy(zero_copy_only=False)
-        self.row = np.repeat(np.arange(len(self.y)), np.diff(lists.offsets.to_numpy()))
 
-    def times(self, v: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(self.y), v.shape[1]))
-        np.add.at(out, self.row, v[self.index] * self.value[:, None])
-        return out
+@dataclass
+class Patterns:
+    """Different sparse rows (pid, and per fold n, s, v: rows, sum and variance of labels) and their entries (pid, place, x)."""
 
-    def back(self, r: np.ndarray, out: np.ndarray) -> None:
-        np.add.at(out, self.index, r[self.row] * self.value[:, None])
+    rows: DataFrame
+    entries: DataFrame
+    folds: list[int]
+    n: dict[int, int]
+    total: dict[int, float]
 
+    def outside(self, name: str, held: int | None) -> Column:
+        return functools.reduce(operator.add, [F.col(f"{name}{i}") for i, f in enumerate(self.folds) if f != held], F.lit(0.0))
 
-def _summed(rows: DataFrame, width: int, columns: int, add: Callable[[SparseRows, np.ndarray], None]) -> np.ndarray:
-    """(width, columns): what ``add`` puts together over all rows."""
+    def along(self, vectors: DataFrame, names: Sequence[str]) -> DataFrame:
+        """(pid, ...): the product of every row with each vector."""
+        met = self.entries.join(vectors.select("place", *names), "place")
+        return met.groupBy("pid").agg(*[F.sum(F.col("x") * F.col(c)).alias(c) for c in names])
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((width, columns))
-        for batch in batches:
-            add(SparseRows(batch), total)
-        for a in range(0, width, CHUNK):
-            flat = total[a : a + CHUNK].ravel()
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array([a], pa.int32()), "sums": pa.array([flat], pa.list_(pa.float64()))})
 
-    parts = rows.mapInArrow(read, "chunk int, sums array<double>").withColumn("salt", F.spark_partition_id() % SALTS)
-    first = parts.groupBy("chunk", "salt").agg(Summarizer.sum(array_to_vector(F.col("sums"))).alias("sums"))
-    whole = first.groupBy("chunk").agg(vector_to_array(Summarizer.sum(F.col("sums"))).alias("sums"))
-    out = np.zeros((width, columns))
-    for r in whole.collect():  # as many numbers as the fits have weights
-        out[r["chunk"] : r["chunk"] + CHUNK] = np.array(r["sums"]).reshape(-1, columns)
+def patterns(df: DataFrame, features: str, y: str, fold: str) -> Patterns:
+    entries = col(features)
+    plain = df.select(entries["indices"].alias("indices"), entries["values"].alias("values"), col(y).cast("double").alias("y"), col(fold).cast("int").alias("fold"))
+    counts = {r["fold"]: r for r in plain.groupBy("fold").agg(F.count("y").alias("n"), F.sum("y").alias("s")).collect()}
+    folds = sorted(counts)
+    own = [F.when(F.col("fold") == f, F.col("y")) for f in folds]
+    sums = [c for i, v in enumerate(own) for c in (
+        F.count(v).cast("double").alias(f"n{i}"), F.coalesce(F.sum(v), F.lit(0.0)).alias(f"s{i}"), F.coalesce(F.var_pop(v), F.lit(0.0)).alias(f"v{i}"))]
+    rows = plain.groupBy("indices", "values").agg(*sums).withColumn("pid", F.monotonically_increasing_id())
+    rows = materialize(rows, "patterns")
+    pairs = rows.select("pid", F.explode(F.arrays_zip("indices", "values")).alias("e"))
+    entries = materialize(pairs.select("pid", F.col("e.indices").alias("place"), F.col("e.values").alias("x")), "entries")
+    return Patterns(rows, entries, folds, {f: counts[f]["n"] for f in folds}, {f: counts[f]["s"] or 0.0 for f in folds})
+
+
+def _sums(df: DataFrame, columns: Sequence[Column]) -> np.ndarray:
+    """One number per column."""
+    return np.array([v or 0.0 for v in df.agg(*[F.sum(c).alias(f"a{i}") for i, c in enumerate(columns)]).first()])
+
+
+def _solved(found: Patterns, moments: DataFrame, systems: Sequence[tuple[int, int | None, float]], n: np.ndarray, mean_y: np.ndarray, width: int) -> list[WideFit]:
+    """``systems``: (number of the fold in ``moments``, fold, alpha)."""
+    count, of = len(systems), [i for i, _, _ in systems]
+    column = F.col
+
+    def names(kind: str) -> list[str]:
+        return [f"{kind}{j}" for j in range(count)]
+
+    mean = [column(f"m{i}") for i in of]
+    size = [column(f"q{i}") - F.lit(float(n[i])) * m * m + F.lit(a) for m, (i, _, a) in zip(mean, systems)]
+    scale = [F.when(s > 0, s).otherwise(F.lit(1.0)) for s in size]
+    fixed = [c for c in moments.columns if not c.startswith("t")]
+    start = [column(f"t{i}") - mean[j] * F.lit(float(n[i] * mean_y[i])) for j, i in enumerate(of)]
+    state = moments.select(
+        *fixed, *[F.lit(0.0).alias(c) for c in names("w")], *[s.alias(c) for s, c in zip(start, names("r"))],
+        *[(s / z).alias(c) for s, z, c in zip(start, scale, names("d"))],
+    )
+    first = _sums(state, [r * r / z for r, z in zip(map(column, names("r")), scale)] + [m * d for m, d in zip(mean, map(column, names("d")))])
+    left, mean_way = first[:count], first[count:]
+    enough = TOLERANCE**2 * np.maximum(left, 1e-300)
+    for _ in range(STEPS):
+        if (left <= enough).all():
+            break
+        along = found.along(state, names("d"))
+        seen = found.rows.select("pid", *[found.outside("n", f).alias(f"c{i}") for i, f in dict((i, f) for i, f, _ in systems).items()])
+        met = found.entries.join(along.join(seen, "pid"), "pid")
+        back = met.groupBy("place").agg(*[F.sum(column("x") * column(f"c{i}") * column(d)).alias(f"b{j}") for j, (i, d) in enumerate(zip(of, names("d")))])
+        product = [
+            F.coalesce(column(f"b{j}"), F.lit(0.0)) - F.lit(float(n[i] * mean_way[j])) * mean[j] + F.lit(a) * column(f"d{j}")
+            for j, (i, _, a) in enumerate(systems)
+        ]
+        state = materialize(state.join(back, "place", "left").select(*state.columns, *[p.alias(c) for p, c in zip(product, names("p"))]), "vectors")
+        way = _sums(state, [column(d) * column(p) for d, p in zip(names("d"), names("p"))])
+        step = np.where(left > enough, left / np.maximum(way, 1e-300), 0.0)
+        rest = [column(r) - F.lit(float(s)) * column(p) for r, p, s in zip(names("r"), names("p"), step)]
+        now = _sums(state, [r * r / z for r, z in zip(rest, scale)] + [m * r / z for m, r, z in zip(mean, rest, scale)])
+        turn = now[:count] / np.maximum(left, 1e-300)
+        state = state.select(
+            *fixed, *[(column(w) + F.lit(float(s)) * column(d)).alias(w) for w, d, s in zip(names("w"), names("d"), step)],
+            *[r.alias(c) for r, c in zip(rest, names("r"))],
+            *[(r / z + F.lit(float(t)) * column(d)).alias(d) for r, z, t, d in zip(rest, scale, turn, names("d"))],
+        )
+        left, mean_way = now[:count], now[count:] + turn * mean_way
+    table = materialize(state.select("place", *fixed[1:], *names("w")), "weights")
+    shift = _sums(table, [m * column(w) for m, w in zip(mean, names("w"))])
+    return [WideFit(table, w, width, float(mean_y[i] - s)) for w, i, s in zip(names("w"), of, shift)]
+
+
+def _fits(found: Patterns, width: int, alphas: Sequence[float], held: Sequence[int | None]) -> dict[tuple[int | None, float], WideFit]:
+    n = np.array([sum(v for f, v in found.n.items() if f != i) for i in held], float)
+    mean_y = np.array([sum(v for f, v in found.total.items() if f != i) for i in held]) / np.maximum(n, 1)
+    sides = found.rows.select("pid", *[found.outside(c, f).alias(f"{c}{i}") for i, f in enumerate(held) for c in "ns"])
+    x = F.col("x")
+    sums = found.entries.join(sides, "pid").groupBy("place").agg(*[c for i in range(len(held)) for c in (
+        (F.sum(x * F.col(f"n{i}")) / F.lit(max(n[i], 1.0))).alias(f"m{i}"), F.sum(x * x * F.col(f"n{i}")).alias(f"q{i}"), F.sum(x * F.col(f"s{i}")).alias(f"t{i}"))])
+    moments = materialize(sums, "moments")
+    systems = [(i, f, float(a)) for i, f in enumerate(held) for a in alphas]
+    out = {}
+    for a in range(0, len(systems), TOGETHER):
+        some = systems[a : a + TOGETHER]
+        out.update({(f, alpha): fit for (_, f, alpha), fit in zip(some, _solved(found, moments, some, n, mean_y, width))})
     return out
 
 
 def wide_fits(
     df: DataFrame, width: int, alphas: Sequence[float], held: Sequence[int | None], features: str = "features", y: str = "y", fold: str = "fold",
-) -> tuple[DataFrame, dict[tuple[int | None, float], WideFit]]:
-    """(written rows, {(fold left out or None, alpha): fit})."""
-    entries = col(features)
-    rows = materialize(df.select(col(y).cast("double").alias("y"), col(fold).cast("int").alias("fold"), entries["indices"].alias("indices"), entries["values"].alias("values")), "sparse")
-    systems = [(i, float(a)) for i in held for a in alphas]
-    left_out = np.array([-1 if i is None else i for i, _ in systems])
-    alpha = np.array([a for _, a in systems])
-    folds = np.array([-1 if i is None else i for i in held])
-
-    def moments(part: SparseRows, total: np.ndarray) -> None:
-        """Sums of features, and of features times labels, without each fold."""
-        seen = (part.fold[:, None] != folds).astype(float)
-        part.back(np.concatenate([seen, seen * part.y[:, None]], axis=1), total)
-
-    counts = rows.groupBy("fold").agg(F.count("y").alias("n"), F.sum("y").alias("s")).collect()
-    n = np.array([sum(r["n"] for r in counts if r["fold"] != i) for i in folds], float)
-    mean_y = np.array([sum(r["s"] for r in counts if r["fold"] != i) for i in folds]) / np.maximum(n, 1)
-    sums = _summed(rows, width, 2 * len(folds), moments)
-    of = np.repeat(np.arange(len(folds)), len(alphas))
-    mean_x = (sums[:, : len(folds)] / np.maximum(n, 1))[:, of]
-    target = sums[:, len(folds) :][:, of] - mean_x * (n * mean_y)[of]
-
-    def product(v: np.ndarray) -> np.ndarray:
-        def add(part: SparseRows, total: np.ndarray) -> None:
-            part.back(part.times(v) * (part.fold[:, None] != left_out), total)
-
-        return _summed(rows, width, len(systems), add) - mean_x * (n[of] * (mean_x * v).sum(axis=0)) + alpha * v
-
-    w = np.zeros_like(target)
-    left, way = target.copy(), target.copy()
-    size = (left * left).sum(axis=0)
-    enough = TOLERANCE**2 * np.maximum(size, 1e-300)
-    for _ in range(STEPS):
-        if (size <= enough).all():
-            break
-        along = product(way)
-        step = np.where(size > enough, size / np.maximum((way * along).sum(axis=0), 1e-300), 0.0)
-        w += step * way
-        left -= step * along
-        new = (left * left).sum(axis=0)
-        way = left + way * (new / np.maximum(size, 1e-300))
-        size = new
-    return rows, {s: WideFit(w[:, j], float(mean_y[of[j]] - mean_x[:, j] @ w[:, j])) for j, s in enumerate(systems)}
+) -> tuple[Patterns, dict[tuple[int | None, float], WideFit]]:
+    """(the different rows, {(fold left out or None, alpha): fit})."""
+    found = patterns(df, features, y, fold)
+    return found, _fits(found, width, alphas, held)
 
 
 def wide_ridge_cv(
     df: DataFrame, width: int, alphas: Sequence[float], k: int = 5, features: str = "features", y: str = "y", fold: str = "fold",
 ) -> DataFrame:
     """(alpha, fold, rmse) of ridge on sparse rows."""
-    rows, fits = wide_fits(df, width, alphas, range(k), features, y, fold)
-    weights = {a: [fits[i, float(a)] for i in range(k)] for a in alphas}
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = SparseRows(batch)
-            for a, own in weights.items():
-                predicted = part.times(np.stack([f.weights for f in own], axis=1)) + [f.intercept for f in own]
-                gap = part.y - predicted[np.arange(len(part.y)), part.fold]
-                yield pa.RecordBatch.from_pydict({
-                    "alpha": pa.array(np.full(len(gap), float(a))), "fold": pa.array(part.fold.astype(np.int32)), "e": pa.array(gap * gap),
-                })
-
-    errors = rows.mapInArrow(read, "alpha double, fold int, e double")
-    return errors.groupBy("alpha", "fold").agg(F.sqrt(F.avg("e")).alias("rmse"))
+    found, fits = wide_fits(df, width, alphas, range(k), features, y, fold)
+    rows = []
+    wanted = [(f, float(a)) for f in found.folds for a in alphas if (f, float(a)) in fits]
+    for a in range(0, len(wanted), TOGETHER):
+        some = wanted[a : a + TOGETHER]
+        tables = {id(fits[s].table): fits[s].table for s in some}
+        errors = found.rows
+        for t, table in enumerate(tables.values()):
+            own = [(j, fits[s].column) for j, s in enumerate(some) if fits[s].table is table]
+            scored = found.along(table.select("place", *[F.col(c).alias(f"o{j}") for j, c in own]), [f"o{j}" for j, _ in own])
+            errors = errors.join(scored, "pid", "left")
+        parts = []
+        for j, s in enumerate(some):
+            i = found.folds.index(s[0])
+            number = F.col(f"n{i}")
+            gap = F.col(f"s{i}") / number - F.lit(fits[s].intercept) - F.coalesce(F.col(f"o{j}"), F.lit(0.0))
+            parts.append(F.when(number > 0, number * (F.col(f"v{i}") + gap * gap)))
+        rows += [(s[1], s[0], float(np.sqrt(e / max(found.n[s[0]], 1)))) for s, e in zip(some, _sums(errors, parts))]
+    return df.sparkSession.createDataFrame(rows, "alpha double, fold int, rmse double")

@@ -29,7 +29,6 @@ import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -356,9 +355,10 @@ def without_copies(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-                    max_runs: int = MAX_RUNS, chunk_bytes: int = CHUNK_BYTES, carry: Sequence[str] = ()) -> DataFrame:
+                    max_runs: int = MAX_RUNS, chunk_bytes: int = CHUNK_BYTES, carry: Sequence[str] = (), characters: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) for every row; ``kept`` are the bytes left, in order.
-    Columns named in ``carry`` come along in the struct ``carried``."""
+    Columns named in ``carry`` come along in the struct ``carried``. ``characters``: bytes of a character that was cut in
+    two are not ``kept`` either, and of a null text nothing is (null)."""
     plain = keyed_texts(docs, id_col, text_col, carry)
     known = plain.where("doc IS NOT NULL")
     out_schema = T.StructType([*KEPT.fields, *([plain.schema["carried"]] if carry else [])])
@@ -375,7 +375,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
         for batch in unpacked(batches):
             spans, columns = batch.column("found"), ([], [], [], [])
             for i, text in enumerate(text_bytes(batch)):
-                text, n_removed, n_spans = text or b"", 0, 0
+                null, text, n_removed, n_spans = text is None, text or b"", 0, 0
                 size = len(text)
                 if size >= length and is_copy(text, batch.column("copied")[i]):
                     n_removed, n_spans, text = size, 1, b""
@@ -387,6 +387,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
                     n_removed = int(gone.sum())
                     n_spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + gone[0]) if size else 0
                     text = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                    if characters and n_removed:
+                        text = text.decode(errors="ignore").encode()
+                if characters and null:
+                    text = None
                 for c, v in zip(columns, (size, n_removed, n_spans, text), strict=True):
                     c.append(v)
             yield pa.RecordBatch.from_arrays(
@@ -395,7 +399,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_
 
     alone = plain.where("doc IS NULL").select(
         F.col("doc").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
-        F.lit(0).cast("long").alias("n_spans"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("kept"),
+        F.lit(0).cast("long").alias("n_spans"), (F.col("text").cast("binary") if characters else F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("kept"),
         *(["carried"] if carry else []))
     return dealt.join(removed.hint("merge"), "doc", "left").mapInArrow(tidy(read), out_schema).union(alone)
 
@@ -404,17 +408,12 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
     """``docs`` with the repeated bytes cut out of the texts, all columns kept, ``n_chars`` brought up to date.
     Bytes of a character that was cut in two go as well. A document of which nothing is left goes; texts that
     were null or empty before stay as they are."""
-    found = without_repeats(docs, length, id_col=id_col, text_col=text_col, carry=docs.columns)
-
-    @F.pandas_udf("string")
-    def whole_characters(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda b: bytes(b).decode(errors="ignore"))
-
-    changed = F.col("n_removed") > 0
+    others = [c for c in docs.columns if c != text_col]
+    found = without_repeats(docs, length, id_col=id_col, text_col=text_col, carry=others, characters=True)
     found = found.where((F.col("n_removed") < F.col("n_bytes")) | (F.col("n_bytes") == 0))
-    found = found.withColumn("__text", F.when(changed, whole_characters("kept")).otherwise(F.col("carried").getField(text_col)))
-    new = {text_col: F.col("__text")}
-    if "n_chars" in docs.columns:
+    text = F.col("kept").cast("string")
+    new = {text_col: text}
+    if "n_chars" in others:
         kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(changed, F.char_length("__text").cast(kind)).otherwise(F.col("carried").getField("n_chars"))
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length(text).cast(kind)).otherwise(F.col("carried").getField("n_chars"))
     return found.select(*[new.get(c, F.col("carried").getField(c)).alias(c) for c in docs.columns])

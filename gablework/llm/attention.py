@@ -7,6 +7,7 @@ by input symbol, distance enters as a learned bias, later tokens and missing one
 
 from __future__ import annotations
 
+import copy
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +26,18 @@ def blocks_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, np.minimum(STRIDE, np.repeat(starts + lengths, n) - first), nth > 0
 
 
+def added(at: np.ndarray, parts: tuple[np.ndarray, ...], size: int) -> list[np.ndarray]:
+    """Rows of ``parts`` added up by the symbols ``at`` that they belong to."""
+    order = np.argsort(at.ravel(), kind="stable")
+    symbol = at.ravel()[order]
+    starts = np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1]))
+    out = []
+    for part in parts:
+        out.append(np.zeros((size, part.shape[-1]), part.dtype))
+        out[-1][symbol[starts]] = np.add.reduceat(part.reshape(-1, part.shape[-1])[order], starts, axis=0)
+    return out
+
+
 @dataclass
 class Attention:
     query: np.ndarray
@@ -89,11 +102,15 @@ class Attention:
         q, k, v, a, h = self.attend(window, mask)
         inside = np.arange(STRIDE) < size[:, None]
         target = targets[np.clip(first[:, None] + np.arange(STRIDE), 0, len(x) - 1)]
-        logp = self.log_classes(h)
-        d = np.exp(logp)
+        z = h @ self.out + self.out_bias
+        z -= z.max(axis=-1, keepdims=True)
+        own = np.take_along_axis(z, target[..., None], 2)
+        d = np.exp(z, out=z)
+        total = d.sum(axis=-1, keepdims=True)
+        loss = -float((own - np.log(total))[..., 0][inside].mean())
+        d /= total
         np.put_along_axis(d, target[..., None], np.take_along_axis(d, target[..., None], 2) - 1, 2)
         d *= inside[..., None] / inside.sum()
-        loss = -float(np.take_along_axis(logp, target[..., None], 2)[..., 0][inside].mean())
         g = [np.zeros_like(p) for p in self.parameters()]
         flat_d = d.reshape(-1, d.shape[2])
         g[5], g[6] = h.reshape(-1, WIDTH).T @ flat_d, flat_d.sum(axis=0)
@@ -101,10 +118,8 @@ class Attention:
         da = dh @ v.transpose(0, 2, 1)
         ds = a * (da - (a * da).sum(axis=2, keepdims=True))
         last = window[:, STRIDE:]
-        np.add.at(g[0], last, ds @ k)
-        np.add.at(g[1], window, ds.transpose(0, 2, 1) @ q)
-        np.add.at(g[2], window, a.transpose(0, 2, 1) @ dh)
-        np.add.at(g[3], last, dh)
+        g[0], g[3] = added(last, (ds @ k, dh), len(self.query))
+        g[1], g[2] = added(window, (ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh), len(self.query))
         gap = np.arange(STRIDE)[:, None] + STRIDE - np.arange(2 * STRIDE)
         np.add.at(g[4], np.clip(gap, 0, 2 * STRIDE - 1), np.where(gap >= 0, ds.sum(axis=0), 0))
         return loss, g
@@ -113,16 +128,67 @@ class Attention:
         """Adam over random blocks; returns the mean loss of the last tenth of the steps."""
         first, size, more = blocks_of(lengths)
         steps = min(steps, 2 * len(first) // batch + 20)  # about two rounds over a small sample at most
-        rng, last = np.random.default_rng(seed), []
-        moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self.parameters()]
+        rng, last, adam = np.random.default_rng(seed), [], Adam(self)
         for step in range(1, steps + 1):
             pick = rng.integers(0, len(first), batch)
             loss, grads = self.gradients(x, targets, first[pick], size[pick], more[pick])
-            pace = rate * min(1.0, step / 50) * (1 - 0.95 * step / steps)
-            for p, g, (m, v) in zip(self.parameters(), grads, moments, strict=True):
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                p -= (pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+            adam.step(grads, rate * min(1.0, step / 50) * (1 - 0.95 * step / steps))
             if step > 0.9 * steps:
                 last.append(loss)
         return float(np.mean(last)) if last else float("nan")
+
+
+class Adam:
+    """Moments of the gradients of one model."""
+
+    def __init__(self, model: Attention):
+        self.model, self.done = model, 0
+        self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in model.parameters()]
+
+    def step(self, grads: list[np.ndarray], pace: float) -> None:
+        self.done += 1
+        for p, g, (m, v) in zip(self.model.parameters(), grads, self.moments, strict=True):
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            p -= (pace * (m / (1 - 0.9**self.done)) / (np.sqrt(v / (1 - 0.99**self.done)) + 1e-6)).astype(p.dtype)
+
+
+class Learner:
+    """A task's own copy of a model, which learns from every block of the sequences it is given, once."""
+
+    def __init__(self, start: Attention, batch: int = 256, rate: float = 0.004, seed: int = 8):
+        self.start, self.model = start, copy.deepcopy(start)
+        self.adam, self.batch, self.rate, self.rng = Adam(self.model), batch, rate, np.random.default_rng(seed)
+        self.seen = np.zeros(len(start.query))  # how often each symbol was read
+
+    def again(self) -> Learner:
+        """A new one from the same start."""
+        return Learner(self.start, self.batch, self.rate)
+
+    def learn(self, x: np.ndarray, targets: np.ndarray, lengths: np.ndarray) -> None:
+        first, size, more = blocks_of(lengths)
+        order = self.rng.permutation(len(first))
+        for a in range(0, len(order), self.batch):
+            pick = order[a : a + self.batch]
+            share = size[pick].sum() / (self.batch * STRIDE)  # a short batch moves the weights less
+            self.adam.step(self.model.gradients(x, targets, first[pick], size[pick], more[pick])[1], self.rate * share * min(1.0, (self.adam.done + 1) / 20))
+        self.seen += np.bincount(x, minlength=len(self.seen))
+
+    def moved(self) -> np.ndarray:
+        """What it learned, weighted by the symbols read, and the weights: these can be added up over tasks."""
+        parts = []
+        for p, q in zip(self.model.parameters(), self.start.parameters(), strict=True):
+            weight = self.seen if len(p) == len(self.seen) else np.full(len(p), self.seen.sum())
+            parts.append(((p - q).astype(float) * (weight[:, None] if p.ndim == 2 else weight)).ravel())
+        return np.concatenate([*parts, self.seen])
+
+
+def averaged(start: Attention, moved: np.ndarray) -> Attention:
+    """The start and the mean of what all tasks learned."""
+    model, seen, a = copy.deepcopy(start), moved[len(moved) - len(start.query) :], 0
+    for p in model.parameters():
+        weight = seen if len(p) == len(seen) else np.full(len(p), seen.sum())
+        mean = moved[a : a + p.size].reshape(p.shape) / np.maximum(weight[:, None] if p.ndim == 2 else weight, 1.0)
+        p += mean.astype(p.dtype)
+        a += p.size
+    return model

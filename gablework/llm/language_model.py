@@ -4,8 +4,9 @@ Tokens are words (A-Z in lower case, separated by ASCII white space) and one end
 subword ids of a public vocabulary. Its first id is predicted by causal self-attention over the first ids
 before it (``attention``): the model gives the id's class, corpus counts give the id in its class. Given the
 first id, the rest of the word follows corpus counts: of the word itself, and of the chain of its further ids,
-each given the one before. All counts come from all training texts. The attention weights are fitted on at
-most ``SAMPLE_TEXTS`` training texts.
+each given the one before. All counts and classes come from all training texts. So do the attention weights: from a start
+that was fitted on at most ``SAMPLE_TEXTS`` of them, each task learns from every block of its training texts, and what the
+tasks learned is averaged, by symbol.
 
 Score and base line need the count of every word and pair of ids. The ``LISTED`` most frequent words and ``PAIRS``
 pairs go to the tasks, bounded tables that save work and decide no result; the others are joined by shuffle.
@@ -27,20 +28,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.attention import Attention
-from gablework.llm.batches import keyed_texts, shipped, slices, tag_of, text_bytes
+from gablework.llm.attention import Attention, Learner, averaged
+from gablework.llm.batches import keyed_texts, shipped, slices, text_bytes
 from gablework.llm.owners import arrow_schema
 from gablework.llm.piece_model import read_ranks, shared_file
+from gablework.operators.gram import summed
 from gablework.shared import col, materialize
 
 LISTED = 200_000
 LISTED_BYTES = 64  # longer words are never listed, which bounds the list
 PAIRS = 300_000  # subword pairs whose counts go to the tasks; others are joined
-SAMPLE_TEXTS = 3000  # whole, in pieces; the attention's weights are fitted on at most twice as many pieces
+SAMPLE_TEXTS = 3000  # whole, in pieces; the attention's start is fitted on at most twice as many pieces
 SAMPLE_WORDS = 2000  # of a piece
 CLASSES = 96
 SYMBOLS = 3000  # first ids with rows of their own in the attention tables; others share their class's row
 STEPS = 1200
+GAPS = (1, 2, 3, 4, 5, 6)  # distances at which an id's neighbours are counted
+AT_ONCE = 1 << 18  # tokens that a task learns from together
+CHUNK = 1 << 14  # numbers of one summed vector
 DISCOUNT = 0.7  # taken from the count of every word, for words never seen
 WORD_COUNTS = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
 ID_COUNTS = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()), T.StructField("n", T.LongType())])
@@ -50,7 +55,7 @@ CHAINS = T.StructType([
     T.StructField("rare", T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()),
                                                     T.StructField("more", T.DoubleType()), T.StructField("total", T.DoubleType())]))),
 ])
-FIRSTS = T.StructType([T.StructField("hash", T.LongType()), T.StructField("firsts", T.ArrayType(T.IntegerType()))])
+FIRSTS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("firsts", T.ArrayType(T.IntegerType()))])
 SCORED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("row", T.LongType()), T.StructField("n_tokens", T.LongType()),
     T.StructField("n_listed", T.LongType()), T.StructField("base_listed", T.DoubleType()), T.StructField("score", T.DoubleType()),
@@ -221,26 +226,106 @@ def cluster(vectors: np.ndarray, weights: np.ndarray, groups: int, rounds: int =
     return near
 
 
-def classes(first_n: np.ndarray, sample: list[np.ndarray], end: int, groups: int = CLASSES) -> np.ndarray:
+def first_ids(train: DataFrame, file, pattern: str) -> DataFrame:
+    """(doc, firsts): the start of the text, the first id of every word, and the end."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, schema = Subwords(file.value, pattern), arrow_schema(FIRSTS)
+        for batch in slices(batches, 4 << 20):
+            known: defaultdict[bytes, int] = defaultdict()
+            known.default_factory = known.__len__
+            numbers = [np.fromiter(map(known.__getitem__, w), np.int64, len(w)) for w in ((t or b"").lower().split() for t in text_bytes(batch))]
+            ids, sizes = cut(list(known))
+            first = ids[np.cumsum(sizes) - sizes].astype(np.int32)
+            around = np.int32(cut.size + 1), np.int32(cut.size)
+            ends = np.cumsum([len(n) + 2 for n in numbers]).astype(np.int32)
+            flat = np.concatenate([x for n in numbers for x in (around[:1], first[n], around[1:])])
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.ListArray.from_arrays(np.append(np.int32(0), ends), pa.array(flat, pa.int32()))], schema=schema)
+
+    return train.select("doc", "text").mapInArrow(read, FIRSTS)
+
+
+def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of whole texts laid end to end, about ``AT_ONCE`` together, and the number of each text's."""
+    for batch in batches:
+        sizes = np.diff(batch.column("firsts").offsets.to_numpy()).astype(np.int64)
+        part = (np.cumsum(sizes) - sizes) // AT_ONCE
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(sizes)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                yield batch.column("firsts").slice(a, b - a).flatten().to_numpy(zero_copy_only=False).astype(np.int64), sizes[a:b]
+
+
+def neighbours(firsts: DataFrame, place: np.ndarray) -> DataFrame:
+    """(code, n): how often an id without class stands near one of a class, in all texts. ``place``: the class of an id, -1 for
+    none, and -1 for the start; the code is id * classes + class."""
+    groups = int(place.max()) + 1
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(len(place) * groups, np.int64)
+        for ids, sizes in sequences(batches):
+            of, ends = place[ids], np.cumsum(sizes)
+            x = np.flatnonzero((of < 0) & (ids < len(place) - 1))  # the start has no neighbours
+            low, high = np.repeat(ends - sizes, sizes)[x], np.repeat(ends, sizes)[x]
+            for gap in (*GAPS, *(-g for g in GAPS)):
+                y = x + gap
+                hit = np.flatnonzero((y >= low) & (y < high))
+                kind = of[y[hit]]
+                np.add.at(found, ids[x[hit]][kind >= 0] * groups + kind[kind >= 0], 1)
+        code = np.flatnonzero(found)
+        yield pa.RecordBatch.from_pydict({"code": pa.array(code), "n": pa.array(found[code])})
+
+    return firsts.select("firsts").mapInArrow(read, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def classes(first_n: np.ndarray, firsts: DataFrame, end: int, groups: int = CLASSES) -> np.ndarray:
     """A class for every first id: the most frequent ones and the end alone, the others by the ids around them."""
     order = np.argsort(-first_n, kind="stable")
     alone = [end, *[i for i in order[: groups * 2 // 3].tolist() if i != end and first_n[i] > 0]]
     out = np.full(len(first_n), -1)
     out[alone] = np.arange(len(alone))
     others = np.flatnonzero(out < 0)
-    left = groups - len(alone)
-    around = np.zeros((len(first_n), len(alone)))
-    for gap in (1, 2, 3, 4, 5, 6):
-        for s in sample:
-            a, b = s[:-gap], s[gap:]
-            for x, y in ((a, b), (b, a)):
-                known = (out[y] >= 0) & (out[x] < 0)
-                np.add.at(around, (x[known], out[y[known]]), 1)
+    around = np.zeros(len(first_n) * len(alone))
+    found = neighbours(firsts, np.append(out, -1)).toArrow()  # at most ids x classes, whatever the number of texts
+    around[found.column("code").to_numpy()] = found.column("n").to_numpy()
+    around = around.reshape(len(first_n), -1)
     vectors = np.sqrt(around[others] / np.maximum(around[others].sum(axis=1, keepdims=True), 1))
-    out[others] = len(alone) + cluster(vectors, first_n[others] + 1e-3, left)
+    out[others] = len(alone) + cluster(vectors, first_n[others] + 1e-3, groups - len(alone))
     return out
 
 
+def taught(firsts: DataFrame, start: Attention, symbol_of: np.ndarray, class_of: np.ndarray) -> Attention:
+    """The weights after every task has learned from all its texts."""
+    sent = shipped(firsts.sparkSession, (Learner(start), symbol_of, class_of))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner, symbols, kinds = sent()
+        learner = learner.again()  # the worker may have run another task
+        held, size = [], 0
+
+        def learn() -> None:
+            ids, sizes = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+            ends = np.cumsum(sizes)
+            before, after = np.ones(len(ids), bool), np.ones(len(ids), bool)
+            before[ends - 1] = after[ends - sizes] = False
+            learner.learn(symbols[ids[before]], kinds[ids[after]], sizes - 1)
+
+        for part in sequences(batches):
+            held.append(part)
+            size += len(part[0])
+            if size >= AT_ONCE:
+                learn()
+                held, size = [], 0
+        if size:
+            learn()
+        moved = learner.moved()
+        for a in range(0, len(moved), CHUNK):
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([a], pa.int32()), "sums": pa.array([moved[a : a + CHUNK]], pa.list_(pa.float64()))})
+
+    rows = summed(firsts.select("firsts").mapInArrow(read, "chunk int, sums array<double>"), ["chunk"]).collect()  # one model
+    return averaged(start, np.concatenate([r["sums"] for r in sorted(rows, key=lambda r: r["chunk"])])) if rows else start
+
+
 def learn(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, DataFrame, DataFrame]:
     """The model, and the tables of all training word counts and all counts of ids."""
     spark = docs.sparkSession
@@ -279,28 +364,14 @@ def learn(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id"
     pair_total = np.zeros(size + 1)
     pair_total[before.column("a").to_numpy()] = before.column("n").to_numpy()
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = Subwords(file.value, pattern)
-        for batch in slices(batches):
-            rows, hashes = [], []
-            for text in text_bytes(batch):
-                words = (text or b"").lower().split()
-                before = size + 1  # the start of a text
-                for a in range(0, max(1, len(words)), SAMPLE_WORDS):
-                    piece = words[a : a + SAMPLE_WORDS]
-                    ids, sizes = cut(piece)
-                    first = ids[np.cumsum(sizes) - sizes].tolist()
-                    rows.append([before, *first] + [size] * (a + SAMPLE_WORDS >= len(words)))
-                    hashes.append(tag_of(b" ".join(piece)))
-                    before = first[-1] if first else size + 1
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(rows, pa.list_(pa.int32()))], schema=arrow_schema(FIRSTS))
-
+    firsts = materialize(first_ids(train, file, pattern), "firsts")
     picked = train.select("doc").orderBy(F.xxhash64("doc"), "doc").limit(SAMPLE_TEXTS)
-    taken = train.join(F.broadcast(picked.distinct()), "doc").mapInArrow(read, FIRSTS)
-    taken = taken.orderBy("hash", "firsts").limit(2 * SAMPLE_TEXTS).select("firsts").toArrow()
+    pieces = F.transform(F.sequence(F.lit(0), F.size("firsts") - 2, F.lit(SAMPLE_WORDS)), lambda at: F.slice("firsts", at + 1, SAMPLE_WORDS + 1))
+    taken = firsts.join(F.broadcast(picked.distinct()), "doc").select(F.explode(pieces).alias("firsts"))
+    taken = taken.orderBy(F.xxhash64("firsts"), "firsts").limit(2 * SAMPLE_TEXTS).toArrow()
     sample = [np.array(x, np.int64) for x in taken.column("firsts").to_pylist()]  # led by what stands before
 
-    class_of = classes(first_n, [s[1:] for s in sample], size)
+    class_of = classes(first_n, firsts, size)
     in_class = np.bincount(class_of, weights=first_n + 0.01, minlength=CLASSES)
     log_in_class = np.log((first_n + 0.01) / in_class[class_of])
     symbol_of = SYMBOLS + class_of
@@ -312,6 +383,7 @@ def learn(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id"
     if sample:
         x = symbol_of[np.concatenate([s[:-1] for s in sample])]
         attention.train(x, class_of[np.concatenate([s[1:] for s in sample])], np.array([len(s) - 1 for s in sample]), STEPS)
+        attention = taught(firsts, attention, symbol_of, class_of)
 
     model = Model(size, first_n, class_of, symbol_of, log_in_class, code[order], n[order], pair_total, single,
                   kept_n, listed, list_n, np.zeros(len(listed), np.int32), np.zeros(len(listed)), attention, int(n_words) + n_texts, int(distinct) + (n_texts > 0))

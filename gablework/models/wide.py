@@ -62,7 +62,8 @@ class Patterns:
 
 def patterns(df: DataFrame, features: str, y: str, fold: str) -> Patterns:
     entries = col(features)
-    plain = df.select(entries["indices"].alias("indices"), entries["values"].alias("values"), col(y).cast("double").alias("y"), col(fold).cast("int").alias("fold"))
+    label = F.coalesce(col(y).cast("double"), F.lit(float("nan")))
+    plain = df.select(entries["indices"].alias("indices"), entries["values"].alias("values"), label.alias("y"), col(fold).cast("int").alias("fold"))
     counts = {r["fold"]: r for r in plain.groupBy("fold").agg(F.count("y").alias("n"), F.sum("y").alias("s")).collect()}
     folds = sorted(counts)
     own = [F.when(F.col("fold") == f, F.col("y")) for f in folds]
@@ -101,7 +102,7 @@ def _solved(found: Patterns, moments: DataFrame, systems: Sequence[tuple[int, in
     left, mean_way = first[:count], first[count:]
     enough = TOLERANCE**2 * np.maximum(left, 1e-300)
     for _ in range(STEPS):
-        if (left <= enough).all():
+        if not (left > enough).any():
             break
         along = found.along(state, names("d"))
         seen = found.rows.select("pid", *[found.outside("n", f).alias(f"c{i}") for i, f in dict((i, f) for i, f, _ in systems).items()])
@@ -131,6 +132,8 @@ def _solved(found: Patterns, moments: DataFrame, systems: Sequence[tuple[int, in
 def _fits(found: Patterns, width: int, alphas: Sequence[float], held: Sequence[int | None]) -> dict[tuple[int | None, float], WideFit]:
     n = np.array([sum(v for f, v in found.n.items() if f != i) for i in held], float)
     mean_y = np.array([sum(v for f, v in found.total.items() if f != i) for i in held]) / np.maximum(n, 1)
+    if np.isnan(list(found.total.values())).any():  # with a label missing, no fit is a number
+        mean_y = np.full(len(held), np.nan)
     sides = found.rows.select("pid", *[found.outside(c, f).alias(f"{c}{i}") for i, f in enumerate(held) for c in "ns"])
     x = F.col("x")
     sums = found.entries.join(sides, "pid").groupBy("place").agg(*[c for i in range(len(held)) for c in (

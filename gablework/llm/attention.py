@@ -8,6 +8,7 @@ by input symbol, distance enters as a learned bias, later tokens and missing one
 from __future__ import annotations
 
 import copy
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +16,7 @@ import numpy as np
 STRIDE = 16
 WIDTH = 16
 MASKED = np.float32(-1e9)
+LARGEST = 60.0  # of a score before its exponential
 
 
 def blocks_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -26,15 +28,23 @@ def blocks_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, np.minimum(STRIDE, np.repeat(starts + lengths, n) - first), nth > 0
 
 
+def sums(x: np.ndarray) -> np.ndarray:
+    """Over the last axis."""
+    return (x.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], x.dtype)).reshape(x.shape[:-1])
+
+
 def added(at: np.ndarray, parts: tuple[np.ndarray, ...], size: int) -> list[np.ndarray]:
     """Rows of ``parts`` added up by the symbols ``at`` that they belong to."""
-    order = np.argsort(at.ravel(), kind="stable")
-    symbol = at.ravel()[order]
+    symbol = at.ravel()
+    order = np.argsort(symbol.astype(np.uint16) if size <= 1 << 16 else symbol, kind="stable")  # short numbers are sorted by their digits
+    symbol = symbol[order]
     starts = np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1]))
-    out = []
+    sums = np.add.reduceat(np.concatenate([p.reshape(-1, p.shape[-1]) for p in parts], axis=1).take(order, axis=0), starts, axis=0)
+    out, a = [], 0
     for part in parts:
         out.append(np.zeros((size, part.shape[-1]), part.dtype))
-        out[-1][symbol[starts]] = np.add.reduceat(part.reshape(-1, part.shape[-1])[order], starts, axis=0)
+        out[-1][symbol[starts]] = sums[:, a : a + part.shape[-1]]
+        a += part.shape[-1]
     return out
 
 
@@ -68,18 +78,19 @@ class Attention:
         return window, score[None] + np.where(there, np.float32(0), MASKED)[:, None, :]
 
     def attend(self, window: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, ...]:
-        q, k, v = self.query[window[:, STRIDE:]], self.key[window], self.value[window]
-        s = q @ k.transpose(0, 2, 1)
-        s += mask
-        s -= s.max(axis=2, keepdims=True)
-        a = np.exp(s, out=s)
-        a /= a.sum(axis=2, keepdims=True)
-        return q, k, v, a, a @ v + self.rest[window[:, STRIDE:]]
-
-    def log_classes(self, h: np.ndarray) -> np.ndarray:
-        z = h @ self.out + self.out_bias
-        z -= z.max(axis=-1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=-1, keepdims=True))
+        last = window[:, STRIDE:]
+        q, k, v = self.query.take(last, axis=0), self.key.take(window, axis=0), self.value.take(window, axis=0)
+        a = q @ k.transpose(0, 2, 1)
+        np.clip(a, -LARGEST, LARGEST, out=a)  # so that no row of exponentials is zero or infinite
+        a += mask
+        np.exp(a, out=a)
+        a /= sums(a)[..., None]
+        return q, k, v, a, a @ v
+
+    def logits(self, h: np.ndarray) -> np.ndarray:
+        z = h @ self.out
+        z += self.out_bias
+        return np.clip(z, -LARGEST, LARGEST, out=z)
 
     def score(self, x: np.ndarray, targets: np.ndarray, lengths: np.ndarray, at_once: int = 1024) -> np.ndarray:
         """Natural log-probability of every target class. ``x``: the symbol before each target."""
@@ -87,39 +98,36 @@ class Attention:
         out = np.zeros(len(x), np.float32)
         for a in range(0, len(first), at_once):
             f, n = first[a : a + at_once], size[a : a + at_once]
-            h = self.attend(*self.inputs(x, f, n, more[a : a + at_once]))[4]
+            window, mask = self.inputs(x, f, n, more[a : a + at_once])
             inside = np.arange(STRIDE) < n[:, None]
             place = (f[:, None] + np.arange(STRIDE))[inside]
-            z = h[inside] @ self.out
-            z += self.out_bias
+            h = self.attend(window, mask)[4][inside] + self.rest.take(window[:, STRIDE:][inside], axis=0)
+            z = self.logits(h)
             own = z[np.arange(len(z)), targets[place]]
             np.exp(z, out=z)
-            out[place] = own - np.log(z.sum(axis=1))
+            out[place] = own - np.log(sums(z))
         return out
 
     def gradients(self, x: np.ndarray, targets: np.ndarray, first: np.ndarray, size: np.ndarray, more: np.ndarray) -> tuple[float, list[np.ndarray]]:
         window, mask = self.inputs(x, first, size, more)
-        q, k, v, a, h = self.attend(window, mask)
-        inside = np.arange(STRIDE) < size[:, None]
-        target = targets[np.clip(first[:, None] + np.arange(STRIDE), 0, len(x) - 1)]
-        z = h @ self.out + self.out_bias
-        z -= z.max(axis=-1, keepdims=True)
-        own = np.take_along_axis(z, target[..., None], 2)
-        d = np.exp(z, out=z)
-        total = d.sum(axis=-1, keepdims=True)
-        loss = -float((own - np.log(total))[..., 0][inside].mean())
-        d /= total
-        np.put_along_axis(d, target[..., None], np.take_along_axis(d, target[..., None], 2) - 1, 2)
-        d *= inside[..., None] / inside.sum()
-        g = [np.zeros_like(p) for p in self.parameters()]
-        flat_d = d.reshape(-1, d.shape[2])
-        g[5], g[6] = h.reshape(-1, WIDTH).T @ flat_d, flat_d.sum(axis=0)
-        dh = d @ self.out.T
-        da = dh @ v.transpose(0, 2, 1)
-        ds = a * (da - (a * da).sum(axis=2, keepdims=True))
         last = window[:, STRIDE:]
-        g[0], g[3] = added(last, (ds @ k, dh), len(self.query))
-        g[1], g[2] = added(window, (ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh), len(self.query))
+        q, k, v, a, o = self.attend(window, mask)
+        h = (o + self.rest.take(last, axis=0)).reshape(-1, WIDTH)
+        share = (np.arange(STRIDE) < size[:, None]).ravel() / h.dtype.type(size.sum())
+        at = np.arange(len(h)), targets.take((first[:, None] + np.arange(STRIDE)).ravel(), mode="clip")
+        d = self.logits(h)
+        own = d[at]
+        np.exp(d, out=d)
+        total = sums(d)
+        loss = -float(((own - np.log(total)) * share).sum())
+        d *= (share / total)[:, None]
+        d[at] -= share
+        dh = (d @ self.out.T).reshape(o.shape)
+        ds = dh @ v.transpose(0, 2, 1)
+        ds -= sums(dh * o)[..., None]  # the mean of a row, weighted by its attention
+        ds *= a
+        g = [*added(last, (ds @ k, dh), len(self.query)), *added(window, (ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh), len(self.query))]
+        g = [g[0], g[2], g[3], g[1], np.zeros_like(self.bias), h.T @ d, np.ones(len(d), d.dtype) @ d]
         gap = np.arange(STRIDE)[:, None] + STRIDE - np.arange(2 * STRIDE)
         np.add.at(g[4], np.clip(gap, 0, 2 * STRIDE - 1), np.where(gap >= 0, ds.sum(axis=0), 0))
         return loss, g
@@ -146,11 +154,21 @@ class Adam:
         self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in model.parameters()]
 
     def step(self, grads: list[np.ndarray], pace: float) -> None:
+        """``grads`` are overwritten."""
         self.done += 1
         for p, g, (m, v) in zip(self.model.parameters(), grads, self.moments, strict=True):
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            p -= (pace * (m / (1 - 0.9**self.done)) / (np.sqrt(v / (1 - 0.99**self.done)) + 1e-6)).astype(p.dtype)
+            g *= 0.1
+            m *= 0.9
+            m += g
+            np.multiply(g, g, out=g)  # a hundredth of the gradient's square
+            v *= 0.99
+            v += g
+            scale = np.sqrt(v, out=g)
+            scale *= 1 / math.sqrt(1 - 0.99**self.done)
+            scale += 1e-6
+            np.divide(m, scale, out=scale)
+            scale *= pace / (1 - 0.9**self.done)
+            p -= scale
 
 
 class Learner:

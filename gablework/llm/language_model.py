@@ -18,18 +18,20 @@ N and V are 0 and the model is uniform over the vocabulary's ids.
 
 from __future__ import annotations
 
-from collections import defaultdict
+import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gablework.llm.attention import Attention, Learner, averaged
-from gablework.llm.batches import keyed_texts, shipped, slices, text_bytes
+from gablework.llm.batches import keyed_texts, per_worker, shipped, slices, tidy
 from gablework.llm.owners import arrow_schema
 from gablework.llm.piece_model import read_ranks, shared_file
 from gablework.operators.gram import summed
@@ -45,6 +47,8 @@ SYMBOLS = 3000  # first ids with rows of their own in the attention tables; othe
 STEPS = 1200
 GAPS = (1, 2, 3, 4, 5, 6)  # distances at which an id's neighbours are counted
 AT_ONCE = 1 << 18  # tokens that a task learns from together
+COUNTED_BYTES = 16 << 20  # texts whose words are counted together
+OTHER_SPACES = re.compile(r"[^\S ]")
 CHUNK = 1 << 14  # numbers of one summed vector
 DISCOUNT = 0.7  # taken from the count of every word, for words never seen
 WORD_COUNTS = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
@@ -55,11 +59,15 @@ CHAINS = T.StructType([
     T.StructField("rare", T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()),
                                                     T.StructField("more", T.DoubleType()), T.StructField("total", T.DoubleType())]))),
 ])
-FIRSTS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("firsts", T.ArrayType(T.IntegerType()))])
+READ = T.StructType([
+    T.StructField("doc", T.LongType()), T.StructField("row", T.LongType()), T.StructField("learned", T.BooleanType()),
+    T.StructField("firsts", T.ArrayType(T.IntegerType())), T.StructField("n_listed", T.LongType()),
+    T.StructField("base_listed", T.DoubleType()), T.StructField("rest_listed", T.DoubleType()),
+    T.StructField("others", T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("times", T.LongType())]))),
+])
 SCORED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("row", T.LongType()), T.StructField("n_tokens", T.LongType()),
     T.StructField("n_listed", T.LongType()), T.StructField("base_listed", T.DoubleType()), T.StructField("score", T.DoubleType()),
-    T.StructField("others", T.ArrayType(T.BinaryType())),
 ])
 
 
@@ -74,38 +82,71 @@ class Subwords:
         import tiktoken
 
         ranks = read_ranks(file)
-        self.encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.size = len(ranks)
-
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, one word after the other, and the number of ids of each word."""
-        ids = [self.encode(" " + w.decode()) for w in words]
+        self.leads = np.zeros(max(ranks.values()) + 1, bool)  # ids that begin with a space
+        self.leads[[i for token, i in ranks.items() if token[:1] == b" "]] = True
+        # A space cuts every match of a pattern of words and single spaces, so that words are encoded together.
+        probe = ["a", "'s", "x1-2", "é.", "!?", "12", "a'll", "中"]
+        self.together = self.joined(probe)[0].tolist() == self.single(probe)[0].tolist()
+
+    def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.encoding.encode_to_numpy(" " + " ".join(words)).astype(np.int64)
+        starts = np.flatnonzero(self.leads[ids])
+        return ids, np.diff(np.append(starts, len(ids)))
+
+    def single(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [self.encoding.encode_ordinary(" " + w) for w in words]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum())), sizes
 
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, one word after the other, and the number of ids of each word."""
+        if not len(words):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        words = words.cast(pa.string()).to_pylist()
+        if not self.together:
+            return self.single(words)
+        odd = np.zeros(len(words), bool)
+        if OTHER_SPACES.search("".join(words)):  # white space inside of words can meet the space before a word
+            odd[:] = [bool(OTHER_SPACES.search(w)) for w in words]
+        if not odd.any():
+            return self.joined(words)
+        order = np.argsort(odd, kind="stable")
+        n = len(words) - int(odd.sum())
+        parts = [f([words[i] for i in x.tolist()]) for f, x in ((self.joined, order[:n]), (self.single, order[n:])) if len(x)]
+        ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        place = np.argsort(order, kind="stable")  # back to the order of the words
+        begin, out = (np.cumsum(sizes) - sizes)[place], sizes[place]
+        return ids[np.repeat(begin - np.cumsum(out) + out, out) + np.arange(len(ids))], out
+
+
+def subwords_of(file: bytes, pattern: str) -> Subwords:
+    """One per Python worker: its tables take longer to make than a batch takes to encode."""
+    return per_worker(f"subwords_{zlib.crc32(file + pattern.encode()):08x}", lambda: Subwords(file, pattern))
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one text after the other, and the number of each text's. A-Z are in lower case."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words = parts.flatten()
+    there = np.diff(np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, words.offset * 4)) > 0  # none before the first and after the last
+    sizes = np.diff(np.append(0, np.cumsum(there))[parts.offsets.to_numpy() - parts.offsets[0].as_py()])
+    return words if there.all() else words.filter(pa.array(there)), sizes
+
 
 def word_counts(train: DataFrame) -> DataFrame:
     """(word, n) over all training texts; every task sums up before the shuffle."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
+        schema = arrow_schema(WORD_COUNTS)
+        for batch in slices(batches, COUNTED_BYTES):
+            found = pc.value_counts(words_of(batch.column("text"))[0])
+            for a in range(0, len(found), 20_000):
+                part = found[a : a + 20_000].flatten()
+                yield pa.RecordBatch.from_arrays([part[0].cast(pa.binary()), part[1]], schema=schema)
 
-        schema, counts = arrow_schema(WORD_COUNTS), Counter()
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            words, n = list(counts.keys()), list(counts.values())
-            counts.clear()
-            for a in range(0, len(words), 20_000):
-                yield pa.RecordBatch.from_arrays([pa.array(words[a : a + 20_000], pa.binary()), pa.array(n[a : a + 20_000], pa.int64())], schema=schema)
-
-        for batch in slices(batches):
-            for text in text_bytes(batch):
-                counts.update((text or b"").lower().split())
-            if len(counts) > 250_000:
-                yield from flush()
-        yield from flush()
-
-    return train.select("text").mapInArrow(read, WORD_COUNTS).groupBy("word").agg(F.sum("n").alias("n"))
+    return train.select("text").mapInArrow(tidy(read), WORD_COUNTS).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def id_counts(counts: DataFrame, file, pattern: str) -> DataFrame:
@@ -114,11 +155,9 @@ def id_counts(counts: DataFrame, file, pattern: str) -> DataFrame:
     learned from words, not from tokens."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords, found = Subwords(file.value, pattern), None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, sizes = subwords(batch.column("word").to_pylist())
+        subwords, found = subwords_of(file.value, pattern), None
+        for batch in slices(batches, 1 << 20, "word"):
+            ids, sizes = subwords(batch.column("word"))
             starts = np.cumsum(sizes + 1) - sizes - 1
             n = np.ones(int((sizes + 1).sum()), np.int64)
             n[starts] = batch.column("n").to_numpy(zero_copy_only=False)
@@ -142,26 +181,24 @@ def id_counts(counts: DataFrame, file, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array((a - 2).astype(np.int32)), pa.array((b - 1).astype(np.int32)), pa.array(found[1])],
                                              schema=arrow_schema(ID_COUNTS))
 
-    return counts.mapInArrow(read, ID_COUNTS).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return counts.mapInArrow(tidy(read), ID_COUNTS).groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 @dataclass
-class Model:
+class Counts:
+    """What corpus counts say of words."""
+
     size: int  # ids; ``size`` itself stands for the end of a text
     first_n: np.ndarray  # how often an id (or the end) comes first
-    class_of: np.ndarray
-    symbol_of: np.ndarray  # of ids, of the end, and of the start of a text at the last place
-    log_in_class: np.ndarray
     pair_code: np.ndarray
     pair_n: np.ndarray
     pair_total: np.ndarray  # by id before
     single: np.ndarray  # share of an id as a further id; the last is the end of a word
     kept: np.ndarray  # by first id: counts of its words, each less DISCOUNT
-    listed: dict[bytes, int]  # the place of a listed word in the next three
+    listed: pa.Array  # words; the next three are theirs
     list_n: np.ndarray
     list_first: np.ndarray
     list_rest: np.ndarray
-    attention: Attention
     tokens: int
     distinct: int
 
@@ -186,26 +223,34 @@ class Model:
         return first, own, left, chain, word, ids[rare], np.where(after[rare] == self.size, -1, after[rare]), more[rare], total[rare]
 
 
-def word_scores(words: DataFrame, model, file, pattern: str, pairs: DataFrame) -> DataFrame:
+@dataclass
+class Firsts:
+    """What the model says of first ids."""
+
+    class_of: np.ndarray
+    symbol_of: np.ndarray  # of ids, of the end, and of the start of a text at the last place
+    log_in_class: np.ndarray
+    attention: Attention
+
+
+def word_scores(words: DataFrame, counted, file, pattern: str, pairs: DataFrame) -> DataFrame:
     """(word, n, first, rest) of the rows (word, n) of ``words``, each word once: its first id and the natural
-    log-probability of the word given its first id. ``model``: gives the model in a task."""
+    log-probability of the word given its first id. ``counted``: gives the counts in a task."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords, schema = Subwords(file.value, pattern), arrow_schema(CHAINS)
+        subwords, counts, schema = subwords_of(file.value, pattern), counted(), arrow_schema(CHAINS)
         step = schema.field("rare").type
         for batch in slices(batches, 1 << 18, "word"):
-            if not batch.num_rows:
-                continue
             n = batch.column("n").to_numpy(zero_copy_only=False)
-            ids, sizes = subwords(batch.column("word").to_pylist())
-            first, own, left, chain, word, *steps = model().chains(n, ids, sizes)
+            ids, sizes = subwords(batch.column("word"))
+            first, own, left, chain, word, *steps = counts.chains(n, ids, sizes)
             fields = [pa.array(x, f.type) for x, f in zip(steps, step.value_type, strict=True)]
             offsets = pa.array(np.searchsorted(word, np.arange(len(sizes) + 1)).astype(np.int32))
             rare = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, fields=list(step.value_type)), type=step)
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(first.astype(np.int32)), pa.array(own),
                                               pa.array(left), pa.array(chain), rare], schema=schema)
 
-    found = materialize(words.select("word", "n").mapInArrow(read, CHAINS), "chains")
+    found = materialize(words.select("word", "n").mapInArrow(tidy(read), CHAINS), "chains")
     steps = found.select("word", F.explode("rare").alias("step")).select("word", "step.*")
     counted = steps.join(pairs.where("a >= 0"), ["a", "b"], "left")
     log = F.log((F.coalesce(F.col("n"), F.lit(0)) + F.col("more")) / F.col("total"))
@@ -226,23 +271,51 @@ def cluster(vectors: np.ndarray, weights: np.ndarray, groups: int, rounds: int =
     return near
 
 
-def first_ids(train: DataFrame, file, pattern: str) -> DataFrame:
-    """(doc, firsts): the start of the text, the first id of every word, and the end."""
+def texts_read(plain: DataFrame, counted, file, pattern: str) -> DataFrame:
+    """Every row of (doc, text, learned): the start of the text, the first id of every word and the end, what the listed words and
+    the end add to the scores, and the other words with how often each comes. Each row has a number of its own, ``row``."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, schema = Subwords(file.value, pattern), arrow_schema(FIRSTS)
+        from pyspark import TaskContext
+
+        cut, counts, schema = subwords_of(file.value, pattern), counted(), arrow_schema(READ)
+        pair = schema.field("others").type
+        row, end, end_n = TaskContext.get().partitionId() << 40, cut.size, int(counts.first_n[cut.size])
         for batch in slices(batches, 4 << 20):
-            known: defaultdict[bytes, int] = defaultdict()
-            known.default_factory = known.__len__
-            numbers = [np.fromiter(map(known.__getitem__, w), np.int64, len(w)) for w in ((t or b"").lower().split() for t in text_bytes(batch))]
-            ids, sizes = cut(list(known))
-            first = ids[np.cumsum(sizes) - sizes].astype(np.int32)
-            around = np.int32(cut.size + 1), np.int32(cut.size)
-            ends = np.cumsum([len(n) + 2 for n in numbers]).astype(np.int32)
-            flat = np.concatenate([x for n in numbers for x in (around[:1], first[n], around[1:])])
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.ListArray.from_arrays(np.append(np.int32(0), ends), pa.array(flat, pa.int32()))], schema=schema)
+            flat, sizes = words_of(batch.column("text"))
+            flat = flat.dictionary_encode()
+            words, number = flat.dictionary, flat.indices.to_numpy()
+            place = pc.fill_null(pc.index_in(words.cast(pa.binary()), counts.listed), -1).to_numpy()
+            first, rest, n = np.zeros(len(words), np.int32), np.zeros(len(words)), np.zeros(len(words), np.int64)
+            own, new = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+            first[own], rest[own], n[own] = counts.list_first[place[own]], counts.list_rest[place[own]], counts.list_n[place[own]]
+            ids, lengths = cut(words.take(pa.array(new)))  # the rest of these words is joined
+            first[new] = ids[np.cumsum(lengths) - lengths]
+            ends = np.cumsum(sizes + 2).astype(np.int32)
+            inner = np.ones(len(number) + 2 * len(sizes), bool)
+            inner[ends - 1] = inner[ends - 2 - sizes] = False
+            firsts = np.full(len(inner), end, np.int32)
+            firsts[ends - 2 - sizes] = end + 1
+            firsts[inner] = first[number]
+            added = []
+            for value, last in ((n > 0, end_n > 0), (np.log10(n + 1), np.log10(end_n + 1)), (rest, 0)):
+                each = np.zeros(len(inner), float)
+                each[inner], each[ends - 1] = value[number], last
+                added.append(np.add.reduceat(each, ends - 2 - sizes))
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            rare = np.flatnonzero(place[number] < 0)
+            key, times = np.unique(text[rare] * np.int64(len(words) + 1) + number[rare], return_counts=True)
+            of, word = np.divmod(key, len(words) + 1)
+            others = pa.StructArray.from_arrays([words.take(pa.array(word)).cast(pa.binary()), pa.array(times, pa.int64())], fields=list(pair.value_type))
+            offsets = pa.array(np.searchsorted(of, np.arange(len(sizes) + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc"), pa.array(row + np.arange(len(sizes))), batch.column("learned"),
+                pa.ListArray.from_arrays(np.append(np.int32(0), ends), pa.array(firsts, pa.int32())),
+                pa.array(added[0].astype(np.int64)), pa.array(added[1]), pa.array(added[2]),
+                pa.ListArray.from_arrays(offsets, others, type=pair)], schema=schema)
+            row += len(sizes)
 
-    return train.select("doc", "text").mapInArrow(read, FIRSTS)
+    return plain.select("doc", "text", "learned").mapInArrow(tidy(read), READ)
 
 
 def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -275,7 +348,7 @@ def neighbours(firsts: DataFrame, place: np.ndarray) -> DataFrame:
         code = np.flatnonzero(found)
         yield pa.RecordBatch.from_pydict({"code": pa.array(code), "n": pa.array(found[code])})
 
-    return firsts.select("firsts").mapInArrow(read, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return firsts.select("firsts").mapInArrow(tidy(read), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def classes(first_n: np.ndarray, firsts: DataFrame, end: int, groups: int = CLASSES) -> np.ndarray:
@@ -322,24 +395,23 @@ def taught(firsts: DataFrame, start: Attention, symbol_of: np.ndarray, class_of:
         for a in range(0, len(moved), CHUNK):
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([a], pa.int32()), "sums": pa.array([moved[a : a + CHUNK]], pa.list_(pa.float64()))})
 
-    rows = summed(firsts.select("firsts").mapInArrow(read, "chunk int, sums array<double>"), ["chunk"]).collect()  # one model
+    rows = summed(firsts.select("firsts").mapInArrow(tidy(read), "chunk int, sums array<double>"), ["chunk"]).collect()  # one model
     return averaged(start, np.concatenate([r["sums"] for r in sorted(rows, key=lambda r: r["chunk"])])) if rows else start
 
 
-def learn(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, DataFrame, DataFrame]:
-    """The model, and the tables of all training word counts and all counts of ids."""
+def learn(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[Counts, Firsts, DataFrame, DataFrame, DataFrame]:
+    """Both parts of the model, and the tables of all training word counts, of all counts of ids, and of all texts as read."""
     spark = docs.sparkSession
     file = shared_file(spark, vocabulary)
-    plain = keyed_texts(docs, id_col, text_col)
-    train = plain.where(F.col("doc").isNotNull() & ~held_out("doc"))
+    plain = keyed_texts(docs, id_col, text_col).withColumn("learned", F.col("doc").isNotNull() & ~held_out("doc"))
+    train = plain.where("learned")
     n_texts = train.count()
     counts = materialize(word_counts(train), "words")
     n_words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = counts.where(F.octet_length("word") <= LISTED_BYTES).orderBy(F.desc("n"), "word").limit(LISTED).toArrow()
-    listed = {w: i for i, w in enumerate(top.column("word").to_pylist())}
+    listed = pa.array(top.column("word").to_pylist(), pa.binary())
     list_n = top.column("n").to_numpy().astype(np.int64)
-    subwords = Subwords(file.value, pattern)
-    size = subwords.size
+    size = Subwords(file.value, pattern).size
 
     pairs = materialize(id_counts(counts, file, pattern), "pairs")
     follow = pairs.where("a >= 0")
@@ -364,7 +436,15 @@ def learn(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id"
     pair_total = np.zeros(size + 1)
     pair_total[before.column("a").to_numpy()] = before.column("n").to_numpy()
 
-    firsts = materialize(first_ids(train, file, pattern), "firsts")
+    counted = Counts(size, first_n, code[order], n[order], pair_total, single, kept_n, listed, list_n,
+                     np.zeros(len(listed), np.int32), np.zeros(len(listed)), int(n_words) + n_texts, int(distinct) + (n_texts > 0))
+    if len(listed):
+        rows = spark.createDataFrame(top)
+        found = word_scores(rows, shipped(spark, counted), file, pattern, pairs).select("word", "first", "rest").toArrow()
+        place = pc.index_in(pa.array(found.column("word").to_pylist(), pa.binary()), listed).to_numpy()
+        counted.list_first[place], counted.list_rest[place] = found.column("first").to_numpy(), found.column("rest").to_numpy()
+    read = materialize(texts_read(plain, shipped(spark, counted), file, pattern), "read")
+    firsts = read.where("learned").select("doc", "firsts")
     picked = train.select("doc").orderBy(F.xxhash64("doc"), "doc").limit(SAMPLE_TEXTS)
     pieces = F.transform(F.sequence(F.lit(0), F.size("firsts") - 2, F.lit(SAMPLE_WORDS)), lambda at: F.slice("firsts", at + 1, SAMPLE_WORDS + 1))
     taken = firsts.join(F.broadcast(picked.distinct()), "doc").select(F.explode(pieces).alias("firsts"))
@@ -385,73 +465,43 @@ def learn(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id"
         attention.train(x, class_of[np.concatenate([s[1:] for s in sample])], np.array([len(s) - 1 for s in sample]), STEPS)
         attention = taught(firsts, attention, symbol_of, class_of)
 
-    model = Model(size, first_n, class_of, symbol_of, log_in_class, code[order], n[order], pair_total, single,
-                  kept_n, listed, list_n, np.zeros(len(listed), np.int32), np.zeros(len(listed)), attention, int(n_words) + n_texts, int(distinct) + (n_texts > 0))
-    if listed:
-        rows = spark.createDataFrame(top)
-        found = word_scores(rows, shipped(spark, model), file, pattern, pairs).select("word", "first", "rest").toArrow()
-        place = np.array([listed[w] for w in found.column("word").to_pylist()])
-        model.list_first[place], model.list_rest[place] = found.column("first").to_numpy(), found.column("rest").to_numpy()
-    return model, counts, pairs
+    return counted, Firsts(class_of, symbol_of, log_in_class, attention), counts, pairs, read
 
 
 def scored(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row."""
     spark = docs.sparkSession
-    model, counts, pairs = learn(docs, vocabulary, pattern, id_col, text_col)
-    file, shared = shared_file(spark, vocabulary), shipped(spark, model)
+    counted, model, counts, pairs, texts = learn(docs, vocabulary, pattern, id_col, text_col)
+    file, shared, told = shared_file(spark, vocabulary), shipped(spark, model), shipped(spark, counted)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        model, subwords, schema = shared(), Subwords(file.value, pattern), arrow_schema(SCORED)
-        row = TaskContext.get().partitionId() << 40
-        size, end_n = model.size, int(model.first_n[model.size])
-        for batch in slices(batches, 4 << 20):
-            known: defaultdict[bytes, int] = defaultdict()
-            known.default_factory = known.__len__
-            texts = [(t or b"").lower().split() for t in text_bytes(batch)]
-            numbers = [np.fromiter(map(known.__getitem__, w), np.int64, len(w)) for w in texts]
-            words = list(known)
-            place = np.fromiter((model.listed.get(w, -1) for w in words), np.int64, len(words))
-            first, rest, n = np.zeros(len(words), np.int64), np.zeros(len(words)), np.zeros(len(words), np.int64)
-            own = np.flatnonzero(place >= 0)
-            first[own], rest[own], n[own] = model.list_first[place[own]], model.list_rest[place[own]], model.list_n[place[own]]
-            new = np.flatnonzero(place < 0)
-            if len(new):
-                ids, sizes = subwords([words[i] for i in new.tolist()])  # the rest of these words is joined below
-                first[new] = ids[np.cumsum(sizes) - sizes]
-            log_n = np.log10(n + 1)
-            lengths = np.array([len(w) + 1 for w in numbers], np.int64)
-            ends = np.cumsum(lengths) - 1
-            inner = np.ones(int(lengths.sum()), bool)
-            inner[ends] = False
-            ids, logs, base, listed = (np.full(len(inner), v, t) for v, t in ((size, np.int64), (0.0, float), (0.0, float), (0, np.int64)))
-            all_words = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-            ids[inner], logs[inner], base[inner], listed[inner] = first[all_words], rest[all_words], log_n[all_words], n[all_words] > 0
-            base[ends], listed[ends] = np.log10(end_n + 1), int(end_n > 0)
-            before = np.append(size + 1, ids[:-1])
-            before[ends - lengths + 1] = size + 1  # the start of a text
-            logs += model.log_in_class[ids] + model.attention.score(model.symbol_of[before], model.class_of[ids], lengths)
-            starts = ends - lengths + 1
-            others = [[words[i] for i in w[n[w] == 0].tolist()] for w in numbers]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc"), pa.array(row + np.arange(len(lengths))), pa.array(lengths), pa.array(np.add.reduceat(listed, starts)),
-                pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(logs, starts) / np.log(10)),
-                pa.array(others, schema.field("others").type)], schema=schema)
-            row += len(lengths)
-
-    found = materialize(keyed_texts(docs, id_col, text_col).mapInArrow(read, SCORED), "scored")
-    other = found.select("row", F.explode("others").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("times"))
-    other = materialize(other, "others")
+        model, schema = shared(), arrow_schema(SCORED)
+        for batch in batches:
+            logs = []
+            for ids, sizes in sequences([batch]):
+                ends = np.cumsum(sizes)
+                before, after = np.ones(len(ids), bool), np.ones(len(ids), bool)
+                before[ends - 1] = after[ends - sizes] = False
+                after = ids[after]
+                of = model.log_in_class[after] + model.attention.score(model.symbol_of[ids[before]], model.class_of[after], sizes - 1)
+                logs.append(np.add.reduceat(of, ends - sizes - np.arange(len(sizes))))
+            if logs:
+                score = (np.concatenate(logs) + batch.column("rest_listed").to_numpy()) / np.log(10)
+                n_tokens = np.diff(batch.column("firsts").offsets.to_numpy()).astype(np.int64) - 1
+                yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("row"), pa.array(n_tokens), batch.column("n_listed"),
+                                                  batch.column("base_listed"), pa.array(score)], schema=schema)
+
+    columns = "doc", "row", "firsts", "n_listed", "base_listed", "rest_listed"
+    found = materialize(texts.select(*columns).mapInArrow(tidy(read), SCORED), "scored")
+    other = texts.select("row", F.explode("others").alias("other")).select("row", "other.*")
     distinct = other.select("word").distinct().join(counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
-    rated = other.join(word_scores(distinct, shared, file, pattern, pairs), "word")
+    rated = other.join(word_scores(distinct, told, file, pattern, pairs), "word")
     seen, times = F.when(F.col("n") > 0, F.col("times")), F.col("times")
     sums = rated.groupBy("row").agg(F.sum(seen).alias("n_other"), F.sum(times * F.log10(F.col("n") + 1)).alias("base_other"),
                                     F.sum(times * F.col("rest")).alias("rest_other"))
-    per_token = float(np.log10(model.tokens + model.distinct + 1))
+    per_token = float(np.log10(counted.tokens + counted.distinct + 1))
     return found.join(sums, "row", "left").select(
         "doc_id", held_out("doc_id").alias("held_out"), "n_tokens", (F.col("n_listed") + F.coalesce("n_other", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.lit(counted.tokens).cast("long").alias("train_tokens"),
         (F.col("base_listed") + F.coalesce("base_other", F.lit(0.0)) - F.col("n_tokens") * F.lit(per_token)).alias("base_score"),
         (F.col("score") + F.coalesce("rest_other", F.lit(0.0)) / float(np.log(10))).alias("score"))

@@ -92,7 +92,7 @@ class Attention:
         z += self.out_bias
         return np.clip(z, -LARGEST, LARGEST, out=z)
 
-    def score(self, x: np.ndarray, targets: np.ndarray, lengths: np.ndarray, at_once: int = 1024) -> np.ndarray:
+    def score(self, x: np.ndarray, targets: np.ndarray, lengths: np.ndarray, at_once: int = 128) -> np.ndarray:
         """Natural log-probability of every target class. ``x``: the symbol before each target."""
         first, size, more = blocks_of(lengths)
         out = np.zeros(len(x), np.float32)

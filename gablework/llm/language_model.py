@@ -18,6 +18,7 @@ N and V are 0 and the model is uniform over the vocabulary's ids.
 
 from __future__ import annotations
 
+import ctypes
 import re
 import zlib
 from collections.abc import Iterator
@@ -367,11 +368,20 @@ def classes(first_n: np.ndarray, firsts: DataFrame, end: int, groups: int = CLAS
     return out
 
 
+def reusing() -> None:
+    """Memory of one step of the model is kept for the next, where the C library can be told so; ``tidy`` gives it back."""
+    tell = getattr(ctypes.CDLL(None), "mallopt", None)
+    if tell:
+        tell(-1, 32 << 20)  # M_TRIM_THRESHOLD
+        tell(-3, 8 << 20)  # M_MMAP_THRESHOLD
+
+
 def taught(firsts: DataFrame, start: Attention, symbol_of: np.ndarray, class_of: np.ndarray) -> Attention:
     """The weights after every task has learned from all its texts."""
     sent = shipped(firsts.sparkSession, (Learner(start), symbol_of, class_of))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reusing()
         learner, symbols, kinds = sent()
         learner = learner.again()  # the worker may have run another task
         held, size = [], 0
@@ -475,6 +485,7 @@ def scored(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     file, shared, told = shared_file(spark, vocabulary), shipped(spark, model), shipped(spark, counted)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reusing()
         model, schema = shared(), arrow_schema(SCORED)
         for batch in batches:
             logs = []
